@@ -187,4 +187,119 @@ DETERMINISTIC: dict[str, Query] = {
     "group_rates": q_group_rates,
 }
 
-MODEL_QUERIES: dict[str, Query] = {}
+# --- model, scoring and stream queries (no SQL oracle: fitted models) --------
+
+def _prepared(spark, sf_dir):
+    from .train import prepare_training
+    return prepare_training(_cs(spark, sf_dir))
+
+
+def _train(kind: str, name: str | None = None, features=None, grid=None):
+    def q(spark, sf_dir):
+        from ..schema import MODEL_FEATURES
+        from .train import train_and_evaluate
+        _, metrics = train_and_evaluate(_prepared(spark, sf_dir), kind,
+                                        features or MODEL_FEATURES, grid, name=name)
+        return metrics
+    return q
+
+
+def q_ablation(spark, sf_dir):
+    """The two-feature tree against the four-feature tree."""
+    from ..schema import MODEL_FEATURES, TWO_FEATURES
+    from .train import train_and_evaluate
+    prepared = _prepared(spark, sf_dir)
+    _, two = train_and_evaluate(prepared, "dt", TWO_FEATURES, name="dt_2_features")
+    _, four = train_and_evaluate(prepared, "dt", MODEL_FEATURES, name="dt_4_features")
+    return two.unionByName(four)
+
+
+def _saved_models(spark, prepared):
+    """Fit the notebook's four models, each saved to its own folder, then loaded."""
+    from ..schema import MODEL_FEATURES, TWO_FEATURES
+    from ..sources.sinks import load_pipeline
+    from .train import train_and_evaluate
+    specs = {"dt_2_features": ("dt", TWO_FEATURES, None),
+             "dt": ("dt", MODEL_FEATURES, None),
+             "dt_deep": ("dt", MODEL_FEATURES, {"maxDepth": [10]}),
+             "rf": ("rf", MODEL_FEATURES, None)}
+    loaded = {}
+    for name, (kind, feats, grid) in specs.items():
+        path = scratch_path(spark, f"model-{name}")
+        train_and_evaluate(prepared, kind, feats, grid, save_to=path, name=name)
+        loaded[name] = load_pipeline(path)
+    return loaded
+
+
+def q_compare_models(spark, sf_dir):
+    """Saved models compared on one test split."""
+    from ..ml.evaluate import compare_models
+    prepared = _prepared(spark, sf_dir)
+    models = _saved_models(spark, prepared)
+    return compare_models(models, prepared.where(F.col("split") == "test"))
+
+
+def _dt_model(spark, sf_dir):
+    from ..sources.sinks import load_pipeline
+    from .train import train_and_evaluate
+    path = scratch_path(spark, "model-dt")
+    train_and_evaluate(_prepared(spark, sf_dir), "dt", save_to=path)
+    return load_pipeline(path)
+
+
+def write_json_batches(df: DataFrame, path: str, n_batches: int = 3) -> str:
+    """Write events as ``n_batches`` JSON folders in event-time order (one write each).
+
+    Cut points are whole UTC days from the data's own range; the writes run in
+    order so the file source sees them in time order.
+    """
+    day = F.floor(F.col("ts") / F.lit(86_400_000))
+    lo, hi = df.agg(F.min(day), F.max(day)).first()
+    width = (hi - lo) // n_batches + 1
+    for i in range(n_batches):
+        part = df.where((day >= lo + i * width) & (day < lo + (i + 1) * width))
+        part.write.mode("overwrite").json(f"{path}/batch={i}")
+    return path
+
+
+def q_score_batch(spark, sf_dir):
+    """C4 + S6: score an uploaded JSON file with a saved model; flagged rows to a table."""
+    from .score import score_batch
+    model = _dt_model(spark, sf_dir)
+    upload = scratch_path(spark, "upload-json")
+    _cs(spark, sf_dir).write.mode("overwrite").json(upload)
+    return score_batch(ev.read_events(spark, upload), model, scratch_path(spark, "scored"))
+
+
+def q_at_risk_model(spark, sf_dir):
+    """R3 on a fitted model's flags."""
+    return users.at_risk_users(q_score_batch(spark, sf_dir))
+
+
+def q_score_stream(spark, sf_dir, delay: str = "31 days"):
+    """R2: the same upload as three time-ordered file batches through Structured Streaming.
+
+    ``delay`` covers the fixture's 30-day span, so late copies are dropped and
+    the stream matches batch scoring by content.
+    """
+    from ..streaming.score_stream import mean_table, run_score_stream
+    model = _dt_model(spark, sf_dir)
+    source = write_json_batches(_cs(spark, sf_dir), scratch_path(spark, "stream-in"))
+    means = mean_table(ev.read_events(spark, source))
+    sink = scratch_path(spark, "stream-out")
+    q = run_score_stream(spark, source, model, means, sink, scratch_path(spark, "stream-ckpt"),
+                         delay)
+    q.awaitTermination()
+    return spark.read.parquet(sink)
+
+
+MODEL_QUERIES: dict[str, Query] = {
+    "train_dt": _train("dt"),
+    "train_rf": _train("rf"),
+    "train_gbt_ovr": _train("gbt_ovr"),
+    "ablation": q_ablation,
+    "compare_models": q_compare_models,
+    "score_batch": q_score_batch,
+    "at_risk_model": q_at_risk_model,
+    "score_stream": q_score_stream,
+}
