@@ -6,7 +6,9 @@ The reference pulls the whole table into pandas for each of these
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from decimal import ROUND_HALF_UP, Decimal
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -49,31 +51,61 @@ def describe_numeric(df: DataFrame, cols: Sequence[str] | None = None,
                      probs: Sequence[float] = (0.25, 0.5, 0.75), digits: int = 6) -> DataFrame:
     """A5: count, mean, std, min, quartiles, max per numeric column (exact).
 
-    The numeric projection is materialised once, then count/mean/std/min/max
-    come from one aggregate and the quartiles from ``exact_quantiles``
-    (a few passes, bounded driver traffic). Mean and std are rounded to
-    ``digits`` places so engines that sum in different orders agree.
+    The numeric projection is materialised once; then one pass gives count,
+    min and max, a second the moments, and ``exact_quantiles`` the quartiles
+    (bounded driver traffic: a handful of values per column). For integral
+    columns the moments are exact: sums of ``d = x - min`` and ``d * d`` in
+    38-digit decimals, so the mean and the sample standard deviation do not
+    depend on summation order (large epoch values lose digits in double
+    sums). Floating columns use Spark's double aggregates. Mean and std are
+    rounded to ``digits`` places.
     """
     cols = list(cols or numeric_columns(df))
+    spark = df.sparkSession
     base = materialize(df.select(*cols), "describe")
-    aggs = []
+    integral = {f.name for f in base.schema.fields
+                if isinstance(f.dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType))}
+    first = base.agg(*[F.count(c).alias(f"n{i}") for i, c in enumerate(cols)],
+                     *[F.min(c).alias(f"lo{i}") for i, c in enumerate(cols)],
+                     *[F.max(c).alias(f"hi{i}") for i, c in enumerate(cols)]).first()
+    moments = []
     for i, c in enumerate(cols):
-        v = F.col(c).cast("double")
-        aggs += [F.count(v).alias(f"count{i}"), F.avg(v).alias(f"mean{i}"),
-                 F.stddev_samp(v).alias(f"std{i}"), F.min(v).alias(f"min{i}"),
-                 F.max(v).alias(f"max{i}")]
-    wide = base.agg(*aggs)
+        if c in integral and first[f"lo{i}"] is not None:
+            d = (F.col(c) - F.lit(first[f"lo{i}"])).cast("decimal(38,0)")
+            moments += [F.sum(d).alias(f"s1_{i}"), F.sum(d * d).alias(f"s2_{i}")]
+        else:
+            v = F.col(c).cast("double")
+            moments += [F.avg(v).alias(f"mean{i}"), F.stddev_samp(v).alias(f"std{i}")]
+    second = base.agg(*moments).first()
     q = exact_quantiles(base, cols, probs)
     rows = []
     for i, c in enumerate(cols):
+        n, lo, hi = first[f"n{i}"], first[f"lo{i}"], first[f"hi{i}"]
+        if c in integral and lo is not None:
+            s1, s2 = int(second[f"s1_{i}"]), int(second[f"s2_{i}"])
+            mean = float(lo) + s1 / n
+            std = math.sqrt((n * s2 - s1 * s1) / (n * (n - 1))) if n > 1 else None
+        else:
+            mean, std = second[f"mean{i}"], second[f"std{i}"]
         qc = q.get(c, {})
-        rows.append(F.struct(
-            F.lit(c).alias("column_name"), F.col(f"count{i}").alias("count"),
-            F.round(F.col(f"mean{i}"), digits).alias("mean"),
-            F.round(F.col(f"std{i}"), digits).alias("std"), F.col(f"min{i}").alias("min"),
-            *[F.lit(qc.get(p)).cast("double").alias(f"q{int(round(p * 100))}") for p in probs],
-            F.col(f"max{i}").alias("max")))
-    return wide.select(F.inline(F.array(*rows)))
+        rows.append((c, n, _round(mean, digits), _round(std, digits),
+                     None if lo is None else float(lo),
+                     *[qc.get(p) for p in probs], None if hi is None else float(hi)))
+    schema = T.StructType(
+        [T.StructField("column_name", T.StringType()), T.StructField("count", T.LongType()),
+         T.StructField("mean", T.DoubleType()), T.StructField("std", T.DoubleType()),
+         T.StructField("min", T.DoubleType())]
+        + [T.StructField(f"q{int(round(p * 100))}", T.DoubleType()) for p in probs]
+        + [T.StructField("max", T.DoubleType())])
+    # At most one row per column: the summary itself, assembled from the passes above.
+    return spark.createDataFrame(rows, schema)
+
+
+def _round(x: float | None, digits: int) -> float | None:
+    """Half-up rounding of the exact binary value, as Spark's ``round`` does."""
+    if x is None or math.isnan(x) or math.isinf(x):
+        return x
+    return float(Decimal(x).quantize(Decimal(1).scaleb(-digits), rounding=ROUND_HALF_UP))
 
 
 def distinct_values(df: DataFrame, col: str) -> DataFrame:

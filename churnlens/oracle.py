@@ -156,13 +156,24 @@ _CS_COLS = ["userId", "gender", "itemInSession", "sessionId", "level", "length",
 DESCRIBE_COLS = ["itemInSession", "length", "sessionId", "status", "ts", "userId"]
 
 
+_INTEGRAL = {"itemInSession", "sessionId", "status", "ts", "userId"}
+
+
 def _describe() -> str:
     parts = []
     for c in DESCRIBE_COLS:
         v = f"CAST({c} AS DOUBLE)"
+        if c in _INTEGRAL:
+            # Exact moments of d = x - min in HUGEINT, then one rounding to double.
+            d = f"CAST({c} - (SELECT min({c}) FROM imputed) AS HUGEINT)"
+            mean = f"(SELECT min({c}) FROM imputed) + CAST(sum({d}) AS DOUBLE) / count({c})"
+            std = (f"sqrt(CAST(count({c}) * sum({d} * {d}) - sum({d}) * sum({d}) AS DOUBLE)"
+                   f" / CAST(count({c}) * (count({c}) - 1) AS DOUBLE))")
+        else:
+            mean, std = f"avg({v})", f"stddev_samp({v})"
         parts.append(
-            f"SELECT '{c}' AS column_name, count({c}) AS count, round(avg({v}), 6) AS mean, "
-            f"round(stddev_samp({v}), 6) AS std, min({v}) AS min, "
+            f"SELECT '{c}' AS column_name, count({c}) AS count, round({mean}, 6) AS mean, "
+            f"round({std}, 6) AS std, min({v}) AS min, "
             f"quantile_cont({v}, 0.25) AS q25, quantile_cont({v}, 0.5) AS q50, "
             f"quantile_cont({v}, 0.75) AS q75, max({v}) AS max FROM imputed")
     return " UNION ALL ".join(parts)
