@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.sequence import row_number_within
 from ..schema import CANCEL_PAGE, DOWNGRADE_PAGE, EVENT_SCHEMA
 
 
@@ -41,17 +42,20 @@ SONG_EVENTS = ["click", "view", "purchase"]
 MISSING_USER_EVERY = 41
 
 
-def adapt_events(events: DataFrame) -> DataFrame:
+def adapt_events(events: DataFrame, numbering: str = "auto") -> DataFrame:
     """Map the driver's ``events`` table onto the documented clickstream columns.
 
     Output: userId (string, ``''`` for logged-out rows), gender, itemInSession,
     sessionId, level, length, page, location, method, status, ts (epoch ms).
-    Every column is a built-in expression; ``itemInSession`` is a row number
-    within one user-day (the session), so the window's unit of work is one
-    user's day, not one user.
+    Every column is a built-in expression. ``itemInSession`` is the position
+    within one user-day (the session), from ``row_number_within``, which
+    splits a user-day too large for one task (``numbering``: auto, window,
+    range).
     """
-    e = events.select("event_id", "ts", "user_id", "event_type", "value")
-    day = F.dayofmonth("ts")
+    e = events.select("event_id", "ts", "user_id", "event_type", "value",
+                      F.dayofmonth("ts").alias("__day"))
+    e = row_number_within(e, ["user_id", "__day"], ["ts", "event_id"], "__item", method=numbering)
+    day = F.col("__day")
     missing = (F.col("event_id") % MISSING_USER_EVERY) == 0
     uid = F.col("user_id")
     etype = F.col("event_type")
@@ -62,12 +66,11 @@ def adapt_events(events: DataFrame) -> DataFrame:
     ts_ms = ((micros - F.pmod(micros, F.lit(1000))) / F.lit(1000)).cast("long")
     location = F.element_at(F.array(*[F.lit(x) for x in LOCATIONS]),
                             (F.pmod(uid, F.lit(len(LOCATIONS))) + 1).cast("int"))
-    session_order = Window.partitionBy("user_id", day).orderBy("ts", "event_id")
     return e.select(
         F.when(missing, F.lit("")).otherwise(uid.cast("string")).alias("userId"),
         F.when(missing, F.lit(None).cast("string"))
          .when(F.pmod(uid, F.lit(5)) < 3, F.lit("F")).otherwise(F.lit("M")).alias("gender"),
-        (F.row_number().over(session_order) - 1).cast("long").alias("itemInSession"),
+        F.col("__item").alias("itemInSession"),
         (uid * 100 + day).cast("long").alias("sessionId"),
         F.when(F.pmod(uid + F.floor(day / 10), F.lit(4)) == 0, F.lit("free"))
          .otherwise(F.lit("paid")).alias("level"),

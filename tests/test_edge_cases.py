@@ -131,3 +131,22 @@ def test_time_parts_are_utc_for_any_session_zone(spark):
 def test_lower_strings_opt_in(spark):
     df = spark.createDataFrame([("Paid", 1)], "level string, n int")
     assert tuple(clean.lower_strings(df).first()) == ("paid", 1)
+
+
+def test_range_numbering_equals_window_numbering(spark):
+    """The skew path of row_number_within splits groups across tasks; same numbers."""
+    from churnlens.sources.events import adapt_events, load_events_table
+    ev = load_events_table(spark, "/root/testdata/sf0.001")
+    # One user-day holding a third of all rows.
+    hot = ev.withColumn("user_id", F.when(F.col("event_id") % 3 == 0, F.lit(7))
+                        .otherwise(F.col("user_id")))
+    hot = hot.withColumn("ts", F.when(F.col("event_id") % 3 == 0,
+                                      F.to_timestamp_ntz(F.lit("2024-01-05 00:00:00"))
+                                      + F.make_dt_interval(secs=F.col("event_id").cast("int")))
+                               .otherwise(F.col("ts")))
+    a = adapt_events(hot, numbering="window")
+    b = adapt_events(hot, numbering="range")
+    c = adapt_events(hot)  # auto must pick the range path here
+    rows = [sorted((tuple(r) for r in d.collect()), key=repr) for d in (a, b, c)]
+    assert rows[0] == rows[1] == rows[2]
+    assert max(r.itemInSession for r in b.collect()) >= 300
