@@ -50,7 +50,8 @@ def make_classifier(kind: str, label: str = LABEL):
     if kind == "gbt_ovr":
         inner = GBTClassifier(maxIter=GBT_MAX_ITER, seed=SEED, featuresCol="features",
                               labelCol=label)
-        return OneVsRest(classifier=inner, **common)
+        # The per-class binary models are independent: fit them concurrently.
+        return OneVsRest(classifier=inner, parallelism=3, **common)
     raise ValueError(f"unknown classifier kind {kind!r}; expected one of {KINDS}")
 
 
@@ -82,7 +83,7 @@ def evaluator(metric: str = "f1", label: str = LABEL) -> MulticlassClassificatio
 
 
 def cross_validator(kind: str = "dt", features: Sequence[str] = MODEL_FEATURES,
-                    grid: dict | None = None, parallelism: int = 4,
+                    grid: dict | None = None, parallelism: int = 8,
                     label: str = LABEL) -> CrossValidator:
     """M8: k-fold CV on a precomputed ``fold`` column, best by weighted F1.
 

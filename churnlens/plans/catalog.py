@@ -240,10 +240,15 @@ def q_compare_models(spark, sf_dir):
 
 
 def _dt_model(spark, sf_dir):
-    from ..sources.sinks import load_pipeline
-    from .train import train_and_evaluate
+    """The model a scoring query uploads against: one decision-tree fit on the
+    train split (the reference scores with a pre-trained archive), saved and
+    loaded back (S4, S5)."""
+    from ..ml.estimators import build_model_pipeline
+    from ..sources.sinks import load_pipeline, save_pipeline
+    pipe, _ = build_model_pipeline("dt")
+    model = pipe.fit(_prepared(spark, sf_dir).where(F.col("split") == "train"))
     path = scratch_path(spark, "model-dt")
-    train_and_evaluate(_prepared(spark, sf_dir), "dt", save_to=path)
+    save_pipeline(model, path)
     return load_pipeline(path)
 
 

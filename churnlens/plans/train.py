@@ -37,7 +37,7 @@ def prepare_training(events: DataFrame, k: float = SCRIPT_BALANCE_K, split_by: s
 
 
 def fit_best(prepared: DataFrame, kind: str = "dt", features: Sequence[str] = MODEL_FEATURES,
-             grid: dict | None = None, parallelism: int = 4) -> PipelineModel:
+             grid: dict | None = None, parallelism: int = 8) -> PipelineModel:
     """Cross-validate on the train split and return the refitted best pipeline (M9)."""
     label = BINARY_LABEL if kind == "gbt_binary" else LABEL
     train = prepared.where(F.col("split") == "train")
@@ -48,7 +48,7 @@ def fit_best(prepared: DataFrame, kind: str = "dt", features: Sequence[str] = MO
 def train_and_evaluate(prepared: DataFrame, kind: str = "dt",
                        features: Sequence[str] = MODEL_FEATURES, grid: dict | None = None,
                        save_to: str | None = None, name: str | None = None,
-                       parallelism: int = 4) -> tuple[PipelineModel, DataFrame]:
+                       parallelism: int = 8) -> tuple[PipelineModel, DataFrame]:
     """Fit, score the validation and test splits, optionally save.
 
     Returns the model and a metrics table (one row per split).
