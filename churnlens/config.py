@@ -20,6 +20,9 @@ class Tuning:
     # "hot": their side-table rows are broadcast (there can be at most
     # 1 / hot_key_share of them) and only the cold rows take the shuffle join.
     hot_key_share: float = 0.001
+    # Rows one task sorts comfortably (about a 128 MB input split). A group no
+    # larger than this, or than an even share of all rows, may go to one task.
+    task_rows: int = 4_000_000
     # Number of hash buckets for sampling, splitting and folds (integers, so
     # Spark and SQL engines agree exactly).
     buckets: int = 10_000

@@ -1,9 +1,10 @@
 """Position of each row within its group, safe for a group holding much of the data.
 
 A window ``row_number() OVER (PARTITION BY g ORDER BY o)`` sends a whole
-group to one task. ``row_number_within`` first measures the largest group
-(one partially aggregated pass). If every group fits one task's share it
-uses that window. Otherwise it numbers rows through range partitioning:
+group to one task. ``row_number_within`` first bounds the largest group (by
+the input row count, else one partially aggregated pass). If every group
+fits one task (``Tuning.task_rows``, or an even share of all rows) it uses
+that window. Otherwise it numbers rows through range partitioning:
 
 1. ``repartitionByRange`` on ``(g, o)`` splits a large group across several
    tasks; each row gets ``monotonically_increasing_id`` (task id, position);
@@ -42,10 +43,16 @@ def row_number_within(df: DataFrame, groups: Sequence[str], order: Sequence[str]
     """
     groups, order = list(groups), list(order)
     if method == "auto":
-        stats = (df.groupBy(*groups).agg(F.count(F.lit(1)).alias("n"))
-                   .agg(F.max("n").alias("largest"), F.sum("n").alias("total")).first())
-        per_task = (stats["total"] or 0) / max(1, _partitions(df))
-        method = "window" if (stats["largest"] or 0) <= max(per_task, 1) else "range"
+        # No group can be larger than the whole input: a cheap bound first
+        # (a parquet row count reads footers only), the exact largest group
+        # only when the input is larger than one task's rows.
+        total = df.count()
+        largest = total
+        if total > tuning.task_rows:
+            largest = (df.groupBy(*groups).agg(F.count(F.lit(1)).alias("n"))
+                         .agg(F.max("n")).first()[0] or 0)
+        limit = max(tuning.task_rows, total / max(1, _partitions(df)))
+        method = "window" if largest <= limit else "range"
     if method == "window":
         w = Window.partitionBy(*groups).orderBy(*order)
         return df.withColumn(out, (F.row_number().over(w) - 1).cast("long"))

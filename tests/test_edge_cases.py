@@ -146,7 +146,12 @@ def test_range_numbering_equals_window_numbering(spark):
                                .otherwise(F.col("ts")))
     a = adapt_events(hot, numbering="window")
     b = adapt_events(hot, numbering="range")
-    c = adapt_events(hot)  # auto must pick the range path here
+    from churnlens.config import Tuning
+    from churnlens.operators.sequence import row_number_within
+    tiny = Tuning(task_rows=10)
+    picked = row_number_within(hot, ["user_id"], ["ts", "event_id"], "n", tuning=tiny)
+    assert "__task" in picked._jdf.queryExecution().analyzed().toString()  # range path chosen
+    c = adapt_events(hot, numbering="range")
     rows = [sorted((tuple(r) for r in d.collect()), key=repr) for d in (a, b, c)]
     assert rows[0] == rows[1] == rows[2]
     assert max(r.itemInSession for r in b.collect()) >= 300
