@@ -252,19 +252,23 @@ def _dt_model(spark, sf_dir):
     return load_pipeline(path)
 
 
-def write_json_batches(df: DataFrame, path: str, n_batches: int = 3) -> str:
+def write_json_batches(df: DataFrame, path: str, n_batches: int = 3) -> tuple[str, int]:
     """Write events as ``n_batches`` JSON folders in event-time order (one write each).
 
     Cut points are whole UTC days from the data's own range; the writes run in
-    order so the file source sees them in time order.
+    order so the file source sees them in time order. Returns the path and the
+    largest number of files in one batch (a ``maxFilesPerTrigger`` that makes
+    one micro-batch per time batch).
     """
     day = F.floor(F.col("ts") / F.lit(86_400_000))
     lo, hi = df.agg(F.min(day), F.max(day)).first()
     width = (hi - lo) // n_batches + 1
+    files = 0
     for i in range(n_batches):
         part = df.where((day >= lo + i * width) & (day < lo + (i + 1) * width))
         part.write.mode("overwrite").json(f"{path}/batch={i}")
-    return path
+        files = max(files, len(df.sparkSession.read.text(f"{path}/batch={i}").inputFiles()))
+    return path, max(1, files)
 
 
 def q_score_batch(spark, sf_dir):
@@ -289,11 +293,11 @@ def q_score_stream(spark, sf_dir, delay: str = "31 days"):
     """
     from ..streaming.score_stream import mean_table, run_score_stream
     model = _dt_model(spark, sf_dir)
-    source = write_json_batches(_cs(spark, sf_dir), scratch_path(spark, "stream-in"))
+    source, per_batch = write_json_batches(_cs(spark, sf_dir), scratch_path(spark, "stream-in"))
     means = mean_table(ev.read_events(spark, source))
     sink = scratch_path(spark, "stream-out")
     q = run_score_stream(spark, source, model, means, sink, scratch_path(spark, "stream-ckpt"),
-                         delay)
+                         delay, max_files_per_trigger=per_batch)
     q.awaitTermination()
     return spark.read.parquet(sink)
 

@@ -17,18 +17,18 @@ def setup(spark, tmp_path_factory):
     base = str(tmp_path_factory.mktemp("stream"))
     cs = load_clickstream(spark, SF_MID)
     model, _ = train_and_evaluate(prepare_training(cs), "dt", grid={"maxDepth": [5]})
-    source = write_json_batches(cs, os.path.join(base, "in"))
+    source, per_batch = write_json_batches(cs, os.path.join(base, "in"))
     means = mean_table(read_events(spark, source))
     batch = score_events(read_events(spark, source), model)
-    return base, model, source, means, batch
+    return base, model, source, means, batch, per_batch
 
 
 def _run(spark, setup, name, delay):
-    base, model, source, means, _ = setup
+    base, model, source, means, _, per_batch = setup
     q = run_score_stream(spark, source, model, means, os.path.join(base, name),
-                         os.path.join(base, name + "-ckpt"), delay)
+                         os.path.join(base, name + "-ckpt"), delay, per_batch)
     q.awaitTermination()
-    assert q.lastProgress is not None
+    assert len(q.recentProgress) >= 3  # one micro-batch per time batch at least
     return spark.read.parquet(os.path.join(base, name))
 
 
@@ -44,8 +44,8 @@ def test_stream_equals_batch_with_covering_delay(spark, setup):
 def test_short_delay_lets_late_copies_through(spark, setup):
     """Copies further apart than the delay come through again; nothing is lost.
 
-    The number of extra copies depends on where the files are cut: 256 for
-    these day-range thirds at sf0.01 (257 for equal-count thirds).
+    The number of extra copies depends on where the files are cut and how
+    micro-batches form, so only its sign is asserted.
     """
     out = _run(spark, setup, "short", "1 hour")
     batch = setup[4]
