@@ -77,7 +77,7 @@ def describe_numeric(df: DataFrame, cols: Sequence[str] | None = None,
             v = F.col(c).cast("double")
             moments += [F.avg(v).alias(f"mean{i}"), F.stddev_samp(v).alias(f"std{i}")]
     second = base.agg(*moments).first()
-    q = exact_quantiles(base, cols, probs)
+    q = exact_quantiles(base, cols, probs, stats=first)
     rows = []
     for i, c in enumerate(cols):
         n, lo, hi = first[f"n{i}"], first[f"lo{i}"], first[f"hi{i}"]

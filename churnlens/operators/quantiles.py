@@ -32,12 +32,18 @@ def _rank_targets(n: int, probs: Sequence[float]) -> dict[float, tuple[int, int,
 
 
 def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
-                    buckets: int = 1024, fetch_max: int = 50_000) -> dict[str, dict[float, float]]:
-    """``{col: {p: value}}`` for non-null values of each numeric column."""
+                    buckets: int = 1024, fetch_max: int = 50_000,
+                    stats=None) -> dict[str, dict[float, float]]:
+    """``{col: {p: value}}`` for non-null values of each numeric column.
+
+    ``stats``: an already computed row with ``n{i}``, ``lo{i}``, ``hi{i}``
+    (count, min, max of column ``i``) saves the first pass.
+    """
     vals = {c: F.col(c).cast("double") for c in cols}
-    stats = df.agg(*[F.count(vals[c]).alias(f"n{i}") for i, c in enumerate(cols)],
-                   *[F.min(vals[c]).alias(f"lo{i}") for i, c in enumerate(cols)],
-                   *[F.max(vals[c]).alias(f"hi{i}") for i, c in enumerate(cols)]).first()
+    if stats is None:
+        stats = df.agg(*[F.count(vals[c]).alias(f"n{i}") for i, c in enumerate(cols)],
+                       *[F.min(vals[c]).alias(f"lo{i}") for i, c in enumerate(cols)],
+                       *[F.max(vals[c]).alias(f"hi{i}") for i, c in enumerate(cols)]).first()
     targets = {}
     # state per (col, rank): [low, high, rows below low, rows in [low, high]]
     state: dict[tuple[str, int], list] = {}
@@ -48,7 +54,7 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
         targets[c] = _rank_targets(n, probs)
         for lo, hi, _ in targets[c].values():
             for r in (lo, hi):
-                state[(c, r)] = [stats[f"lo{i}"], stats[f"hi{i}"], 0, n]
+                state[(c, r)] = [float(stats[f"lo{i}"]), float(stats[f"hi{i}"]), 0, n]
     found: dict[tuple[str, int], float] = {}
     while True:
         for key, (a, b, _, _) in list(state.items()):

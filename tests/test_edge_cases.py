@@ -155,3 +155,36 @@ def test_range_numbering_equals_window_numbering(spark):
     rows = [sorted((tuple(r) for r in d.collect()), key=repr) for d in (a, b, c)]
     assert rows[0] == rows[1] == rows[2]
     assert max(r.itemInSession for r in b.collect()) >= 300
+
+
+def test_schema_and_preview(spark):
+    from churnlens.schema import EVENT_SCHEMA
+    from churnlens.sources import preview, schema_of
+    df = spark.createDataFrame([], EVENT_SCHEMA)
+    assert ("userId", "string") in schema_of(df) and ("ts", "bigint") in schema_of(df)
+    assert preview(frame(spark, [row("1", 1.0, item=i) for i in range(9)]), 5).count() == 5
+
+
+def test_drop_and_rename(spark):
+    df = frame(spark, [row("1", 1.0)])
+    out = clean.rename_column(clean.drop_columns(df, ["location", "absent"]), "page", "p")
+    assert "location" not in out.columns and "p" in out.columns
+
+
+def test_class_sizes_with_two_classes(spark):
+    out = balance.class_size_summary(_counts(spark, [(0, 100), (2, 10)])).first()
+    assert (out.max_count, out.min_count, out.mid_count, out.n_classes) == (100, 10, None, 2)
+    out3 = balance.class_size_summary(_counts(spark, [(0, 100), (1, 30), (2, 10)])).first()
+    assert out3.mid_count == 30
+
+
+def test_reference_style_random_sample_and_split(spark):
+    """``method="random"`` and ``random_split`` reproduce the seeded calls (partition-dependent)."""
+    from churnlens.sources import load_clickstream
+    base = wrangle_train(load_clickstream(spark, "/root/testdata/sf0.001"))
+    s = balance.balanced_sample(base, method="random")
+    counts = {r.churn: r["count"] for r in balance.class_counts(s).collect()}
+    assert counts[2] == 19 and counts[1] == 54  # whole: fractions clamp to 1
+    assert 0 < counts[0] < 742
+    parts = balance.random_split(s)
+    assert sum(p.count() for p in parts) == s.count()
