@@ -25,6 +25,29 @@ LOCAL_CONF = {
 }
 
 
+def cluster_conf(input_bytes: int, partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Suggested settings for a cluster run over ``input_bytes`` of input.
+
+    Initial shuffle partitions are sized so each holds about
+    ``partition_bytes`` before AQE coalesces small ones and splits skewed
+    ones; input splits are the same size, so a task's sort and hash buffers
+    fit executor memory. Dedupe state for streams goes to RocksDB (off heap,
+    spills to local disk) instead of the JVM heap.
+    """
+    partitions = max(200, -(-input_bytes // partition_bytes))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.session.timeZone": "UTC",
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    }
+
+
 def local_session(cores: int | str = "*", app: str = "churnlens", **extra: str) -> SparkSession:
     """Local-mode session used by tests and the bench."""
     builder = SparkSession.builder.master(f"local[{cores}]").appName(app)
