@@ -109,8 +109,8 @@ balanced AS (
 SCORE_ROWS = """
 scored AS (
   SELECT userId, gender, itemInSession, level, length, page,
-         CASE WHEN length <> floor(length) AND itemInSession % 2 = 0 THEN 2.0
-              WHEN length <> floor(length) THEN 1.0 ELSE 0.0 END AS churn_pred
+         CAST(CASE WHEN length <> floor(length) AND itemInSession % 2 = 0 THEN 2.0
+                   WHEN length <> floor(length) THEN 1.0 ELSE 0.0 END AS DOUBLE) AS churn_pred
   FROM train_rows),
 flagged AS (
   SELECT *, ((page = 'Cancellation Confirmation' AND churn_pred = 2)
@@ -217,7 +217,7 @@ def oracle_sql() -> dict[str, str]:
     q["class_sizes"] = (_with(*_BASE, TRAIN_ROWS) + ", counts AS (SELECT churn, count(*) AS count "
                         "FROM wrangled GROUP BY churn) SELECT max(count) AS max_count, "
                         "min(count) AS min_count, CASE WHEN count(*) = 3 THEN "
-                        "sum(count) - max(count) - min(count) END AS mid_count, "
+                        "CAST(sum(count) - max(count) - min(count) AS BIGINT) END AS mid_count, "
                         "count(*) AS n_classes FROM counts")
     q["balance_fractions"] = _with(*_BASE, TRAIN_ROWS, FRACTIONS) + " SELECT * FROM fractions"
     q["balanced_sample"] = _with(*_BASE, TRAIN_ROWS, FRACTIONS, BALANCED) + " SELECT * FROM balanced"

@@ -28,11 +28,14 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
+SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
+                 "boolean": "BOOLEAN"}
+
+
 def _norm(v):
+    """Exact comparison: floats by their repr (the driver hashes values)."""
     if isinstance(v, float):
-        if math.isnan(v):
-            return "nan"
-        return round(v, 9)
+        return "nan" if math.isnan(v) else repr(v)
     return v
 
 
@@ -55,12 +58,15 @@ def compare(spark, sf_dir: str, names: list[str] | None = None, verbose: bool =
         t1 = time.time()
         rel = con.sql(sqls[name])
         d_cols = rel.columns
+        s_types = dict(df.dtypes)
+        d_types = dict(zip(rel.columns, [str(t) for t in rel.types]))
+        ok_types = all(SPARK_TO_DUCK.get(t, t) == d_types.get(c) for c, t in s_types.items())
         d_rows = rel.fetchall()
         ok_cols = sorted(s_cols) == sorted(d_cols)
         ok_n = len(s_rows) == len(d_rows)
         ok_v = ok_cols and ok_n and normalise(s_cols, s_rows) == normalise(d_cols, d_rows)
-        results[name] = dict(cols=ok_cols, rows=ok_n, values=ok_v, n=len(s_rows), n_sql=len(d_rows),
-                             sec=round(t1 - t0, 2))
+        results[name] = dict(cols=ok_cols, types=ok_types, rows=ok_n, values=ok_v, n=len(s_rows),
+                             n_sql=len(d_rows), sec=round(t1 - t0, 2))
         if verbose:
             print(name, results[name], flush=True)
             if not ok_cols:

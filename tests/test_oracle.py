@@ -22,5 +22,6 @@ def test_every_oracle_has_a_query():
 def test_query_matches_oracle(spark, name):
     res = compare(spark, SF_SMALL, [name], verbose=False)[name]
     assert res["cols"], res
+    assert res["types"], res
     assert res["rows"], res
     assert res["values"], res
