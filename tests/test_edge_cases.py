@@ -188,3 +188,17 @@ def test_reference_style_random_sample_and_split(spark):
     assert 0 < counts[0] < 742
     parts = balance.random_split(s)
     assert sum(p.count() for p in parts) == s.count()
+
+
+def test_json_scan_modes(spark, scratch):
+    import os
+    from churnlens.sources import read_events
+    path = os.path.join(scratch, "events.json")
+    with open(path, "w") as f:
+        f.write('{"userId": "5", "page": "NextSong", "length": 200.5, "ts": 1704067200000}\n')
+        f.write('{"userId": "", "page": "Home", "ts": 1704067201000}\n')
+        f.write('{not json\n')
+    assert read_events(spark, path).count() == 3          # PERMISSIVE keeps a null row
+    assert read_events(spark, path, "DROPMALFORMED").count() == 2
+    rows = clean.cast_columns(read_events(spark, path, "DROPMALFORMED")).collect()
+    assert sorted((r.userId is None) for r in rows) == [False, True]
