@@ -77,6 +77,9 @@ def balanced_sample(df: DataFrame, k: float = SCRIPT_BALANCE_K, keys: Sequence[s
     ``floor(fraction * buckets)`` -- deterministic and partition-independent.
     ``method="random"`` reproduces the reference's seeded Bernoulli
     ``sample`` per class, unioned (partition-dependent).
+
+    ``df`` is read twice (class counts, then the rows); pass a materialised
+    table when it is expensive to compute.
     """
     fractions = balance_fractions(class_counts(df, label), k, label=label)
     if method == "random":

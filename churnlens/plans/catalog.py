@@ -60,9 +60,15 @@ def q_class_counts(spark, sf_dir):
 
 
 def q_null_profile(spark, sf_dir):
+    """A3/A4 before and after imputation, in one pass: only ``length`` differs."""
     cast = _cast(spark, sf_dir)
-    raw = profile.null_profile(cast).withColumn("stage", F.lit("raw"))
-    imp = profile.null_profile(clean.impute_length(cast)).withColumn("stage", F.lit("imputed"))
+    both = clean.impute_length(cast.withColumn("length_raw", F.col("length")))
+    prof = profile.null_profile(both)
+    cols = [c for c in cast.columns]
+    raw = (prof.where(F.col("column_name").isin([c for c in cols if c != "length"] + ["length_raw"]))
+               .withColumn("column_name", F.regexp_replace("column_name", "^length_raw$", "length"))
+               .withColumn("stage", F.lit("raw")))
+    imp = prof.where(F.col("column_name").isin(cols)).withColumn("stage", F.lit("imputed"))
     return raw.unionByName(imp)
 
 
@@ -111,7 +117,8 @@ def q_balance_fractions(spark, sf_dir):
 
 
 def q_balanced_sample(spark, sf_dir):
-    return balance.balanced_sample(q_wrangle_train(spark, sf_dir))
+    from ..operators.checkpoint import materialize
+    return balance.balanced_sample(materialize(q_wrangle_train(spark, sf_dir), "wrangled"))
 
 
 def q_hash_split(spark, sf_dir):

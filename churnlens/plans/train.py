@@ -28,7 +28,10 @@ def prepare_training(events: DataFrame, k: float = SCRIPT_BALANCE_K, split_by: s
     restarts from this table instead of re-running the wrangle (the reference
     re-reads the JSON on each action).
     """
-    rows = (wrangle_train(events, tuning=tuning)
+    # The sample reads the wrangled rows twice (class counts, then rows): write
+    # them once so the wrangle is not recomputed.
+    wrangled = materialize(wrangle_train(events, tuning=tuning), "wrangled")
+    rows = (wrangled
             .transform(balanced_sample, k=k, tuning=tuning)
             .transform(hash_split, split_by=split_by, tuning=tuning)
             .transform(assign_folds, tuning=tuning)
