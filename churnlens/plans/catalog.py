@@ -64,7 +64,7 @@ def q_null_profile(spark, sf_dir):
     cast = _cast(spark, sf_dir)
     both = clean.impute_length(cast.withColumn("length_raw", F.col("length")))
     prof = profile.null_profile(both)
-    cols = [c for c in cast.columns]
+    cols = cast.columns
     raw = (prof.where(F.col("column_name").isin([c for c in cols if c != "length"] + ["length_raw"]))
                .withColumn("column_name", F.regexp_replace("column_name", "^length_raw$", "length"))
                .withColumn("stage", F.lit("raw")))
