@@ -267,6 +267,8 @@ def write_json_batches(df: DataFrame, path: str, n_batches: int = 3) -> tuple[st
     largest number of files in one batch (a ``maxFilesPerTrigger`` that makes
     one micro-batch per time batch).
     """
+    from ..operators.checkpoint import materialize
+    df = materialize(df, "upload")  # computed once; each batch below is a filtered scan
     day = F.floor(F.col("ts") / F.lit(86_400_000))
     lo, hi = df.agg(F.min(day), F.max(day)).first()
     width = (hi - lo) // n_batches + 1
