@@ -202,3 +202,19 @@ def test_json_scan_modes(spark, scratch):
     assert read_events(spark, path, "DROPMALFORMED").count() == 2
     rows = clean.cast_columns(read_events(spark, path, "DROPMALFORMED")).collect()
     assert sorted((r.userId is None) for r in rows) == [False, True]
+
+
+def test_imputation_changes_only_null_lengths(spark):
+    from churnlens.sources import load_clickstream
+    cast = clean.cast_columns(load_clickstream(spark, "/root/testdata/sf0.001"))
+    keys = ["userId", "sessionId", "itemInSession"]
+    before = cast.select(*keys, F.col("length").alias("before"))
+    after = clean.impute_length(cast).select(*keys, F.col("length").alias("after"))
+    means = cast.groupBy("userId").agg(F.avg("length").alias("m"))
+    j = before.alias("b").join(after.alias("a"), [F.col(f"b.{k}").eqNullSafe(F.col(f"a.{k}")) for k in keys])
+    j = j.join(means.alias("mm"), F.col("b.userId") == F.col("mm.userId"), "left")
+    assert j.count() == cast.count()
+    assert j.where(F.col("before").isNotNull() & (F.col("before") != F.col("after"))).count() == 0
+    changed = j.where(F.col("before").isNull() & F.col("after").isNotNull())
+    assert changed.where(F.col("after") != F.col("m")).count() == 0
+    assert changed.count() > 0

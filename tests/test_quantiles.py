@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from hypothesis import given, settings, strategies as st
 
 from churnlens.operators.quantiles import exact_quantiles
 
@@ -24,3 +25,13 @@ def test_matches_numpy(spark, seed):
 def test_nulls_are_ignored(spark):
     df = spark.createDataFrame([(1.0,), (None,), (3.0,)], "x double")
     assert exact_quantiles(df, ["x"], [0.5])["x"][0.5] == 2.0
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.integers(-10**12, 10**12), min_size=1, max_size=60),
+       st.sampled_from([0.0, 0.1, 0.25, 0.5, 0.9, 1.0]))
+def test_property_matches_numpy(spark, values, p):
+    df = spark.createDataFrame([(v,) for v in values], "x long")
+    got = exact_quantiles(df, ["x"], [p], buckets=3, fetch_max=4)["x"][p]
+    assert got == pytest.approx(float(np.quantile(np.array(values, dtype=float), p)),
+                                rel=1e-12, abs=1e-6)
