@@ -61,7 +61,11 @@ def local_session(cores: int | str = "*", app: str = "churnlens", **extra: str)
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, choosing a private one only if unset."""
+    """Return the shared checkpoint folder from the session.
+
+    When it is unset, a private temporary folder is chosen in local mode (as in
+    tests); on a cluster that would be machine-local, so it is an error.
+    """
     try:
         sc = spark.sparkContext
     except Exception:  # a remote (Connect) session has no local SparkContext
@@ -73,7 +77,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not configured and sc is not None:
         configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        configured = tempfile.mkdtemp(prefix="churnlens-ckpt-")
+        master = (sc.master if sc is not None else spark.conf.get("spark.master", "")) or ""
+        if not master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir is not set: set it to a folder every executor "
+                             "and the driver share (scratch tables and lineage cuts go there)")
+        configured = tempfile.mkdtemp(prefix="churnlens-ckpt-")  # local mode only
     if sc is None:
         return configured
     sc.setCheckpointDir(configured)
