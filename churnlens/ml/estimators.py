@@ -56,10 +56,19 @@ def make_classifier(kind: str, label: str = LABEL):
 
 
 def build_model_pipeline(kind: str = "dt", features: Sequence[str] = MODEL_FEATURES,
-                         label: str = LABEL) -> tuple[Pipeline, object]:
-    """M2 + M6: [indexer] -> assembler -> classifier. Returns (pipeline, classifier)."""
+                         label: str = LABEL, index_on: DataFrame | None = None
+                         ) -> tuple[Pipeline, object]:
+    """M2 + M6: [indexer] -> assembler -> classifier. Returns (pipeline, classifier).
+
+    With ``index_on`` the indexer is fitted once on that table (as the
+    reference indexes the whole wrangled table before splitting) and enters
+    the pipeline as a fitted stage, so cross-validation does not refit it per
+    fold; otherwise it is fitted with the pipeline.
+    """
     strings = [c for c in features if c in STRING_FEATURES]
-    stages = [_indexer(strings)] if strings else []
+    stages = []
+    if strings:
+        stages = [_indexer(strings).fit(index_on) if index_on is not None else _indexer(strings)]
     inputs = [f"{c}__idx" if c in strings else c for c in features]
     clf = make_classifier(kind, label)
     stages += [VectorAssembler(inputCols=inputs, outputCol="features"), clf]
@@ -84,13 +93,13 @@ def evaluator(metric: str = "f1", label: str = LABEL) -> MulticlassClassificatio
 
 def cross_validator(kind: str = "dt", features: Sequence[str] = MODEL_FEATURES,
                     grid: dict | None = None, parallelism: int = 8,
-                    label: str = LABEL) -> CrossValidator:
+                    label: str = LABEL, index_on: DataFrame | None = None) -> CrossValidator:
     """M8: k-fold CV on a precomputed ``fold`` column, best by weighted F1.
 
     Hash folds make the folds independent of partitioning; ``parallelism``
     fits grid points concurrently (the reference fits them in sequence).
     """
-    pipe, clf = build_model_pipeline(kind, features, label)
+    pipe, clf = build_model_pipeline(kind, features, label, index_on)
     return CrossValidator(estimator=pipe, estimatorParamMaps=param_grid(kind, clf, grid),
                           evaluator=evaluator("f1", label), numFolds=NUM_FOLDS, foldCol="fold",
                           parallelism=parallelism, seed=SEED)

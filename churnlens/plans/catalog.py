@@ -252,8 +252,9 @@ def _dt_model(spark, sf_dir):
     loaded back (S4, S5)."""
     from ..ml.estimators import build_model_pipeline
     from ..sources.sinks import load_pipeline, save_pipeline
-    pipe, _ = build_model_pipeline("dt")
-    model = pipe.fit(_prepared(spark, sf_dir).where(F.col("split") == "train"))
+    prepared = _prepared(spark, sf_dir)
+    pipe, _ = build_model_pipeline("dt", index_on=prepared)
+    model = pipe.fit(prepared.where(F.col("split") == "train"))
     path = scratch_path(spark, "model-dt")
     save_pipeline(model, path)
     return load_pipeline(path)

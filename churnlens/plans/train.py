@@ -44,7 +44,7 @@ def fit_best(prepared: DataFrame, kind: str = "dt", features: Sequence[str] = MO
     """Cross-validate on the train split and return the refitted best pipeline (M9)."""
     label = BINARY_LABEL if kind == "gbt_binary" else LABEL
     train = prepared.where(F.col("split") == "train")
-    cv = cross_validator(kind, features, grid, parallelism, label).fit(train)
+    cv = cross_validator(kind, features, grid, parallelism, label, index_on=prepared).fit(train)
     return cv.bestModel
 
 
