@@ -91,14 +91,14 @@ def describe_numeric(df: DataFrame, cols: Sequence[str] | None = None,
         rows.append((c, n, _round(mean, digits), _round(std, digits),
                      None if lo is None else float(lo),
                      *[qc.get(p) for p in probs], None if hi is None else float(hi)))
-    schema = T.StructType(
-        [T.StructField("column_name", T.StringType()), T.StructField("count", T.LongType()),
-         T.StructField("mean", T.DoubleType()), T.StructField("std", T.DoubleType()),
-         T.StructField("min", T.DoubleType())]
-        + [T.StructField(f"q{int(round(p * 100))}", T.DoubleType()) for p in probs]
-        + [T.StructField("max", T.DoubleType())])
-    # At most one row per column: the summary itself, assembled from the passes above.
-    return spark.createDataFrame(rows, schema)
+    names = (["column_name", "count", "mean", "std", "min"]
+             + [f"q{int(round(p * 100))}" for p in probs] + ["max"])
+    types = ["string", "bigint"] + ["double"] * (len(names) - 2)
+    # At most one row per column: the summary itself, assembled from the passes
+    # above as literals (a JVM-side local relation; no Python worker involved).
+    structs = [F.struct(*[F.lit(v).cast(t).alias(n) for v, n, t in zip(r, names, types)])
+               for r in rows]
+    return spark.range(1).select(F.inline(F.array(*structs)))
 
 
 def _round(x: float | None, digits: int) -> float | None:

@@ -5,7 +5,7 @@ import pytest
 from conftest import SF_SMALL
 
 PY_NODES = ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "FlatMapGroupsInPandas",
-            "MapInPandas")
+            "MapInPandas", "ExistingRDD", "PythonRDD")
 
 
 def _plan(df):
