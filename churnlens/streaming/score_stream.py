@@ -21,6 +21,7 @@ from ..config import DEFAULT, Tuning
 from ..operators.checkpoint import materialize
 from ..operators.clean import cast_columns, user_means
 from ..schema import EVENT_SCHEMA, TRAIN_COLUMNS
+from ..session import scratch_path
 from ..plans.score import SCORED_COLUMNS
 
 EVENT_TIME = "event_time"
@@ -31,6 +32,23 @@ def mean_table(events: DataFrame) -> DataFrame:
     return materialize(user_means(cast_columns(events)).drop("__rows"), "stream-user-means")
 
 
+def bucketed_by_user(means: DataFrame, buckets: int | None = None) -> DataFrame:
+    """The mean table written once, bucketed and sorted by ``userId``.
+
+    For a table too large to broadcast: each micro-batch then shuffles only
+    its own rows to the bucket layout, instead of re-shuffling the whole
+    static table every batch. Stored as an external table under the shared
+    checkpoint folder.
+    """
+    spark = means.sparkSession
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    path = scratch_path(spark, "user-means-bucketed")
+    name = "churnlens_user_means_" + path.rsplit("-", 1)[-1]
+    (means.write.bucketBy(n, "userId").sortBy("userId").option("path", path)
+          .mode("overwrite").saveAsTable(name))
+    return spark.table(name)
+
+
 def scored_stream(spark: SparkSession, source_dir: str, model: PipelineModel, means: DataFrame,
                   delay: str, max_files_per_trigger: int = 1,
                   broadcast_means: bool = True) -> DataFrame:
@@ -63,9 +81,11 @@ def run_score_stream(spark: SparkSession, source_dir: str, model: PipelineModel,
     The checkpoint location makes the query restartable after a failure with
     exactly-once output to the file sink.
     """
-    n_means = means.count()
+    small = means.count() <= tuning.broadcast_max_rows
+    if not small:
+        means = bucketed_by_user(means)
     scored = scored_stream(spark, source_dir, model, means, delay, max_files_per_trigger,
-                           broadcast_means=n_means <= tuning.broadcast_max_rows)
+                           broadcast_means=small)
     return (scored.writeStream.format("parquet").outputMode("append")
             .option("checkpointLocation", checkpoint_path)
             .trigger(availableNow=True)

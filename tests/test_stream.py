@@ -51,3 +51,23 @@ def test_short_delay_lets_late_copies_through(spark, setup):
     batch = setup[4]
     assert out.count() > batch.count()
     assert _rows(out.distinct()) == _rows(batch)
+
+
+def test_large_mean_table_is_bucketed_not_broadcast(spark, setup):
+    """Beyond the broadcast bound the static side is a bucketed table; same result."""
+    from churnlens.config import Tuning
+    base, model, source, means, batch, per_batch = setup
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        q = run_score_stream(spark, source, model, means, os.path.join(base, "bucketed"),
+                             os.path.join(base, "bucketed-ckpt"), "40 days", per_batch,
+                             tuning=Tuning(broadcast_max_rows=0))
+        q.awaitTermination()
+        plan = q._jsq.streamingQuery().lastExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "SortMergeJoin" in plan and "Bucketed: true" in plan
+    # Only the micro-batch side is shuffled on userId; the bucketed table is read in place.
+    assert plan.count("Exchange hashpartitioning(userId") == 1, plan
+    assert _rows(spark.read.parquet(os.path.join(base, "bucketed"))) == _rows(batch)
