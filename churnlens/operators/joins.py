@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT, Tuning
-from .checkpoint import materialize
+from .checkpoint import materialize_observed
 
 _SALT = "__salt"
 _NSALT = "__nsalt"
@@ -38,13 +38,13 @@ def _shuffle_partitions(df: DataFrame) -> int:
 def attach_by_key(big: DataFrame, side: DataFrame, key: str, weight_col: str,
                   tuning: Tuning = DEFAULT, name: str = "side") -> DataFrame:
     """``big LEFT JOIN side USING (key)``; ``weight_col`` = big rows per key (dropped)."""
-    side = materialize(side, name)
-    n_side = side.count()  # parquet footers only
+    side, seen = materialize_observed(side, name, rows=F.count(F.lit(1)),
+                                      total=F.sum(weight_col))
     value_cols = [c for c in side.columns if c not in (key, weight_col)]
-    if n_side <= tuning.broadcast_max_rows:
+    if seen["rows"] <= tuning.broadcast_max_rows:
         return big.join(F.broadcast(side.select(key, *value_cols)), key, "left")
 
-    total = side.agg(F.sum(weight_col)).first()[0] or 0
+    total = seen["total"] or 0
     per_task = max(1, math.ceil(total / _shuffle_partitions(big)))
     hot_floor = max(per_task, math.ceil(tuning.hot_key_share * total))
     hot = (side.where(F.col(weight_col) > hot_floor)

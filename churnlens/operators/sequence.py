@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT, Tuning
-from .checkpoint import materialize
+from .checkpoint import materialize, materialize_counted
 
 _POS_BITS = 33  # monotonically_increasing_id: partition id << 33 | row in partition
 
@@ -70,8 +70,8 @@ def row_number_within(df: DataFrame, groups: Sequence[str], order: Sequence[str]
                       .agg(F.min("__pos").alias("__start"), F.count(F.lit(1)).alias("__n"))
                       .withColumn("__carry", F.coalesce(F.sum("__n").over(earlier), F.lit(0)))
                       .drop("__n"))
-    segments = materialize(segments, "segments")
-    side = F.broadcast(segments) if segments.count() <= tuning.broadcast_max_rows else segments
+    segments, n_segments = materialize_counted(segments, "segments")
+    side = F.broadcast(segments) if n_segments <= tuning.broadcast_max_rows else segments
     cond = [ranged[c].eqNullSafe(side[c]) for c in seg_keys]
     joined = ranged.join(side, cond, "inner")
     return joined.select(
