@@ -218,3 +218,12 @@ def test_imputation_changes_only_null_lengths(spark):
     changed = j.where(F.col("before").isNull() & F.col("after").isNotNull())
     assert changed.where(F.col("after") != F.col("m")).count() == 0
     assert changed.count() > 0
+
+
+def test_split_by_user_keeps_each_user_on_one_side(spark):
+    from churnlens.sources import load_clickstream
+    base = wrangle_train(load_clickstream(spark, "/root/testdata/sf0.001"))
+    by_user = balance.hash_split(base, split_by="user")
+    per_user = by_user.groupBy("userId").agg(F.countDistinct("split").alias("n"))
+    assert per_user.where(F.col("n") > 1).count() == 0
+    assert by_user.select("split").distinct().count() >= 2
