@@ -7,8 +7,9 @@ composes with ``df.transform``.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -38,15 +39,19 @@ def user_means(df: DataFrame, key: str = "userId", value: str = "length") -> Dat
 
 
 def impute_length(df: DataFrame, key: str = "userId", value: str = "length",
-                  tuning: Tuning = DEFAULT) -> DataFrame:
+                  tuning: Tuning = DEFAULT, keep: Column | None = None) -> DataFrame:
     """A1 + J1 + P5: fill a null ``value`` with the mean of its key.
 
     Null keys never match, so their rows stay null (and a user with no
     non-null value keeps nulls). Column order follows the reference: the key
     first, then the other columns, then the filled value last.
+
+    ``keep`` filters the rows that go through the join (e.g. rows a later
+    ``dropna`` would drop anyway); the means still come from every row.
     """
     means = user_means(df, key, value)
-    joined = attach_by_key(df, means, key, "__rows", tuning, name="user-means")
+    big = df if keep is None else df.where(keep)
+    joined = attach_by_key(big, means, key, "__rows", tuning, name="user-means")
     others = [c for c in df.columns if c not in (key, value)]
     return joined.select(key, *others,
                          F.coalesce(F.col(value), F.col("mean_length")).alias(value))
@@ -92,10 +97,22 @@ def lower_strings(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame
     return df.withColumns({c: F.lower(F.col(c)) for c in targets})
 
 
-def clean(df: DataFrame, cols: Sequence[str], tuning: Tuning = DEFAULT) -> DataFrame:
-    """P1 -> A1/J1/P5 -> P2 -> P6 -> A7: the shared cleaning prefix."""
-    return (df.transform(cast_columns)
-              .transform(impute_length, tuning=tuning)
-              .select(*cols)
-              .transform(drop_incomplete)
-              .transform(dedupe))
+def clean(df: DataFrame, cols: Sequence[str], tuning: Tuning = DEFAULT,
+          value: str = "length") -> DataFrame:
+    """P1 -> A1/J1/P5 -> P2 -> P6 -> A7: the shared cleaning prefix.
+
+    Same result as dropping incomplete rows after the imputation join, but
+    the null checks on columns the join does not change run before it, so
+    rows that will be dropped (e.g. logged-out users) never reach the join.
+    Only the imputed ``value`` is checked after it.
+    """
+    cast = cast_columns(df)
+    floats = {f.name for f in cast.schema.fields
+              if isinstance(f.dataType, (T.FloatType, T.DoubleType))}
+    checks = [(F.col(c).isNotNull() & ~F.isnan(F.col(c))) if c in floats else F.col(c).isNotNull()
+              for c in cols if c != value]
+    keep = reduce(lambda a, b: a & b, checks) if checks else None
+    return (impute_length(cast, value=value, tuning=tuning, keep=keep)
+            .select(*cols)
+            .transform(drop_incomplete, [value] if value in cols else None)
+            .transform(dedupe))
