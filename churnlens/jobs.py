@@ -5,6 +5,7 @@
     spark-submit -m churnlens.jobs stream --source DIR --model PATH --means PATH --out PATH
                                           --checkpoint PATH --delay "1 day"
     spark-submit -m churnlens.jobs profile --events PATH --out PATH
+    spark-submit -m churnlens.jobs means  --events PATH --out PATH   (the stream's mean table)
 
 ``--events`` is JSON lines in the documented event schema (S1). The session
 comes from ``spark-submit``; scratch tables go under its
@@ -69,6 +70,13 @@ def cmd_profile(a) -> None:
     write_table(describe_numeric(impute_length(cast)), f"{a.out}/describe")
 
 
+def cmd_means(a) -> None:
+    from .operators.clean import cast_columns, user_means
+    from .sources import read_events, write_table
+    spark = _session("churnlens-means")
+    write_table(user_means(cast_columns(read_events(spark, a.events))).drop("__rows"), a.out)
+
+
 def main(argv: list[str] | None = None) -> None:
     p = argparse.ArgumentParser(prog="churnlens.jobs")
     sub = p.add_subparsers(dest="cmd", required=True)
@@ -100,6 +108,10 @@ def main(argv: list[str] | None = None) -> None:
     pr.add_argument("--events", required=True)
     pr.add_argument("--out", required=True)
     pr.set_defaults(fn=cmd_profile)
+    mn = sub.add_parser("means")
+    mn.add_argument("--events", required=True)
+    mn.add_argument("--out", required=True)
+    mn.set_defaults(fn=cmd_means)
     a = p.parse_args(argv)
     a.fn(a)
 

@@ -4,7 +4,7 @@ import os
 
 from conftest import SF_SMALL
 from churnlens.jobs import main
-from churnlens.sources import load_clickstream, read_events, write_table
+from churnlens.sources import load_clickstream, read_events
 from churnlens.streaming.score_stream import mean_table
 
 
@@ -17,7 +17,9 @@ def test_train_score_stream_profile(spark, scratch, capsys):
     scored = os.path.join(scratch, "scored")
     main(["score", "--events", events, "--model", model, "--out", scored])
     assert spark.read.parquet(scored).count() > 0
-    means = write_table(mean_table(read_events(spark, events)), os.path.join(scratch, "means"))
+    means = os.path.join(scratch, "means")
+    main(["means", "--events", events, "--out", means])
+    assert spark.read.parquet(means).count() == mean_table(read_events(spark, events)).count()
     streamed = os.path.join(scratch, "streamed")
     main(["stream", "--source", events, "--model", model, "--means", means, "--out", streamed,
           "--checkpoint", os.path.join(scratch, "ckpt"), "--delay", "40 days"])
