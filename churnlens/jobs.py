@@ -1,4 +1,4 @@
-"""Command-line jobs: train, score, stream, profile.
+"""Command-line jobs: train, score, stream, profile, means.
 
     spark-submit -m churnlens.jobs train  --events PATH --model-out PATH [--kind dt|rf|gbt_ovr|gbt_binary]
     spark-submit -m churnlens.jobs score  --events PATH --model PATH --out PATH
