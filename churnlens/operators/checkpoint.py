@@ -27,8 +27,8 @@ def materialize_observed(df: DataFrame, name: str = "table",
     The metrics come from the write job itself (``Observation``), so no second
     job lists and reads the footers of every written file.
     """
-    obs = Observation(f"metrics-{name}")
     path = scratch_path(df.sparkSession, name)
+    obs = Observation(f"metrics-{path.rsplit('/', 1)[-1]}")  # unique per write
     exprs = [m.alias(k) for k, m in metrics.items()]
     df.observe(obs, *exprs).write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path), dict(obs.get)
