@@ -22,6 +22,7 @@ LOCAL_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.serializer": "org.apache.spark.serializer.KryoSerializer",
     "spark.driver.memory": "16g",
 }
 
@@ -44,6 +45,8 @@ def cluster_conf(input_bytes: int, partition_bytes: int = 256 << 20) -> dict[str
         "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.files.maxPartitionBytes": str(partition_bytes),
         "spark.sql.session.timeZone": "UTC",
+        # Spark ML's tree training shuffles JVM objects (RDD aggregates): Kryo.
+        "spark.serializer": "org.apache.spark.serializer.KryoSerializer",
         "spark.sql.streaming.stateStore.providerClass":
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     }
