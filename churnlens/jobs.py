@@ -62,11 +62,11 @@ def cmd_stream(a) -> None:
 
 def cmd_profile(a) -> None:
     from .operators.clean import cast_columns, impute_length
-    from .operators.profile import describe_numeric, null_profile
+    from .operators.profile import describe_numeric, null_profile_stages
     from .sources import read_events, write_table
     spark = _session("churnlens-profile")
     cast = cast_columns(read_events(spark, a.events))
-    write_table(null_profile(cast), f"{a.out}/null_profile")
+    write_table(null_profile_stages(cast, impute_length), f"{a.out}/null_profile")
     write_table(describe_numeric(impute_length(cast)), f"{a.out}/describe")
 
 

@@ -47,6 +47,23 @@ def null_profile(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
                         / F.col("__n").cast("double")).alias("null_pct"))
 
 
+def null_profile_stages(cast: DataFrame, impute, value: str = "length") -> DataFrame:
+    """A3/A4 before and after imputation in one pass (only ``value`` differs).
+
+    ``impute`` is the imputation step (``DataFrame -> DataFrame``); the raw
+    values ride along as an extra column, so one aggregation gives both.
+    Output: ``stage`` (raw, imputed), ``column_name``, ``null_count``, ``null_pct``.
+    """
+    raw_col = f"{value}_raw"
+    prof = null_profile(impute(cast.withColumn(raw_col, F.col(value))))
+    cols = cast.columns
+    raw = (prof.where(F.col("column_name").isin([c for c in cols if c != value] + [raw_col]))
+               .withColumn("column_name", F.regexp_replace("column_name", f"^{raw_col}$", value))
+               .withColumn("stage", F.lit("raw")))
+    imp = prof.where(F.col("column_name").isin(cols)).withColumn("stage", F.lit("imputed"))
+    return raw.unionByName(imp)
+
+
 def describe_numeric(df: DataFrame, cols: Sequence[str] | None = None,
                      probs: Sequence[float] = (0.25, 0.5, 0.75), digits: int = 6) -> DataFrame:
     """A5: count, mean, std, min, quartiles, max per numeric column (exact).

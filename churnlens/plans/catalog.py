@@ -61,15 +61,7 @@ def q_class_counts(spark, sf_dir):
 
 def q_null_profile(spark, sf_dir):
     """A3/A4 before and after imputation, in one pass: only ``length`` differs."""
-    cast = _cast(spark, sf_dir)
-    both = clean.impute_length(cast.withColumn("length_raw", F.col("length")))
-    prof = profile.null_profile(both)
-    cols = cast.columns
-    raw = (prof.where(F.col("column_name").isin([c for c in cols if c != "length"] + ["length_raw"]))
-               .withColumn("column_name", F.regexp_replace("column_name", "^length_raw$", "length"))
-               .withColumn("stage", F.lit("raw")))
-    imp = prof.where(F.col("column_name").isin(cols)).withColumn("stage", F.lit("imputed"))
-    return raw.unionByName(imp)
+    return profile.null_profile_stages(_cast(spark, sf_dir), clean.impute_length)
 
 
 def q_describe_numeric(spark, sf_dir):
