@@ -176,3 +176,15 @@ def laid_out(ids: np.ndarray, lengths: np.ndarray, lanes: int, pad: int):
     has = lengths > 0
     first[offset[has], lane[has]] = 1
     return grid, first, row, col
+
+
+def in_stream(ids: np.ndarray, lengths: np.ndarray, lanes: int):
+    """All texts end to end, cut into ``lanes`` equal runs, and the marks where a state starts anew."""
+    lanes = max(1, min(lanes, len(ids)))
+    steps = len(ids) // lanes
+    first = np.zeros(len(ids), F32)
+    first[(np.cumsum(lengths) - lengths)[lengths > 0]] = 1
+    grid = ids[:steps * lanes].reshape(lanes, steps).T
+    marks = first[:steps * lanes].reshape(lanes, steps).T.copy()
+    marks[:1] = 1
+    return np.ascontiguousarray(grid), marks

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.checkpoint import materialize
-from .gru import Gru, laid_out
+from .gru import Gru, in_stream, laid_out
 from .shingles import U, chunks, mix, word_hashes
 
 END = np.int64(0x0E9D0E9D0E9D0E9D)  # the name of the end token
@@ -133,7 +133,7 @@ def train(docs: DataFrame, vocabulary: Vocabulary, one_in: int = 16, docs_per_mo
             texts = _encoded(f["text"])
             h, lengths = _tokens(texts)
             ids = vocab.look_up(h)[0]
-            grid, first, _, _ = laid_out(ids, lengths, lanes, int(ids[-1]))
+            grid, first = in_stream(ids, lengths, lanes)
             for _ in range(2):
                 model.train(grid, first, window, rate)
             seen += len(ids)
