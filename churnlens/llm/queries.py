@@ -119,12 +119,12 @@ drawn AS (SELECT s.doc_id, s.source, s.tokens, unnest(range(0, ceil(quota / tota
           FROM sized s JOIN quotas q ON s.source IS NOT DISTINCT FROM q.source WHERE quota > 0),
 run AS (SELECT *, coalesce(sum(tokens) OVER (PARTITION BY source ORDER BY epoch,
             md5('1|' || epoch || '|' || coalesce(doc_id::VARCHAR, '')), doc_id
-            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS at FROM drawn),
-placed AS (SELECT *, (at::HUGEINT * (SELECT greatest(1, (t + 262143) // 262144) FROM params) // quota)::BIGINT AS block
-           FROM run WHERE at < quota)
+            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS pos FROM drawn),
+placed AS (SELECT *, (pos::HUGEINT * (SELECT greatest(1, (t + 262143) // 262144) FROM params) // quota)::BIGINT AS block
+           FROM run WHERE pos < quota)
 SELECT doc_id, source, tokens, epoch::INTEGER AS epoch, block,
        row_number() OVER (PARTITION BY block ORDER BY
-         md5('1|' || block || '|' || epoch || '|' || coalesce(doc_id::VARCHAR, '')), source, epoch, at) - 1 AS slot
+         md5('1|' || block || '|' || epoch || '|' || coalesce(doc_id::VARCHAR, '')), source, epoch, pos) - 1 AS slot
 FROM placed
 """
 
