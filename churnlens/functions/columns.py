@@ -88,3 +88,14 @@ def hash_bucket(keys: list[str | Column], salt: str, buckets: int = 10_000) -> C
     parts = [_col(k).cast("string") for k in keys] + [F.lit(salt)]
     digest = F.md5(F.concat_ws("|", *parts))
     return F.pmod(F.conv(F.substring(digest, 1, 8), 16, 10).cast("long"), F.lit(buckets))
+
+
+#: ``hash_fraction_bits`` values lie in ``[0, HASH_RANGE)``.
+HASH_RANGE = 1 << 60
+
+
+def hash_fraction_bits(keys: list[str | Column], salt: str) -> Column:
+    """Sixty bits of the same digest, for keep fractions of any size without a floor."""
+    parts = [_col(k).cast("string") for k in keys] + [F.lit(salt)]
+    digest = F.md5(F.concat_ws("|", *parts))
+    return F.conv(F.substring(digest, 1, 15), 16, 10).cast("long")

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT, FOLD_SALT, SAMPLE_SALT, SPLIT_SALT, Tuning
-from ..functions import hash_bucket
+from ..functions import HASH_RANGE, hash_bucket, hash_fraction_bits
 from ..schema import (CLASS_CANCEL, LABEL, NUM_FOLDS, SCRIPT_BALANCE_K, SEED, TRAIN_FRACTION,
                       VALID_FRACTION_OF_REST)
 
@@ -69,12 +69,12 @@ def balance_fractions(counts: DataFrame, k: float = SCRIPT_BALANCE_K,
 
 
 def balanced_sample(df: DataFrame, k: float = SCRIPT_BALANCE_K, keys: Sequence[str] = ROW_KEYS,
-                    tuning: Tuning = DEFAULT, label: str = LABEL,
-                    method: str = "hash") -> DataFrame:
+                    label: str = LABEL, method: str = "hash") -> DataFrame:
     """P7 + B2 + U1: keep each row with its class fraction.
 
-    ``method="hash"`` keeps a row when its sample bucket is below
-    ``floor(fraction * buckets)`` -- deterministic and partition-independent.
+    ``method="hash"`` keeps a row when 60 bits of its hash are below that share
+    of their range -- deterministic, partition-independent, and as exact for a
+    fraction of 1e-9 as for one of a half.
     ``method="random"`` reproduces the reference's seeded Bernoulli
     ``sample`` per class, unioned (partition-dependent).
 
@@ -91,9 +91,9 @@ def balanced_sample(df: DataFrame, k: float = SCRIPT_BALANCE_K, keys: Sequence[s
             out = out.unionByName(p)
         return out
     threshold = fractions.select(
-        label, F.floor(F.col("fraction") * F.lit(tuning.buckets)).alias("__keep_below"))
+        label, F.floor(F.col("fraction") * F.lit(float(HASH_RANGE))).cast("long").alias("__keep_below"))
     return (df.join(F.broadcast(threshold), label)  # <= one row per class
-              .where(hash_bucket(list(keys), SAMPLE_SALT, tuning.buckets) < F.col("__keep_below"))
+              .where(hash_fraction_bits(list(keys), SAMPLE_SALT) < F.col("__keep_below"))
               .drop("__keep_below"))
 
 

@@ -89,6 +89,11 @@ def _bucket(keys: list[str], salt: str, buckets: int = 10_000) -> str:
     return f"(CAST('0x' || substr(md5(concat_ws('|', {parts})), 1, 8) AS BIGINT) % {buckets})"
 
 
+def _bits(keys: list[str], salt: str) -> str:
+    parts = ", ".join([f"CAST({k} AS VARCHAR)" for k in keys] + [f"'{salt}'"])
+    return f"CAST('0x' || substr(md5(concat_ws('|', {parts})), 1, 15) AS BIGINT)"
+
+
 _ROW_KEYS = ["userId", "gender", "itemInSession", "level", "churn"]
 
 FRACTIONS = """
@@ -104,7 +109,8 @@ BALANCED = f"""
 balanced AS (
   SELECT w.userId, w.gender, w.itemInSession, w.level, w.length, w.churn
   FROM wrangled w JOIN fractions f ON w.churn = f.churn
-  WHERE {_bucket(['w.' + k for k in _ROW_KEYS], SAMPLE_SALT)} < floor(f.fraction * 10000))"""
+  WHERE {_bits(['w.' + k for k in _ROW_KEYS], SAMPLE_SALT)}
+        < CAST(floor(f.fraction * CAST(1152921504606846976 AS DOUBLE)) AS BIGINT))"""
 
 SCORE_ROWS = """
 scored AS (

@@ -227,3 +227,15 @@ def test_split_by_user_keeps_each_user_on_one_side(spark):
     per_user = by_user.groupBy("userId").agg(F.countDistinct("split").alias("n"))
     assert per_user.where(F.col("n") > 1).count() == 0
     assert by_user.select("split").distinct().count() >= 2
+
+
+def test_balanced_sample_keeps_every_class_at_tiny_fractions(spark):
+    """A class whose keep fraction is far under 1e-4 is thinned, not emptied."""
+    from churnlens.operators.balance import balanced_sample
+    n = 2_000_000
+    rows = spark.range(n).select(
+        F.col("id").cast("int").alias("userId"), F.lit("M").alias("gender"), F.lit(1).alias("itemInSession"),
+        F.lit("free").alias("level"), F.when(F.col("id") < 2, 2).when(F.col("id") < 200, 1).otherwise(0).alias("churn"))
+    got = {r["churn"]: r["count"] for r in balanced_sample(rows).groupBy("churn").count().collect()}
+    assert got[2] == 2
+    assert 1 <= got[1] <= 60 and 1 <= got[0] <= 60  # 8.6 * 2 expected each
