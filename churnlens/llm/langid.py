@@ -85,7 +85,7 @@ def fit(train: DataFrame, top: int = 4096) -> Filters:
     counts = rows.mapInPandas(_count, "lang string, gram long, n long").groupBy("lang", "gram").agg(
         F.sum("n").alias("n"))
     best = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
-    chosen = (counts.withColumn("r", F.row_number().over(best)).filter(F.col("r") <= top)).toPandas()
+    chosen = (counts.withColumn("r", F.row_number().over(best)).filter(F.col("r") <= top)).toArrow().to_pandas()
     langs = sorted(chosen["lang"].unique())
     words = max(1, -(-len(langs) // 64))
     slots = np.zeros((1 << SLOT_BITS, words), U)

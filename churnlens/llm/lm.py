@@ -16,7 +16,7 @@ from .shingles import U, chunks, mix, word_hashes
 END = np.int64(0x0E9D0E9D0E9D0E9D)  # the name of the end token
 LISTED, WIDTH, UNLISTED = 24, 64, 40  # classes of listed words, words in each, classes of the others
 HIDDEN, LANES, WINDOW = 24, 256, 32
-TABLE_WORDS = 1 << 20  # words whose counts are broadcast; the counts of the others are joined
+TABLE_WORDS = 1 << 19  # words whose counts are broadcast; the counts of the others are joined
 SMOOTH = 0.1
 
 
@@ -93,12 +93,12 @@ def fit_vocabulary(counts: DataFrame, table_words: int = TABLE_WORDS) -> Vocabul
     m = counts.agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).first()
     levels = counts.groupBy("c").agg(F.count(F.lit(1)).alias("v")).orderBy(F.desc("c"))
     # Level by level from the top while the table holds them: the levels above the cut are few.
-    running = levels.limit(table_words).toPandas()
+    running = levels.limit(table_words).toArrow().to_pandas()
     fits = running[running["v"].cumsum() <= table_words]
     floor = int(fits["c"].min()) if len(fits) else np.iinfo(np.int64).max
-    top = counts.filter(F.col("c") >= floor).toPandas()
+    top = counts.filter(F.col("c") >= floor).toArrow().to_pandas()
     totals = counts.mapInPandas(_class_totals, "k long, n long, v long").groupBy("k").agg(
-        F.sum("n").alias("n"), F.sum("v").alias("v")).toPandas()
+        F.sum("n").alias("n"), F.sum("v").alias("v")).toArrow().to_pandas()
     n, v = np.zeros(UNLISTED), np.zeros(UNLISTED)
     n[totals["k"]], v[totals["k"]] = totals["n"], totals["v"]
     return Vocabulary(top["h"].to_numpy(np.int64), top["c"].to_numpy(np.int64), int(m["n"] or 0), int(m["v"]), n, v)
@@ -140,7 +140,7 @@ def train(docs: DataFrame, vocabulary: Vocabulary, one_in: int = 16, docs_per_mo
         if seen:
             yield pd.DataFrame({"at": np.arange(len(flat)), "w": model.flat().astype(float) * seen, "n": seen})
     learned = (sample.repartition(n).mapInPandas(run, "at long, w double, n long").groupBy("at")
-               .agg((F.sum("w") / F.sum("n")).alias("w"))).toPandas().sort_values("at")
+               .agg((F.sum("w") / F.sum("n")).alias("w"))).toArrow().to_pandas().sort_values("at")
     return start.load(learned["w"].to_numpy()) if len(learned) else start
 
 
@@ -206,7 +206,7 @@ def score_documents(docs: DataFrame) -> DataFrame:
     seen = rows.filter(~held)
     counts = materialize(seen.select("text").mapInPandas(_count, "h long, c long").groupBy("h").agg(
         F.sum("c").alias("c")), "word-counts")
-    vocab = fit_vocabulary(counts)
+    vocab = fit_vocabulary(counts, TABLE_WORDS)
     model = train(seen, vocab)
     shared = spark.sparkContext.broadcast((vocab, model.flat()))
     scored = materialize(rows.mapInPandas(
