@@ -32,7 +32,7 @@ def prepare_training(events: DataFrame, k: float = SCRIPT_BALANCE_K, split_by: s
     # them once so the wrangle is not recomputed.
     wrangled = materialize(wrangle_train(events, tuning=tuning), "wrangled")
     rows = (wrangled
-            .transform(balanced_sample, k=k, tuning=tuning)
+            .transform(balanced_sample, k=k)
             .transform(hash_split, split_by=split_by, tuning=tuning)
             .transform(assign_folds, tuning=tuning)
             .withColumn(BINARY_LABEL, (F.col(LABEL) > 0).cast("int")))
