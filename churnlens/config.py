@@ -16,10 +16,6 @@ class Tuning:
     # 2M rows x ~24 bytes stays well under the default 8 GB broadcast limit and
     # the executor memory of a typical cluster.
     broadcast_max_rows: int = 2_000_000
-    # Beyond that, keys holding more than ``hot_key_share`` of all rows are
-    # "hot": their side-table rows are broadcast (there can be at most
-    # 1 / hot_key_share of them) and only the cold rows take the shuffle join.
-    hot_key_share: float = 0.001
     # Rows one task sorts comfortably (about a 128 MB input split). A group no
     # larger than this, or than an even share of all rows, may go to one task.
     task_rows: int = 4_000_000

@@ -19,6 +19,7 @@ import json
 
 from pyspark.sql import SparkSession
 
+from .schema import SCRIPT_BALANCE_K
 from .session import ensure_checkpoint_dir
 
 
@@ -52,12 +53,17 @@ def cmd_score(a) -> None:
 
 def cmd_stream(a) -> None:
     from .sources import load_pipeline
-    from .streaming.score_stream import run_score_stream
+    from .streaming.score_stream import run_score_stream, run_unfilled_stream
     spark = _session("churnlens-stream")
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass",
+                   "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     means = spark.read.parquet(a.means)
-    q = run_score_stream(spark, a.source, load_pipeline(a.model), means, a.out, a.checkpoint,
-                         a.delay, a.max_files_per_trigger)
-    q.awaitTermination()
+    running = [run_score_stream(spark, a.source, load_pipeline(a.model), means, a.out, a.checkpoint, a.delay,
+                                a.max_files_per_trigger, every=a.every, flagged=a.flagged),
+               run_unfilled_stream(spark, a.source, means, a.unfilled_out or f"{a.out}-unfilled",
+                                   f"{a.checkpoint}-unfilled", a.delay, a.max_files_per_trigger, every=a.every)]
+    for q in running:
+        q.awaitTermination()
 
 
 def cmd_profile(a) -> None:
@@ -85,7 +91,7 @@ def main(argv: list[str] | None = None) -> None:
     t.add_argument("--model-out", required=True)
     t.add_argument("--kind", default="dt", choices=["dt", "rf", "gbt_ovr", "gbt_binary"])
     t.add_argument("--features", default="")
-    t.add_argument("--k", type=float, default=2 * 4.3)
+    t.add_argument("--k", type=float, default=SCRIPT_BALANCE_K)
     t.add_argument("--split-by", default="row", choices=["row", "user"])
     t.add_argument("--parallelism", type=int, default=8)
     t.set_defaults(fn=cmd_train)
@@ -101,7 +107,10 @@ def main(argv: list[str] | None = None) -> None:
     st.add_argument("--means", required=True, help="parquet table userId, mean_length")
     st.add_argument("--out", required=True)
     st.add_argument("--checkpoint", required=True)
-    st.add_argument("--delay", required=True, help="must cover the longest gap between copies")
+    st.add_argument("--delay", required=True, help="must cover the longest gap between arrivals of copies")
+    st.add_argument("--every", default=None, help="keep running, a micro-batch every so often (e.g. '1 minute')")
+    st.add_argument("--flagged", action="store_true", help="write flagged rows only, with correct_prediction")
+    st.add_argument("--unfilled-out", default="", help="rows that no mean fills (default: OUT-unfilled)")
     st.add_argument("--max-files-per-trigger", type=int, default=1000)
     st.set_defaults(fn=cmd_stream)
     pr = sub.add_parser("profile")

@@ -98,7 +98,7 @@ def lower_strings(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame
 
 
 def clean(df: DataFrame, cols: Sequence[str], tuning: Tuning = DEFAULT,
-          value: str = "length") -> DataFrame:
+          value: str = "length", casts: Mapping[str, str] = SOURCE_CASTS) -> DataFrame:
     """P1 -> A1/J1/P5 -> P2 -> P6 -> A7: the shared cleaning prefix.
 
     Same result as dropping incomplete rows after the imputation join, but
@@ -106,7 +106,7 @@ def clean(df: DataFrame, cols: Sequence[str], tuning: Tuning = DEFAULT,
     rows that will be dropped (e.g. logged-out users) never reach the join.
     Only the imputed ``value`` is checked after it.
     """
-    cast = cast_columns(df)
+    cast = cast_columns(df, casts)
     floats = {f.name for f in cast.schema.fields
               if isinstance(f.dataType, (T.FloatType, T.DoubleType))}
     checks = [(F.col(c).isNotNull() & ~F.isnan(F.col(c))) if c in floats else F.col(c).isNotNull()

@@ -9,10 +9,11 @@ on the data. This helper:
 2. broadcasts it when the count is within ``Tuning.broadcast_max_rows`` -- the
    large side is then joined map-side with no shuffle at all;
 3. otherwise shuffles both sides on ``(key, salt)``. Keys whose row count
-   (``weight_col``) exceeds ``hot_key_share`` of all rows -- including the
-   null key, e.g. logged-out users -- are spread over several salts; their
-   side rows are replicated once per salt. The hot-key list is broadcast; it
-   has at most ``1 / hot_key_share`` rows by construction.
+   (``weight_col``) exceeds one shuffle partition's share of all rows --
+   including the null key, e.g. logged-out users -- are spread over several
+   salts; their side rows are replicated once per salt. The hot-key list is
+   broadcast; it has fewer rows than there are shuffle partitions. A row's salt
+   is a hash of its columns, so a recomputed task gives it the same one.
 
 Null keys never match (SQL semantics, same as the reference's ``on=`` join).
 """
@@ -46,15 +47,15 @@ def attach_by_key(big: DataFrame, side: DataFrame, key: str, weight_col: str,
 
     total = seen["total"] or 0
     per_task = max(1, math.ceil(total / _shuffle_partitions(big)))
-    hot_floor = max(per_task, math.ceil(tuning.hot_key_share * total))
-    hot = (side.where(F.col(weight_col) > hot_floor)
+    hot = (side.where(F.col(weight_col) > per_task)
                .select(F.col(key).alias("__hot_key"),
                        F.ceil(F.col(weight_col) / F.lit(per_task)).cast("int").alias(_NSALT)))
-    hot = F.broadcast(hot)  # <= total / hot_floor <= 1 / hot_key_share rows
+    hot = F.broadcast(hot)  # fewer than total / per_task rows: at most one per shuffle partition
+    row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in big.columns])
 
     tagged = (big.join(hot, big[key].eqNullSafe(hot["__hot_key"]), "left").drop("__hot_key")
                  .withColumn(_SALT, F.when(F.col(_NSALT).isNull(), F.lit(0)).otherwise(
-                     F.pmod(F.monotonically_increasing_id(), F.col(_NSALT))).cast("int"))
+                     F.pmod(row_hash, F.col(_NSALT))).cast("int"))
                  .drop(_NSALT))
     fanned = (side.join(hot, side[key].eqNullSafe(hot["__hot_key"]), "left").drop("__hot_key")
                   .withColumn(_SALT, F.explode(F.sequence(

@@ -18,6 +18,8 @@ from ..config import PEEK_SALT
 from .checkpoint import materialize
 from .quantiles import exact_quantiles
 
+_HALF = 1 << 32  # a difference of two longs is below its square
+
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType,
             T.DecimalType)
 
@@ -65,21 +67,24 @@ def null_profile_stages(cast: DataFrame, impute, value: str = "length") -> DataF
 
 
 def describe_numeric(df: DataFrame, cols: Sequence[str] | None = None,
-                     probs: Sequence[float] = (0.25, 0.5, 0.75), digits: int = 6) -> DataFrame:
+                     probs: Sequence[float] = (0.25, 0.5, 0.75), digits: int = 10) -> DataFrame:
     """A5: count, mean, std, min, quartiles, max per numeric column (exact).
 
     The numeric projection is materialised once; then one pass gives count,
     min and max, a second the moments, and ``exact_quantiles`` the quartiles
-    (bounded driver traffic: a handful of values per column). For integral
-    columns the moments are exact: sums of ``d = x - min`` and ``d * d`` in
-    38-digit decimals, so the mean and the sample standard deviation do not
-    depend on summation order (large epoch values lose digits in double
-    sums). Floating columns use Spark's double aggregates. Mean and std are
-    rounded to ``digits`` places.
+    (bounded driver traffic: at most its ``buckets`` rows a probe). NaN counts
+    as missing, as in A3 and P6. For integral columns the moments are exact:
+    ``d = x - min`` is cut into two 32-bit parts, whose sums and sums of
+    products fit 38-digit decimals for the whole range of a long, so the mean
+    and the sample standard deviation do not depend on summation order (large
+    epoch values lose digits in double sums). Floating columns use Spark's
+    double aggregates. Mean and std are rounded to ``digits`` significant digits.
     """
     cols = list(cols or numeric_columns(df))
     spark = df.sparkSession
-    base = materialize(df.select(*cols), "describe")
+    floats = {f.name for f in df.schema.fields if isinstance(f.dataType, (T.FloatType, T.DoubleType))}
+    base = materialize(df.select(*[F.when(~F.isnan(F.col(c)), F.col(c)).alias(c) if c in floats else F.col(c)
+                                   for c in cols]), "describe")
     integral = {f.name for f in base.schema.fields
                 if isinstance(f.dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType))}
     first = base.agg(*[F.count(c).alias(f"n{i}") for i, c in enumerate(cols)],
@@ -88,8 +93,10 @@ def describe_numeric(df: DataFrame, cols: Sequence[str] | None = None,
     moments = []
     for i, c in enumerate(cols):
         if c in integral and first[f"lo{i}"] is not None:
-            d = (F.col(c) - F.lit(first[f"lo{i}"])).cast("decimal(38,0)")
-            moments += [F.sum(d).alias(f"s1_{i}"), F.sum(d * d).alias(f"s2_{i}")]
+            d = f"(cast(`{c}` AS decimal(20,0)) - cast('{first[f'lo{i}']}' AS decimal(20,0)))"
+            high, low = (F.expr(f"cast({d} {op} {_HALF}BD AS decimal(18,0))") for op in ("div", "%"))
+            moments += [F.sum(high).alias(f"h{i}"), F.sum(low).alias(f"l{i}"), F.sum(high * high).alias(f"hh{i}"),
+                        F.sum(high * low).alias(f"hl{i}"), F.sum(low * low).alias(f"ll{i}")]
         else:
             v = F.col(c).cast("double")
             moments += [F.avg(v).alias(f"mean{i}"), F.stddev_samp(v).alias(f"std{i}")]
@@ -99,8 +106,9 @@ def describe_numeric(df: DataFrame, cols: Sequence[str] | None = None,
     for i, c in enumerate(cols):
         n, lo, hi = first[f"n{i}"], first[f"lo{i}"], first[f"hi{i}"]
         if c in integral and lo is not None:
-            s1, s2 = int(second[f"s1_{i}"]), int(second[f"s2_{i}"])
-            mean = float(lo) + s1 / n
+            h, l, hh, hl, ll = (int(second[f"{k}{i}"]) for k in ("h", "l", "hh", "hl", "ll"))
+            s1, s2 = h * _HALF + l, hh * _HALF ** 2 + 2 * hl * _HALF + ll
+            mean = (lo * n + s1) / n
             std = math.sqrt((n * s2 - s1 * s1) / (n * (n - 1))) if n > 1 else None
         else:
             mean, std = second[f"mean{i}"], second[f"std{i}"]
@@ -119,10 +127,11 @@ def describe_numeric(df: DataFrame, cols: Sequence[str] | None = None,
 
 
 def _round(x: float | None, digits: int) -> float | None:
-    """Half-up rounding of the exact binary value, as Spark's ``round`` does."""
-    if x is None or math.isnan(x) or math.isinf(x):
+    """Half-up rounding of the exact binary value to ``digits`` significant digits."""
+    if x is None or x == 0 or math.isnan(x) or math.isinf(x):
         return x
-    return float(Decimal(x).quantize(Decimal(1).scaleb(-digits), rounding=ROUND_HALF_UP))
+    exact = Decimal(x)
+    return float(exact.quantize(Decimal(1).scaleb(exact.adjusted() - digits + 1), rounding=ROUND_HALF_UP))
 
 
 def distinct_values(df: DataFrame, col: str) -> DataFrame:

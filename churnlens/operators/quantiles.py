@@ -32,10 +32,13 @@ def _rank_targets(n: int, probs: Sequence[float]) -> dict[float, tuple[int, int,
 
 
 def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
-                    buckets: int = 1024, fetch_max: int = 50_000,
+                    buckets: int = 1024, fetch_max: int = 1024,
                     stats=None) -> dict[str, dict[float, float]]:
     """``{col: {p: value}}`` for non-null values of each numeric column.
 
+    NaN must be null already. Infinite values are set apart in a round of their
+    own, so that the finite ones keep a finite interval.
+
     ``stats``: an already computed row with ``n{i}``, ``lo{i}``, ``hi{i}``
     (count, min, max of column ``i``) saves the first pass.
     """
@@ -71,9 +74,14 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
         items = []
         for pid, (c, a, b, exact) in enumerate(plist):
             v = vals[c]
-            slot = v if exact else F.least(
-                F.floor((v - F.lit(a)) / F.lit(b - a) * F.lit(buckets)), F.lit(buckets - 1)
-            ).cast("double")
+            if exact:
+                slot = v
+            elif math.isinf(a) or math.isinf(b):
+                slot = (F.when(v == F.lit(-math.inf), F.lit(-1.0)).when(v == F.lit(math.inf), F.lit(1.0))
+                        .otherwise(F.lit(0.0)))
+            else:  # halves, so that the width of the interval cannot overflow
+                slot = F.least(F.floor((v / 2 - F.lit(a / 2)) / F.lit(b / 2 - a / 2) * F.lit(buckets)),
+                               F.lit(buckets - 1)).cast("double")
             items.append(F.when(v.between(a, b), F.struct(F.lit(pid).alias("p"), slot.alias("s"),
                                                           v.alias("v"))))
         rows = (df.select(F.explode(F.array(*items)).alias("x")).where(F.col("x").isNotNull())
@@ -100,5 +108,5 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
         result[c] = {}
         for p, (lo, hi, frac) in per_p.items():
             vlo, vhi = found[(c, lo)], found[(c, hi)]
-            result[c][p] = vlo + (vhi - vlo) * frac
+            result[c][p] = vlo if vlo == vhi or not frac else vlo + (vhi - vlo) * frac
     return result

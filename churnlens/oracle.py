@@ -37,7 +37,7 @@ clickstream AS (
 
 CAST_CS = """
 cast_cs AS (
-  SELECT TRY_CAST(userId AS INTEGER) AS userId, gender, itemInSession, sessionId, level,
+  SELECT TRY_CAST(userId AS BIGINT) AS userId, gender, itemInSession, sessionId, level,
          CAST(length AS DOUBLE) AS length, page, location, method, status, ts
   FROM clickstream)"""
 
@@ -165,6 +165,12 @@ DESCRIBE_COLS = ["itemInSession", "length", "sessionId", "status", "ts", "userId
 _INTEGRAL = {"itemInSession", "sessionId", "status", "ts", "userId"}
 
 
+def _significant(x: str, digits: int = 10) -> str:
+    """``x`` to ``digits`` significant digits."""
+    return (f"CASE WHEN ({x}) = 0 THEN 0.0 ELSE "
+            f"round({x}, {digits - 1} - CAST(floor(log10(abs({x}))) AS INTEGER)) END")
+
+
 def _describe() -> str:
     parts = []
     for c in DESCRIBE_COLS:
@@ -178,8 +184,8 @@ def _describe() -> str:
         else:
             mean, std = f"avg({v})", f"stddev_samp({v})"
         parts.append(
-            f"SELECT '{c}' AS column_name, count({c}) AS count, round({mean}, 6) AS mean, "
-            f"round({std}, 6) AS std, min({v}) AS min, "
+            f"SELECT '{c}' AS column_name, count({c}) AS count, {_significant(mean)} AS mean, "
+            f"{_significant(std)} AS std, min({v}) AS min, "
             f"quantile_cont({v}, 0.25) AS q25, quantile_cont({v}, 0.5) AS q50, "
             f"quantile_cont({v}, 0.75) AS q75, max({v}) AS max FROM imputed")
     return " UNION ALL ".join(parts)
@@ -195,6 +201,10 @@ def oracle_sql() -> dict[str, str]:
     q: dict[str, str] = {}
     q["adapt_events"] = _with(CLICKSTREAM) + " SELECT * FROM clickstream"
     q["json_scan"] = _with(CLICKSTREAM) + f" SELECT *, {JSON_NULLS} FROM clickstream"
+    q["json_line_report"] = (_with(CLICKSTREAM) + " SELECT count(*) AS lines, "
+                             "count(*) FILTER (itemInSession % 7 = 3) AS malformed, "
+                             "count(*) FILTER (itemInSession % 7 <> 3) AS parsed, "
+                             "max(ts) FILTER (itemInSession % 7 <> 3) AS newest_ts FROM clickstream")
     q["impute_length"] = _with(*_BASE) + " SELECT * FROM imputed"
     q["wrangle_train"] = _with(*_BASE, TRAIN_ROWS) + " SELECT * FROM wrangled"
     q["class_counts"] = (_with(*_BASE, TRAIN_ROWS)

@@ -47,6 +47,16 @@ def q_json_scan(spark, sf_dir):
     return ev.read_events(spark, path)
 
 
+def q_json_line_report(spark, sf_dir):
+    """The clickstream as JSON lines, some of them cut short, and what the scan makes of them."""
+    path = scratch_path(spark, "events-lines")
+    line = F.to_json(F.struct("*"))
+    lines = _cs(spark, sf_dir).select(line.alias("value"), (F.col("itemInSession") % 7 == 3).alias("cut"))
+    (lines.select(F.when(F.col("cut"), F.expr("left(value, length(value) - 1)")).otherwise(F.col("value"))
+                  .alias("value")).write.mode("overwrite").text(path))
+    return ev.line_report(spark, path)
+
+
 def q_impute_length(spark, sf_dir):
     return _imputed(spark, sf_dir)
 
@@ -69,7 +79,7 @@ def q_describe_numeric(spark, sf_dir):
 
 
 def q_distinct_pages(spark, sf_dir):
-    return profile.distinct_values(_imputed(spark, sf_dir), "page")
+    return profile.distinct_values(_cast(spark, sf_dir), "page")
 
 
 def q_lower_strings(spark, sf_dir):
@@ -160,6 +170,7 @@ def q_group_rates(spark, sf_dir):
 DETERMINISTIC: dict[str, Query] = {
     "adapt_events": q_adapt_events,
     "json_scan": q_json_scan,
+    "json_line_report": q_json_line_report,
     "impute_length": q_impute_length,
     "wrangle_train": q_wrangle_train,
     "class_counts": q_class_counts,

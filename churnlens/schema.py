@@ -66,5 +66,6 @@ EVENT_SCHEMA = T.StructType([
     T.StructField("userId", T.StringType()),
 ])
 
-# Casts applied right after reading (P1): ``userId`` to int, ``length`` to double.
-SOURCE_CASTS = {"userId": "int", "length": "double"}
+# Casts applied right after reading (P1): ``userId`` to bigint (an int would turn ids
+# above 2,147,483,647 into nulls, and their users would be dropped), ``length`` to double.
+SOURCE_CASTS = {"userId": "bigint", "length": "double"}

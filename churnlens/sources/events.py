@@ -4,20 +4,38 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators.sequence import row_number_within
 from ..schema import CANCEL_PAGE, DOWNGRADE_PAGE, EVENT_SCHEMA
 
 
-def read_events(spark: SparkSession, path: str | list[str], mode: str = "PERMISSIVE") -> DataFrame:
+def read_events(spark: SparkSession, path: str | list[str], mode: str = "PERMISSIVE",
+                corrupt_column: str | None = None) -> DataFrame:
     """Read JSON-lines events with the explicit event schema.
 
     No inference pass over the data (the reference infers on every read), and
     the same schema serves ``readStream``. ``mode`` is Spark's JSON parse mode
     (``PERMISSIVE`` keeps malformed lines as nulls, ``DROPMALFORMED`` drops
-    them, ``FAILFAST`` raises).
+    them, ``FAILFAST`` raises). With ``corrupt_column`` a malformed line is
+    kept whole in that column, which is null in the other rows.
     """
-    return spark.read.schema(EVENT_SCHEMA).option("mode", mode).json(path)
+    reader = spark.read.option("mode", mode)
+    if corrupt_column is None:
+        return reader.schema(EVENT_SCHEMA).json(path)
+    schema = T.StructType([*EVENT_SCHEMA.fields, T.StructField(corrupt_column, T.StringType())])
+    return reader.schema(schema).option("columnNameOfCorruptRecord", corrupt_column).json(path)
+
+
+def line_report(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """``lines``, ``malformed`` and ``parsed`` counts and the newest parsed ``ts``, one row.
+
+    Cleaning drops a malformed line, which has no user; this tells how many.
+    """
+    rows = read_events(spark, path, corrupt_column="_malformed")
+    good = F.col("_malformed").isNull()
+    return rows.agg(F.count(F.lit(1)).alias("lines"), F.count("_malformed").alias("malformed"),
+                    F.count_if(good).alias("parsed"), F.max(F.when(good, F.col("ts"))).alias("newest_ts"))
 
 
 def schema_of(df: DataFrame) -> list[tuple[str, str]]:

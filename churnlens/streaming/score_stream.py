@@ -4,10 +4,13 @@
 with a saved per-user mean table -> drop incomplete rows -> dedupe within a
 watermark -> the fitted pipeline -> ``writeStream`` to parquet.
 
-The dedupe key has no time column, so copies of a row can be days apart;
-the watermark ``delay`` must cover the longest gap between copies or late
-copies get through (they are then extra rows, never lost rows). State for
-``dropDuplicatesWithinWatermark`` is kept for ``delay`` of event time.
+The watermark runs on the time of arrival, which never goes back, so no row is
+too late, however old its event and in whatever order files come. ``delay``
+must cover the longest gap between the arrivals of two copies, or the later
+copy gets through as an extra row; state is kept for ``delay``. A row that
+lacks only ``length``, of a user without a mean, cannot be scored; a second
+stream writes such rows to a side table (label events of new users are among
+them), so that every complete row is in one of the two.
 """
 
 from __future__ import annotations
@@ -20,11 +23,12 @@ from pyspark.sql.streaming import StreamingQuery
 from ..config import DEFAULT, Tuning
 from ..operators.checkpoint import materialize
 from ..operators.clean import cast_columns, user_means
+from ..operators.predictions import flagged_rows
 from ..schema import EVENT_SCHEMA, TRAIN_COLUMNS
 from ..session import scratch_path
 from ..plans.score import SCORED_COLUMNS
 
-EVENT_TIME = "event_time"
+ARRIVED = "arrived"
 
 
 def mean_table(events: DataFrame) -> DataFrame:
@@ -49,44 +53,69 @@ def bucketed_by_user(means: DataFrame, buckets: int | None = None) -> DataFrame:
     return spark.table(name)
 
 
-def scored_stream(spark: SparkSession, source_dir: str, model: PipelineModel, means: DataFrame,
-                  delay: str, max_files_per_trigger: int = 1,
-                  broadcast_means: bool = True) -> DataFrame:
-    """The streaming DataFrame of scored rows (not started).
+def filled_stream(spark: SparkSession, source_dir: str, means: DataFrame, delay: str,
+                  max_files_per_trigger: int = 1, broadcast_means: bool = False) -> DataFrame:
+    """Distinct events with ``length`` filled where a mean is known; null (never NaN) where not.
 
-    ``broadcast_means`` should only be set for a mean table whose size was
-    checked; otherwise Spark picks the join per micro-batch.
+    Rows that miss another training column (logged-out ones) are dropped, as in
+    batch (P6). ``broadcast_means`` should only be set for a mean table whose
+    size was checked; otherwise Spark picks the join per micro-batch.
     """
     stream = (spark.readStream.schema(EVENT_SCHEMA)
               .option("maxFilesPerTrigger", max_files_per_trigger)
               .json(source_dir))
     side = F.broadcast(means) if broadcast_means else means
-    rows = (cast_columns(stream)
+    length = F.coalesce(F.col("length"), F.col("mean_length"))
+    return (cast_columns(stream)
             .join(side, "userId", "left")
-            .withColumn("length", F.coalesce(F.col("length"), F.col("mean_length")))
-            .withColumn(EVENT_TIME, F.timestamp_millis(F.col("ts")))
-            .select(*TRAIN_COLUMNS, EVENT_TIME)
-            .dropna(how="any", subset=TRAIN_COLUMNS)
-            .withWatermark(EVENT_TIME, delay)
+            .withColumn("length", F.when(~F.isnan(length), length))
+            .withColumn(ARRIVED, F.current_timestamp())
+            .select(*TRAIN_COLUMNS, ARRIVED)
+            .dropna(how="any", subset=[c for c in TRAIN_COLUMNS if c != "length"])
+            .withWatermark(ARRIVED, delay)
             .dropDuplicatesWithinWatermark(TRAIN_COLUMNS))
-    return model.transform(rows).select(*SCORED_COLUMNS)
+
+
+def scored_stream(spark: SparkSession, source_dir: str, model: PipelineModel, means: DataFrame,
+                  delay: str, max_files_per_trigger: int = 1, broadcast_means: bool = False,
+                  flagged: bool = False) -> DataFrame:
+    """The streaming DataFrame of scored rows (not started); with ``flagged``, P9 and F9 on it."""
+    rows = filled_stream(spark, source_dir, means, delay, max_files_per_trigger, broadcast_means)
+    scored = model.transform(rows.filter("length IS NOT NULL")).select(*SCORED_COLUMNS)
+    return flagged_rows(scored) if flagged else scored
+
+
+def _sized(means: DataFrame, tuning: Tuning) -> tuple[DataFrame, bool]:
+    small = means.count() <= tuning.broadcast_max_rows
+    return (means if small else bucketed_by_user(means)), small
+
+
+def _start(rows: DataFrame, sink_path: str, checkpoint_path: str, every: str | None) -> StreamingQuery:
+    trigger = {"processingTime": every} if every else {"availableNow": True}
+    return (rows.writeStream.format("parquet").outputMode("append")
+            .option("checkpointLocation", checkpoint_path)
+            .trigger(**trigger)
+            .start(sink_path))
 
 
 def run_score_stream(spark: SparkSession, source_dir: str, model: PipelineModel,
                      means: DataFrame, sink_path: str, checkpoint_path: str,
-                     delay: str, max_files_per_trigger: int = 1,
-                     tuning: Tuning = DEFAULT) -> StreamingQuery:
-    """Start the stream with ``availableNow`` (process what is there, then stop).
+                     delay: str, max_files_per_trigger: int = 1, tuning: Tuning = DEFAULT,
+                     every: str | None = None, flagged: bool = False) -> StreamingQuery:
+    """Start scoring: what is there and then stop, or a micro-batch ``every`` so often.
 
     The checkpoint location makes the query restartable after a failure with
     exactly-once output to the file sink.
     """
-    small = means.count() <= tuning.broadcast_max_rows
-    if not small:
-        means = bucketed_by_user(means)
-    scored = scored_stream(spark, source_dir, model, means, delay, max_files_per_trigger,
-                           broadcast_means=small)
-    return (scored.writeStream.format("parquet").outputMode("append")
-            .option("checkpointLocation", checkpoint_path)
-            .trigger(availableNow=True)
-            .start(sink_path))
+    means, small = _sized(means, tuning)
+    return _start(scored_stream(spark, source_dir, model, means, delay, max_files_per_trigger, small, flagged),
+                  sink_path, checkpoint_path, every)
+
+
+def run_unfilled_stream(spark: SparkSession, source_dir: str, means: DataFrame, sink_path: str,
+                        checkpoint_path: str, delay: str, max_files_per_trigger: int = 1,
+                        tuning: Tuning = DEFAULT, every: str | None = None) -> StreamingQuery:
+    """Start the side table: complete rows but for a ``length`` that no mean fills."""
+    means, small = _sized(means, tuning)
+    rows = filled_stream(spark, source_dir, means, delay, max_files_per_trigger, small)
+    return _start(rows.filter("length IS NULL").select(*TRAIN_COLUMNS), sink_path, checkpoint_path, every)

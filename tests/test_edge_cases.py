@@ -108,7 +108,7 @@ def test_skewed_join_path_matches_broadcast_path(spark):
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as for a large side table
     try:
-        b = clean.impute_length(hot, tuning=Tuning(broadcast_max_rows=0, hot_key_share=0.05))
+        b = clean.impute_length(hot, tuning=Tuning(broadcast_max_rows=0))
         plan = b._jdf.queryExecution().executedPlan().toString()
         rows_b = sorted((tuple(r) for r in b.collect()), key=repr)
     finally:

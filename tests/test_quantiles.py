@@ -4,6 +4,8 @@ import numpy as np
 import pytest
 from hypothesis import given, settings, strategies as st
 
+from churnlens.operators.clean import clean
+from churnlens.operators.profile import describe_numeric
 from churnlens.operators.quantiles import exact_quantiles
 
 
@@ -35,3 +37,23 @@ def test_property_matches_numpy(spark, values, p):
     got = exact_quantiles(df, ["x"], [p], buckets=3, fetch_max=4)["x"][p]
     assert got == pytest.approx(float(np.quantile(np.array(values, dtype=float), p)),
                                 rel=1e-12, abs=1e-6)
+
+
+def test_describe_counts_nan_as_missing_and_bears_infinity(spark):
+    nan, inf = float("nan"), float("inf")
+    df = spark.createDataFrame([(1.0, 1.0), (nan, -inf), (3.0, inf), (None, 2.0)], "x double, y double")
+    x, y = sorted(describe_numeric(df).collect(), key=lambda r: r["column_name"])
+    assert (x["count"], x["mean"], x["min"], x["q50"], x["max"]) == (2, 2.0, 1.0, 2.0, 3.0)
+    assert (y["count"], y["min"], y["q50"], y["max"]) == (4, -inf, 1.5, inf)
+
+
+def test_describe_wide_longs(spark):
+    lo, hi = -2**63, 2**63 - 1
+    row = describe_numeric(spark.createDataFrame([(lo,), (hi,), (0,)], "x long")).first()
+    assert row["mean"] == pytest.approx(-1 / 3) and row["std"] == pytest.approx(2.0**63, rel=1e-9)
+    assert (row["min"], row["q50"], row["max"]) == (float(lo), 0.0, float(hi))
+
+
+def test_large_user_ids_stay(spark):
+    df = spark.createDataFrame([("3000000000", 1.0), ("5", 2.0), ("", 3.0)], "userId string, length double")
+    assert sorted(r["userId"] for r in clean(df, ["userId", "length"]).collect()) == [5, 3000000000]

@@ -13,7 +13,7 @@ from churnlens.config import Tuning
 from churnlens.plans.wrangle import wrangle_explore, wrangle_train
 from churnlens.sources.events import adapt_events, load_events_table
 
-TINY = Tuning(broadcast_max_rows=0, hot_key_share=0.001, task_rows=10)
+TINY = Tuning(broadcast_max_rows=0, task_rows=10)
 
 
 @pytest.mark.parametrize("name", ["wrangle_train", "wrangle_explore"])
