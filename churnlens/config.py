@@ -12,12 +12,12 @@ from dataclasses import dataclass, replace
 @dataclass(frozen=True)
 class Tuning:
     # A per-key side table (e.g. one mean per user) is broadcast only when its
-    # row count, measured after it is materialised, is at most this many rows.
-    # 2M rows x ~24 bytes stays well under the default 8 GB broadcast limit and
-    # the executor memory of a typical cluster.
+    # row count, measured as it is written, is at most this many rows
+    # and its measured size at most this many bytes.
     broadcast_max_rows: int = 2_000_000
+    broadcast_max_bytes: int = 128 << 20
     # Rows one task sorts comfortably (about a 128 MB input split). A group no
-    # larger than this, or than an even share of all rows, may go to one task.
+    # larger than this may go to one task.
     task_rows: int = 4_000_000
     # Number of hash buckets for sampling, splitting and folds (integers, so
     # Spark and SQL engines agree exactly).

@@ -1,6 +1,7 @@
-"""Command-line jobs: train, score, stream, profile, means.
+"""Command-line jobs: train, compare, score, stream, profile, means.
 
     spark-submit -m churnlens.jobs train  --events PATH --model-out PATH [--kind dt|rf|gbt_ovr|gbt_binary]
+    spark-submit -m churnlens.jobs compare --events PATH --model NAME=PATH [--model NAME=PATH ...]
     spark-submit -m churnlens.jobs score  --events PATH --model PATH --out PATH
     spark-submit -m churnlens.jobs stream --source DIR --model PATH --means PATH --out PATH
                                           --checkpoint PATH --delay "1 day"
@@ -42,6 +43,17 @@ def cmd_train(a) -> None:
         print(json.dumps(r.asDict()))
 
 
+def cmd_compare(a) -> None:
+    from .ml.evaluate import compare_models
+    from .plans.train import prepare_training
+    from .sources import load_pipeline, read_events
+    spark = _session("churnlens-compare")
+    models = {name: load_pipeline(path) for name, path in (m.split("=", 1) for m in a.model)}
+    prepared = prepare_training(read_events(spark, a.events), k=a.k, split_by=a.split_by)
+    for r in compare_models(models, prepared.where("split = 'test'")).collect():  # one row per model
+        print(json.dumps(r.asDict()))
+
+
 def cmd_score(a) -> None:
     from .operators.predictions import flag_precision
     from .plans.score import score_batch
@@ -95,6 +107,12 @@ def main(argv: list[str] | None = None) -> None:
     t.add_argument("--split-by", default="row", choices=["row", "user"])
     t.add_argument("--parallelism", type=int, default=8)
     t.set_defaults(fn=cmd_train)
+    c = sub.add_parser("compare")
+    c.add_argument("--events", required=True, help="the events the models were trained on; their test split is compared")
+    c.add_argument("--model", required=True, action="append", help="NAME=PATH of a saved model; repeat")
+    c.add_argument("--k", type=float, default=SCRIPT_BALANCE_K)
+    c.add_argument("--split-by", default="row", choices=["row", "user"])
+    c.set_defaults(fn=cmd_compare)
     s = sub.add_parser("score")
     s.add_argument("--events", required=True)
     s.add_argument("--model", required=True)

@@ -6,8 +6,9 @@ on the data. This helper:
 
 1. writes the side table to the shared checkpoint folder (cuts lineage, so a
    lost executor does not rescan the source, and gives an exact row count);
-2. broadcasts it when the count is within ``Tuning.broadcast_max_rows`` -- the
-   large side is then joined map-side with no shuffle at all;
+2. broadcasts it when its rows are within ``Tuning.broadcast_max_rows`` and its
+   measured bytes within ``Tuning.broadcast_max_bytes`` -- the large side is then
+   joined map-side with no shuffle at all;
 3. otherwise shuffles both sides on ``(key, salt)``. Keys whose row count
    (``weight_col``) exceeds one shuffle partition's share of all rows --
    including the null key, e.g. logged-out users -- are spread over several
@@ -22,7 +23,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT, Tuning
@@ -36,13 +37,19 @@ def _shuffle_partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
+def _row_bytes(df: DataFrame) -> Column:
+    """A row's size in memory: sixteen bytes a column, and the text of strings."""
+    wide = [F.coalesce(F.octet_length(F.col(f"`{c}`")), F.lit(0)) for c, t in df.dtypes if t in ("string", "binary")]
+    return sum(wide, F.lit(16 * len(df.columns)))
+
+
 def attach_by_key(big: DataFrame, side: DataFrame, key: str, weight_col: str,
                   tuning: Tuning = DEFAULT, name: str = "side") -> DataFrame:
     """``big LEFT JOIN side USING (key)``; ``weight_col`` = big rows per key (dropped)."""
     side, seen = materialize_observed(side, name, rows=F.count(F.lit(1)),
-                                      total=F.sum(weight_col))
+                                      total=F.sum(weight_col), bytes=F.sum(_row_bytes(side)))
     value_cols = [c for c in side.columns if c not in (key, weight_col)]
-    if seen["rows"] <= tuning.broadcast_max_rows:
+    if seen["rows"] <= tuning.broadcast_max_rows and (seen["bytes"] or 0) <= tuning.broadcast_max_bytes:
         return big.join(F.broadcast(side.select(key, *value_cols)), key, "left")
 
     total = seen["total"] or 0

@@ -51,8 +51,7 @@ def row_number_within(df: DataFrame, groups: Sequence[str], order: Sequence[str]
         if total > tuning.task_rows:
             largest = (df.groupBy(*groups).agg(F.count(F.lit(1)).alias("n"))
                          .agg(F.max("n")).first()[0] or 0)
-        limit = max(tuning.task_rows, total / max(1, _partitions(df)))
-        method = "window" if largest <= limit else "range"
+        method = "window" if largest <= tuning.task_rows else "range"
     if method == "window":
         w = Window.partitionBy(*groups).orderBy(*order)
         return df.withColumn(out, (F.row_number().over(w) - 1).cast("long"))

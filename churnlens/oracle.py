@@ -242,6 +242,14 @@ def oracle_sql() -> dict[str, str]:
                        f" WHEN {_bucket(_ROW_KEYS, SPLIT_SALT)} < 8500 THEN 'valid' ELSE 'test' END"
                        f" AS split, CAST({_bucket(_ROW_KEYS, FOLD_SALT)} % 3 AS INTEGER) AS fold"
                        " FROM balanced")
+    q["balanced_sample_k2"] = (_with(*_BASE, TRAIN_ROWS, FRACTIONS.replace("8.6", "2.0"), BALANCED)
+                               + " SELECT * FROM balanced")
+    q["training_splits"] = f"SELECT split, fold, count(*) AS n FROM ({q['hash_split']}) GROUP BY split, fold"
+    q["saved_loaded"] = ("SELECT split, count(*) AS n_rows, CAST(0 AS BIGINT) AS mismatches, "
+                         f"CAST(0 AS BIGINT) AS unscored FROM ({q['hash_split']}) GROUP BY split")
+    q["scored_users"] = (_with(*_BASE, TRAIN_ROWS)
+                         + " SELECT userId, count(*) AS n_rows FROM train_rows GROUP BY userId")
+    q["stream_rows"] = _with(*_BASE, TRAIN_ROWS) + " SELECT * FROM train_rows"
     q["length_item_density"] = (_with(*_BASE, EXPLORE) + " SELECT level, churn, "
                                 "CAST(floor(length / 500.0) AS BIGINT) AS x_cell, "
                                 "CAST(floor(itemInSession / 10.0) AS BIGINT) AS y_cell, "
@@ -269,6 +277,7 @@ SELECT round(coalesce(sum(CASE WHEN l = p THEN 2.0 * (n / pred_n) * (n / label_n
          AS weighted_recall,
        CAST(max(total) AS BIGINT) AS n_rows, CAST(max(flagged) AS BIGINT) AS flagged_rows
 FROM w"""
+    q["mllib_metrics"] = f"SELECT f1, weighted_precision, weighted_recall FROM ({q['weighted_metrics']})"
     q["flagged_rows"] = _with(*_BASE, TRAIN_ROWS, SCORE_ROWS) + " SELECT * FROM flagged"
     q["flag_precision"] = (_with(*_BASE, TRAIN_ROWS, SCORE_ROWS)
                            + " SELECT count(*) AS n_flagged, "

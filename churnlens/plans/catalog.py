@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..config import DEFAULT, Tuning
 from ..operators import balance, clean, derive, predictions, profile, users
 from ..oracle import DESCRIBE_COLS
-from ..schema import EXPLORE_COLUMNS
+from ..schema import EXPLORE_COLUMNS, NOTEBOOK_BALANCE_K, PREDICTION
 from ..session import ensure_checkpoint_dir, scratch_path
 from ..sources import events as ev
 from ..sources.events import load_clickstream
@@ -123,6 +123,12 @@ def q_balanced_sample(spark, sf_dir):
     return balance.balanced_sample(materialize(q_wrangle_train(spark, sf_dir), "wrangled"))
 
 
+def q_balanced_sample_k2(spark, sf_dir):
+    """B1 + B2 with the notebook's factor."""
+    from ..operators.checkpoint import materialize
+    return balance.balanced_sample(materialize(q_wrangle_train(spark, sf_dir), "wrangled"), k=NOTEBOOK_BALANCE_K)
+
+
 def q_hash_split(spark, sf_dir):
     return (q_balanced_sample(spark, sf_dir).transform(balance.hash_split)
             .transform(balance.assign_folds))
@@ -186,6 +192,7 @@ DETERMINISTIC: dict[str, Query] = {
     "class_sizes": q_class_sizes,
     "balance_fractions": q_balance_fractions,
     "balanced_sample": q_balanced_sample,
+    "balanced_sample_k2": q_balanced_sample_k2,
     "hash_split": q_hash_split,
     "length_item_density": q_length_item_density,
     "string_index": q_string_index,
@@ -249,18 +256,20 @@ def q_compare_models(spark, sf_dir):
     return compare_models(models, prepared.where(F.col("split") == "test"))
 
 
-def _dt_model(spark, sf_dir):
-    """The model a scoring query uploads against: one decision-tree fit on the
-    train split (the reference scores with a pre-trained archive), saved and
-    loaded back (S4, S5)."""
+def _fitted_and_loaded(spark, prepared):
+    """One decision-tree fit on the train split, and the same saved and loaded back."""
     from ..ml.estimators import build_model_pipeline
     from ..sources.sinks import load_pipeline, save_pipeline
-    prepared = _prepared(spark, sf_dir)
     pipe, _ = build_model_pipeline("dt", index_on=prepared)
     model = pipe.fit(prepared.where(F.col("split") == "train"))
     path = scratch_path(spark, "model-dt")
     save_pipeline(model, path)
-    return load_pipeline(path)
+    return model, load_pipeline(path)
+
+
+def _dt_model(spark, sf_dir):
+    """The model a scoring query uploads against (the reference scores with a pre-trained archive)."""
+    return _fitted_and_loaded(spark, _prepared(spark, sf_dir))[1]
 
 
 def write_json_batches(df: DataFrame, path: str, n_batches: int = 3) -> tuple[str, int]:
@@ -315,10 +324,59 @@ def q_score_stream(spark, sf_dir, delay: str = "31 days"):
     return spark.read.parquet(sink)
 
 
+# --- facts about training and scoring that hold whatever the fit (SQL oracle) ---
+
+def q_training_splits(spark, sf_dir):
+    """Rows of the training set per split and fold."""
+    return _prepared(spark, sf_dir).groupBy("split", "fold").agg(F.count(F.lit(1)).alias("n"))
+
+
+def q_saved_loaded(spark, sf_dir):
+    """Rows per split, those the saved and the loaded model score apart, and those without a score."""
+    prepared = _prepared(spark, sf_dir)
+    fitted, loaded = _fitted_and_loaded(spark, prepared)
+    rows = fitted.transform(prepared).select(*prepared.columns, F.col(PREDICTION).alias("fitted"))
+    pred = F.col(PREDICTION)
+    return loaded.transform(rows).groupBy("split").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_if(~pred.eqNullSafe(F.col("fitted"))).alias("mismatches"),
+        F.count_if(pred.isNull()).alias("unscored"))
+
+
+def q_scored_users(spark, sf_dir):
+    """Rows that batch scoring gives per user."""
+    from .score import score_events
+    scored = score_events(_cs(spark, sf_dir), _dt_model(spark, sf_dir))
+    return scored.groupBy("userId").agg(F.count(PREDICTION).alias("n_rows"))
+
+
+def q_mllib_metrics(spark, sf_dir):
+    """M11-M13 by MLlib's evaluator, on the rule prediction."""
+    from ..ml.evaluate import mllib_metrics
+    from ..operators.checkpoint import materialize
+    rows = materialize(predictions.rule_prediction(q_wrangle_train(spark, sf_dir)), "rule-scored")
+    m = mllib_metrics(rows)
+    return spark.range(1).select(*[F.round(F.lit(m[k]), 9).alias(name) for k, name in (
+        ("f1", "f1"), ("weightedPrecision", "weighted_precision"), ("weightedRecall", "weighted_recall"))])
+
+
+def q_stream_rows(spark, sf_dir):
+    """R2: the rows that the stream scores, without their predictions."""
+    return q_score_stream(spark, sf_dir).drop(PREDICTION)
+
+
+DETERMINISTIC |= {
+    "training_splits": q_training_splits,
+    "saved_loaded": q_saved_loaded,
+    "scored_users": q_scored_users,
+    "mllib_metrics": q_mllib_metrics,
+    "stream_rows": q_stream_rows,
+}
+
 MODEL_QUERIES: dict[str, Query] = {
     "train_dt": _train("dt"),
     "train_rf": _train("rf"),
     "train_gbt_ovr": _train("gbt_ovr"),
+    "train_gbt_binary": _train("gbt_binary", grid={"maxDepth": [5]}),
     "ablation": q_ablation,
     "compare_models": q_compare_models,
     "score_batch": q_score_batch,

@@ -14,6 +14,8 @@ def test_train_score_stream_profile(spark, scratch, capsys):
     model = os.path.join(scratch, "model")
     main(["train", "--events", events, "--model-out", model, "--kind", "dt"])
     assert capsys.readouterr().out.count('"split"') == 2
+    main(["compare", "--events", events, "--model", f"a={model}", "--model", f"b={model}"])
+    assert capsys.readouterr().out.count('"split": "test"') == 2
     scored = os.path.join(scratch, "scored")
     main(["score", "--events", events, "--model", model, "--out", scored])
     assert spark.read.parquet(scored).count() > 0
