@@ -16,6 +16,12 @@ def _log_softmax(x: np.ndarray) -> np.ndarray:
     return x - np.log(np.exp(x).sum(-1, keepdims=True))
 
 
+def _softmax(x: np.ndarray) -> np.ndarray:
+    x = np.exp(x - x.max(-1, keepdims=True))
+    x /= x.sum(-1, keepdims=True)
+    return x
+
+
 class Gru:
     """One GRU layer over token ids; words are predicted as class, then member of the class.
 
@@ -90,14 +96,18 @@ class Gru:
                 lp[at] += member[np.arange(len(at)), ids[at] - c * self.width]
         return lp
 
-    def train(self, ids: np.ndarray, first: np.ndarray, window: int, rate: float) -> None:
-        """One pass of truncated backpropagation (``ids``: steps x lanes), with Adam steps."""
+    def train(self, ids: np.ndarray, first: np.ndarray, live: np.ndarray, window: int, rate: float) -> None:
+        """One pass of truncated backpropagation (``ids``: steps x lanes), with Adam steps.
+
+        The last window may be shorter; places where ``live`` is 0 teach nothing.
+        """
         m = {k: np.zeros_like(v) for k, v in self.p.items()}
         v = {k: np.zeros_like(x) for k, x in self.p.items()}
         state = np.zeros((ids.shape[1], self.h), F32)
         n = 0
-        for lo in range(0, len(ids) - window + 1, window):
-            grads, state = self._window(ids[lo:lo + window], first[lo:lo + window], state)
+        for lo in range(0, len(ids), window):
+            part = slice(lo, lo + window)
+            grads, state = self._window(ids[part], first[part], state, live[part])
             n += 1
             a = F32(rate * np.sqrt(1 - 0.99 ** n) / (1 - 0.9 ** n))
             for k, g in grads.items():
@@ -106,45 +116,51 @@ class Gru:
                 v[k] += F32(0.01) * (g * g - v[k])
                 self.p[k] -= a * m[k] / (np.sqrt(v[k]) + F32(1e-6))
 
-    def _window(self, ids, first, state):
+    def _window(self, ids, first, state, live=None):
         p, h = self.p, self.h
         outs, after, tape = self.run(ids, first, state, keep=True)
         steps, lanes = ids.shape
-        scale = F32(1.0 / lanes)
         out, flat = outs.reshape(-1, h), ids.ravel()
+        scale = np.full((len(flat), 1), 1.0 / lanes, F32)
+        if live is not None:
+            scale *= live.reshape(-1, 1)
         cls = self.classes(flat)
         grads = {k: np.zeros_like(x) for k, x in p.items()}
-        d = np.exp(_log_softmax(out @ p["cls"] + p["cls_b"]))
+        d = _softmax(out @ p["cls"] + p["cls_b"])
         d[np.arange(len(flat)), cls] -= 1
         d *= scale
         grads["cls"], grads["cls_b"] = out.T @ d, d.sum(0)
         d_out = d @ p["cls"].T
         order = np.argsort(cls, kind="stable")
         cuts = np.searchsorted(cls[order], np.arange(self.listed + 1))
+        sorted_out, sorted_scale, member = out[order], scale[order], flat[order] % self.width
+        back = np.zeros_like(sorted_out)
         for c in range(self.listed):
-            at = order[cuts[c]:cuts[c + 1]]
-            if len(at):
-                d = np.exp(_log_softmax(out[at] @ p["mem"][c] + p["mem_b"][c]))
-                d[np.arange(len(at)), flat[at] - c * self.width] -= 1
-                d *= scale
-                grads["mem"][c], grads["mem_b"][c] = out[at].T @ d, d.sum(0)
-                d_out[at] += d @ p["mem"][c].T
+            at = slice(cuts[c], cuts[c + 1])
+            if cuts[c] < cuts[c + 1]:
+                d = _softmax(sorted_out[at] @ p["mem"][c] + p["mem_b"][c])
+                d[np.arange(len(d)), member[at]] -= 1
+                d *= sorted_scale[at]
+                grads["mem"][c], grads["mem_b"][c] = sorted_out[at].T @ d, d.sum(0)
+                back[at] = d @ p["mem"][c].T
+        d_out[order] += back
         d_out = d_out.reshape(steps, lanes, h)
         dx = np.empty((steps, lanes, 3 * h), F32)
         d_state = np.zeros((lanes, h), F32)
+        to_gates, to_new = p["rec"][:, :2 * h].T.copy(), p["rec"][:, 2 * h:].T.copy()
         for t in range(steps - 1, -1, -1):
             s, z, r, c, rs = tape[t]
-            dc = d_state * (F32(1) - z) * (F32(1) - c * c)
-            dz = d_state * (s - c) * z * (F32(1) - z)
-            d_rs = dc @ p["rec"][:, 2 * h:].T
-            dr = d_rs * s * r * (F32(1) - r)
-            dx[t, :, :h], dx[t, :, h:2 * h], dx[t, :, 2 * h:] = dz, dr, dc
-            grads["rec"][:, :2 * h] += s.T @ dx[t, :, :2 * h]
-            grads["rec"][:, 2 * h:] += rs.T @ dc
-            back = d_state * z + d_rs * r + dx[t, :, :2 * h] @ p["rec"][:, :2 * h].T + d_out[t]
-            d_state = back * (F32(1) - first[t])[:, None]
+            rest = d_state * (F32(1) - z)
+            dc = rest * (F32(1) - c * c)
+            d_rs = dc @ to_new
+            reset = d_rs * r
+            dx[t, :, :h], dx[t, :, h:2 * h], dx[t, :, 2 * h:] = rest * (s - c) * z, reset * s * (F32(1) - r), dc
+            d_state = d_state * z + reset + dx[t, :, :2 * h] @ to_gates + d_out[t]
+            d_state *= (F32(1) - first[t])[:, None]
         flat_dx = dx.reshape(-1, 3 * h)
         grads["bias"] = flat_dx.sum(0)
+        read = np.concatenate([x[4] for x in tape])
+        grads["rec"][:, :2 * h], grads["rec"][:, 2 * h:] = out.T @ flat_dx[:, :2 * h], read.T @ flat_dx[:, 2 * h:]
         order = np.argsort(flat, kind="stable")
         at = np.flatnonzero(np.r_[True, np.diff(flat[order]) != 0])
         grads["inp"][flat[order][at]] = np.add.reduceat(flat_dx[order], at, axis=0)
@@ -178,13 +194,17 @@ def laid_out(ids: np.ndarray, lengths: np.ndarray, lanes: int, pad: int):
     return grid, first, row, col
 
 
-def in_stream(ids: np.ndarray, lengths: np.ndarray, lanes: int):
-    """All texts end to end, cut into ``lanes`` equal runs, and the marks where a state starts anew."""
-    lanes = max(1, min(lanes, len(ids)))
-    steps = len(ids) // lanes
-    first = np.zeros(len(ids), F32)
+def in_stream(ids: np.ndarray, lengths: np.ndarray, lanes: int, least: int):
+    """All texts end to end, cut into ``lanes`` equal runs, and the marks where a state starts anew.
+
+    Runs have ``least`` tokens or more, so few tokens make fewer lanes. The last
+    lanes are padded; the third grid is 1 at the tokens and 0 at the padding.
+    """
+    lanes = max(1, min(lanes, len(ids) // least))
+    steps = -(-len(ids) // lanes)
+    grid, first, live = np.zeros(steps * lanes, np.int64), np.zeros(steps * lanes, F32), np.zeros(steps * lanes, F32)
+    grid[:len(ids)], live[:len(ids)] = ids, 1
     first[(np.cumsum(lengths) - lengths)[lengths > 0]] = 1
-    grid = ids[:steps * lanes].reshape(lanes, steps).T
-    marks = first[:steps * lanes].reshape(lanes, steps).T.copy()
-    marks[:1] = 1
-    return np.ascontiguousarray(grid), marks
+    grid, first, live = (np.ascontiguousarray(x.reshape(lanes, steps).T) for x in (grid, first, live))
+    first[:1] = 1
+    return grid, first, live

@@ -111,19 +111,32 @@ def _class_totals(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                             "v": np.bincount(k, minlength=UNLISTED)})
 
 
-def train(docs: DataFrame, vocabulary: Vocabulary, one_in: int = 16, docs_per_model: int = 1500,
+def train(docs: DataFrame, vocabulary: Vocabulary, one_in: int = 1, docs_per_model: int = 1500,
           lanes: int = 64, window: int = 16, rate: float = 0.01) -> Gru:
-    """A model trained on every ``one_in``-th training document (by a hash of its id and text).
-
-    The sample is dealt to trainers of about ``docs_per_model`` documents; each
-    runs truncated backpropagation from the same start, and the models are
-    averaged by tokens. The sample and the trainers grow with the corpus; what
-    comes back is one model's size.
+    """A model trained on all training documents, in one pass over every token.
+
+    The documents are dealt by a hash of id and text to trainers of about
+    ``docs_per_model`` documents; each runs truncated backpropagation. The first
+    trainer's model is what the others start from, as models trained apart from
+    random weights do not average well; theirs are averaged by tokens. The
+    trainers grow with the corpus; what comes back is one model's size.
+    ``one_in`` above 1 keeps only every so-many-th document.
     """
-    start = Gru(vocabulary.class_log, vocabulary.member_log, HIDDEN)
+    model = Gru(vocabulary.class_log, vocabulary.member_log, HIDDEN)
     key = F.xxhash64(F.lit("lm"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "text")
-    sample = materialize(docs.filter(F.pmod(key, F.lit(one_in)) == 0).select("text"), "lm-sample")
-    n = max(1, round(sample.count() / docs_per_model))
+    if one_in > 1:
+        docs = docs.filter(F.pmod(key, F.lit(one_in)) == 0)
+    n = max(1, round(docs.count() / docs_per_model))
+    if n == 1:
+        return _trained(docs, vocabulary, model, 1, lanes, window, rate)
+    deal = F.pmod(F.xxhash64(F.lit("deal"), key), F.lit(n))
+    model = _trained(docs.filter(deal == 0), vocabulary, model, 1, lanes, window, rate)
+    return _trained(docs.filter(deal != 0), vocabulary, model, n - 1, lanes, window, rate)
+
+
+def _trained(docs: DataFrame, vocabulary: Vocabulary, start: Gru, trainers: int, lanes: int, window: int,
+             rate: float) -> Gru:
+    """The average, by tokens, of the models that ``trainers`` tasks make of ``start``."""
     shared = docs.sparkSession.sparkContext.broadcast((vocabulary, start.flat()))
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -131,15 +144,14 @@ def train(docs: DataFrame, vocabulary: Vocabulary, one_in: int = 16, docs_per_mo
         model, seen = Gru(vocab.class_log, vocab.member_log, HIDDEN).load(flat), 0
         for f in frames:
             texts = _encoded(f["text"])
-            h, lengths = _tokens(texts)
-            ids = vocab.look_up(h)[0]
-            grid, first = in_stream(ids, lengths, lanes)
-            for _ in range(2):
-                model.train(grid, first, window, rate)
-            seen += len(ids)
+            tokens = [(vocab.look_up(h)[0], n) for h, n in (_tokens(texts[lo:hi]) for lo, hi in chunks(texts))]
+            if tokens:
+                ids, lengths = (np.concatenate(x) for x in zip(*tokens))
+                model.train(*in_stream(ids, lengths, lanes, window), window, rate)
+                seen += len(ids)
         if seen:
             yield pd.DataFrame({"at": np.arange(len(flat)), "w": model.flat().astype(float) * seen, "n": seen})
-    learned = (sample.repartition(n).mapInPandas(run, "at long, w double, n long").groupBy("at")
+    learned = (docs.select("text").repartition(trainers).mapInPandas(run, "at long, w double, n long").groupBy("at")
                .agg((F.sum("w") / F.sum("n")).alias("w"))).toArrow().to_pandas().sort_values("at")
     return start.load(learned["w"].to_numpy()) if len(learned) else start
 
@@ -192,8 +204,8 @@ def _score(model: Gru, ids: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 def score_documents(docs: DataFrame) -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` for ``doc_id, text``.
 
-    Counts cover all training documents (crc32 of the id modulo 10 is not 0);
-    held-out ones teach nothing. The model's probability of a listed word is
+    Counts and the network cover all training documents (crc32 of the id modulo
+    10 is not 0); held-out ones teach nothing. The model's probability of a listed word is
     P(class) * P(word | class, state); another word is in a class by its hash,
     with its smoothed share of that class's tokens. Null text is empty and is
     scored as its end token. A null id has no crc32 and counts as training data;

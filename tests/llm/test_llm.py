@@ -265,6 +265,46 @@ def test_lm_gradients():
         assert abs((up - down) / 2e-3 - grads[k][at]) < 1e-3 * max(1, abs(grads[k][at]))
 
 
+def test_lm_trains_on_every_document(spark):
+    import numpy as np
+    rows = [(i, f"only{i} only{i} only{i}") for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    h, c = np.unique(lm._tokens([t.encode() for _, t in rows])[0], return_counts=True)
+    cls = lm._unlisted(h)
+    vocab = lm.Vocabulary(h, c, int(c.sum()), len(h), np.bincount(cls, c, lm.UNLISTED),
+                          np.bincount(cls, minlength=lm.UNLISTED).astype(float))
+    start = lm.Gru(vocab.class_log, vocab.member_log, lm.HIDDEN)
+    for per_model in (1500, 10):  # one trainer, and a first one with three that start from it
+        model = lm.train(df, vocab, docs_per_model=per_model)
+        moved = np.abs(model.p["inp"] - start.p["inp"]).max(1) > 0
+        words_at = vocab.look_up(lm._tokens([f"only{i}".encode() for i in range(40)])[0][::2])[0]
+        assert moved[words_at].all()
+
+
+def test_lm_windows_hold_every_token():
+    import numpy as np
+
+    from churnlens.llm.gru import Gru, in_stream
+    for n, lanes in ((1, 64), (100, 64), (64 * 16 + 7, 64), (999, 10)):
+        ids, lengths = np.arange(n) % 14, np.array([n // 2, n - n // 2])
+        grid, first, live = in_stream(ids, lengths, lanes, 16)
+        assert (grid.T.ravel()[live.T.ravel() > 0] == ids).all()
+        m = Gru(np.zeros(5), np.zeros((3, 4)), 6)
+        old = m.flat()
+        m.train(grid, first, live, 16, 0.01)
+        assert (m.flat() != old).any()
+    # Padding teaches nothing, whatever token stands there.
+    ids, first, live = np.ones((5, 2), int), np.zeros((5, 2), np.float32), np.ones((5, 2), np.float32)
+    live[3:, 1] = 0
+    made = []
+    for pad in (2, 9):
+        ids[3:, 1] = pad
+        m = Gru(np.zeros(5), np.zeros((3, 4)), 6)
+        m.train(ids, first, live, 16, 0.01)
+        made.append(m.flat())
+    assert (made[0] == made[1]).all()
+
+
 def test_pipeline(spark):
     import corpus_pipeline
     got = corpus_pipeline.run(spark, SF)
