@@ -17,18 +17,16 @@ ADDED = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
          "word_distance", "base_failed", "kept"]
 
 
-def common_words(docs: DataFrame, n_common: int = 16, text_col: str = "text", lang_col: str = "lang",
-                 max_chars: int = 5) -> DataFrame:
+def common_words(docs: DataFrame, n_common: int = 16, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """``lang, common, counts``: each language's most frequent words over all its documents.
 
-    Words of up to ``max_chars`` characters are candidates (function words are
-    short); ties come in code point order. A null language is ``''``. Words are
-    counted per task before the shuffle, and only each task's best candidates
-    of a language are ranked together.
+    Ties come in code point order. A null language is ``''``. Words are counted
+    per task before the shuffle, and only each task's best candidates of a
+    language are ranked together.
     """
     lang = F.coalesce(F.col(f"`{lang_col}`").cast("string"), F.lit(""))
     counted = (docs.select(lang.alias("lang"), F.explode(words_of(text_of(text_col))).alias("w"))
-               .filter(F.length("w") <= max_chars).groupBy("lang", "w").agg(F.count(F.lit(1)).alias("n")))
+               .groupBy("lang", "w").agg(F.count(F.lit(1)).alias("n")))
     best = Window.partitionBy("lang").orderBy(F.desc("n"), "w")
     top = (counted.withColumn("r", F.row_number().over(best)).filter(F.col("r") <= n_common)
            .groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("r", "w", "n"))).alias("t")))
@@ -120,14 +118,17 @@ def measure(docs: DataFrame, common: DataFrame, text_col: str = "text", lang_col
 
 def quality_rules(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", n_common: int = 16,
                   max_class_distance: float = 0.25, max_word_distance: float = 0.45, min_chars: int = 200,
-                  min_words: int = 60, keep_text: bool = True) -> DataFrame:
+                  min_words: int = 60, keep_text: bool = True, min_common: float = 0.5) -> DataFrame:
     """``docs`` with counts, the two distances and the verdict ``kept``.
 
     A language's references are the character-class and common-word histograms
     of all documents with that value in the language column (null counts as
     ``''``). A document is compared by Jensen-Shannon distance: its character
     classes when it has ``min_chars`` characters, its common words when it has
-    ``min_words`` words; a shorter one passes that guard unjudged. The base rule
+    ``min_words`` words; a shorter one passes that guard unjudged. A document of
+    ``min_words`` words is rejected too when its share of common words is below
+    ``min_common`` times its language's: the distance of a text without any is
+    bounded by that share and can lie below every limit. The base rule
     rejects too: under ten words, or over a fifth of the words inside five-word
     windows that come again in the text. Null text is empty and fails the base
     rule; repeated rows are judged alike; an empty table gives an empty result.
@@ -149,4 +150,8 @@ def quality_rules(docs: DataFrame, text_col: str = "text", lang_col: str = "lang
         F.array(F.col("_all") - F.col("_top")), "_rn"), F.col("n_words") >= min_words)
     far = ((F.coalesce("class_distance", F.lit(0.0)) > max_class_distance)
            | (F.coalesce("word_distance", F.lit(0.0)) > max_word_distance))
+    # Shares of common words, multiplied out.
+    n_common_words = (F.col("n_words") - F.col("_bins")[0]).cast("double")
+    few = (F.col("n_words") >= min_words) & (n_common_words * F.col("_all") < min_common * F.col("n_words") * F.col("_top"))
+    far = far | F.coalesce(few, F.lit(False))
     return df.withColumn("kept", ~F.col("base_failed") & ~far).select(*[F.col(f"`{c}`") for c in keep], *ADDED)

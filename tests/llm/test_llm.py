@@ -102,6 +102,25 @@ def test_quality_rejects_another_distribution(spark, docs):
     assert not got["kept"] and not got["base_failed"]
 
 
+def test_quality_rejects_texts_without_their_languages_words(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    good = quality.quality_rules(docs).filter("kept AND n_words >= 100 AND lang IN ('en', 'de')")
+    rows = good.select("doc_id", "text", "lang").orderBy("doc_id").collect()
+    some = [r for lang in ("en", "de") for r in [r for r in rows if r["lang"] == lang][:10]]
+    made = [(-1 - r["doc_id"], " ".join(w[::-1] + "x" for w in r["text"].split()), r["lang"]) for r in some]
+    made += [(-10**6 - r["doc_id"], r["text"], "de" if r["lang"] == "en" else "en") for r in some]
+    got = quality.quality_rules(docs.union(spark.createDataFrame(made, docs.schema))).filter("doc_id < 0").collect()
+    without, moved = ([r for r in got if (r["doc_id"] > -10**6) == w] for w in (True, False))
+    assert len(without) == 20 and not any(r["base_failed"] or r["kept"] for r in without)
+    assert max(max(r["word_distance"] / 0.45, r["class_distance"] / 0.25) for r in without) < 1  # within both limits
+    assert len(moved) == 20 and sum(r["kept"] for r in moved) <= 4
+
+
+def test_quality_common_words_of_any_length(spark):
+    df = spark.createDataFrame([("extraordinary " * 3 + "of", "en")], "text string, lang string")
+    assert quality.common_words(df, 2).first()["common"] == ["extraordinary", "of"]
+
+
 def test_main_text():
     page = ("<html><head><title>t</title></head><body><nav><a href=x>menu, menu</a></nav><div class='sidebar'>side</div>"
             "<article><h1>Head &amp; more</h1><p>First <b>long</b>paragraph, with commas, and enough text.<p>Second"
