@@ -39,6 +39,16 @@ def _template(token: Column) -> Column:
     return F.when(_is_slot(token), F.substring(token, 1, 1)).otherwise(token)
 
 
+def _inside(text: Column) -> Column:
+    """The tokens of ``text`` as they are after a lower-case word and a blank, where its first word can be a name."""
+    return F.slice(slot_tokens(F.concat(F.lit("a "), F.regexp_replace(text, r"^\s+", ""))), F.lit(2), F.lit(1 << 30))
+
+
+def _plain(token: Column) -> Column:
+    """The hash of a token's own text, whatever its type."""
+    return F.xxhash64(F.lit("="), F.ltrim(token, F.lit(NUMBER + NAME + UNIT)))
+
+
 def _windows(hashes: str, width: int) -> Column:
     """Hashes of all windows of ``width`` values, hashed pairwise in as few steps as ``width`` has bits."""
     n = F.size(hashes)
@@ -68,36 +78,65 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, width: int = 8, min_window
     ``min_windows`` windows (or all of the item's, if those are fewer) and its
     slots are consistent: each item value stands for one document value and the
     other way round. An item shorter than ``width`` is one window of its own
-    length. Null texts are empty and match nothing; an item of under
-    ``min_literals`` plain tokens has no window. Null ids are values like
-    others; rows that repeat an id are one document. Empty tables give an empty
+    length. An item's first window also counts in the form it has inside a
+    sentence, where a capitalised first word is a name. Items with at most
+    ``min_windows`` template windows, so none to spare, are found by their exact
+    tokens too, whatever the tokens' types: all of the item's windows at one
+    offset. Null texts are empty and match nothing; an item of under
+    ``min_literals`` tokens has no window. Null ids are values like others; rows that repeat an id are one document. Empty tables give an empty
     result; other columns are ignored.
     """
-    items = benchmark.select(F.col("item_id"), slot_tokens(text_of("text")).alias("itoks"))
-    items = items.withColumn("ih", F.transform("itoks", lambda t: F.xxhash64(_template(t))))
-    shorts = sorted(r[0] for r in items.select(F.size("itoks").alias("n")).filter(
-        F.col("n").between(1, width - 1)).distinct().collect())  # under ``width`` values
+    items = benchmark.select(F.col("item_id"), text_of("text").alias("_text")).select(
+        "item_id", slot_tokens(F.col("_text")).alias("itoks"), _inside(F.col("_text")).alias("itoks2"))
+    n = F.size("itoks")
+    whole = F.size(F.filter(F.sequence(F.lit(0), F.greatest(n - width, F.lit(0))), lambda i: F.size(F.filter(
+        F.slice("itoks", i + 1, F.lit(width)), lambda t: ~_is_slot(t))) >= min_literals))
+    items = items.withColumns({
+        "ih": F.transform("itoks", lambda t: F.xxhash64(_template(t))),
+        "ih2": F.transform("itoks2", lambda t: F.xxhash64(_template(t))),
+        "eh": F.transform("itoks", _plain),
+        "by_text": (n >= min_literals) & (whole <= min_windows)})
+    sizes = items.filter(n > 0).select(F.least(n, F.lit(width)).alias("w"), "by_text").distinct().collect()
+    shorts = sorted({r["w"] for r in sizes} - {width})  # under ``width`` values
+    exacts = sorted({r["w"] for r in sizes if r["by_text"]})
     wins = None
     for w in [width, *shorts]:
-        part = items if w == width else items.filter(F.size("itoks") == w)
-        part = part.select("item_id", F.lit(w).alias("w"), F.posexplode(_windows("ih", w)).alias("ipos", "h"),
-                           "itoks")
-        wins = part if wins is None else wins.unionByName(part)
-    wins = wins.withColumn("islots", F.slice("itoks", F.col("ipos") + 1, F.col("w"))).drop("itoks")
-    literal = F.size(F.filter("islots", lambda t: ~_is_slot(t)))
-    wins, n_wins = materialize_counted(wins.filter(literal >= min_literals), "benchmark-windows")
-    need = wins.groupBy("item_id").agg(F.least(F.lit(min_windows), F.count(F.lit(1))).alias("need"))
+        part = items if w == width else items.filter(n == w)
+        for toks, hashes, by_text in [("itoks", "ih", False), ("itoks2", "ih2", False), ("itoks", "eh", True)]:
+            if by_text and w not in exacts:
+                continue
+            one = part.filter("by_text") if by_text else part
+            if hashes == "ih2":
+                one = one.filter(F.size("itoks2") == n).filter(F.get("itoks", F.lit(0)) != F.get("itoks2", F.lit(0)))
+            one = one.select("item_id", F.lit(w).alias("w"), F.lit(by_text).alias("by_text"), F.lit(
+                hashes == "ih2").alias("second"), "itoks", toks if toks != "itoks" else F.col(toks).alias("itoks2"),
+                F.posexplode(_windows(hashes, w)).alias("ipos", "h"))
+            wins = one if wins is None else wins.unionByName(one)
+    wins = wins.filter(~F.col("second") | (F.col("ipos") == 0))
+    wins = wins.withColumn("islots", F.slice("itoks2", F.col("ipos") + 1, F.col("w")))
+    # A whole item of its own is judged by the form that matches; else a first window by its plain form.
+    judged = F.when(F.col("w") < width, F.col("islots")).otherwise(F.slice("itoks", F.col("ipos") + 1, F.col("w")))
+    literal = F.size(F.filter(judged, lambda t: ~_is_slot(t)))
+    wins = wins.filter(F.col("by_text") | (literal >= min_literals)).withColumn(
+        "islots", F.when(F.col("by_text"), F.array().cast("array<string>")).otherwise(F.col("islots")))
+    wins, n_wins = materialize_counted(wins.drop("itoks", "itoks2", "second"), "benchmark-windows")
+    need = wins.groupBy("item_id", "by_text").agg(F.least(F.when(~F.col("by_text"), min_windows), F.countDistinct(
+        "ipos")).alias("need"))
 
     rows = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("_text"))
     found = (rows.withColumn("toks", slot_tokens(F.col("_text")))
              .withColumn("th", F.transform("toks", lambda t: F.xxhash64(_template(t)))))
+    if exacts:
+        found = found.withColumn("eh", F.transform("toks", _plain))
     wins_of = F.concat(*[F.transform(_windows("th", w), lambda h, i: F.struct(h.alias("h"), i.alias("i")))
-                         for w in [width, *shorts]])
+                         for w in [width, *shorts]],
+                       *[F.transform(_windows("eh", w), lambda h, i: F.struct(h.alias("h"), i.alias("i")))
+                         for w in exacts])
     # Nothing but the id goes along with the windows.
     flat = found.select("doc_id", F.explode(wins_of).alias("x")).select(
         "doc_id", F.col("x.h").alias("h"), F.col("x.i").alias("dpos"))
     met = flat.join(side(wins, n_wins, 40 + 16 * width), "h")
-    met, n_met = materialize_counted(met.select("doc_id", "item_id", "dpos", "ipos", "w", "islots", (
+    met, n_met = materialize_counted(met.select("doc_id", "item_id", "by_text", "dpos", "ipos", "w", "islots", (
         F.col("dpos") - F.col("ipos")).alias("shift")), "template-matches")
     # Only documents that meet a window with slots are read again, for their values.
     slotted = met.filter(F.exists("islots", _is_slot))
@@ -109,7 +148,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, width: int = 8, min_window
     pair = F.filter(F.zip_with("islots", "dslots", lambda a, b: F.when(_is_slot(a), F.struct(
         a.alias("a"), b.alias("b")))), lambda p: p.isNotNull())
     slotted = slotted.withColumn("pairs", pair)
-    key = ["doc_id", "item_id", "shift"]
+    key = ["doc_id", "item_id", "by_text", "shift"]
     alignments = met.groupBy(*key).agg(F.countDistinct("ipos").alias("n"))
     slots = (slotted.select(*key, F.explode("pairs").alias("p")).select(*key, "p.a", "p.b").distinct()
              .groupBy(*key).agg(F.count(F.lit(1)).alias("pairs"), F.countDistinct("a").alias("na"),
@@ -118,10 +157,11 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, width: int = 8, min_window
     slots = slots.withColumnsRenamed({k: f"_{k}" for k in key})
     both = alignments.join(slots, F.col("doc_id").eqNullSafe(F.col("_doc_id"))
                            & F.col("item_id").eqNullSafe(F.col("_item_id"))
-                           & (F.col("shift") == F.col("_shift")), "left")
+                           & (F.col("by_text") == F.col("_by_text")) & (F.col("shift") == F.col("_shift")), "left")
     consistent = F.col("pairs").isNull() | ((F.col("pairs") == F.col("na")) & (F.col("pairs") == F.col("nb")))
-    need = need.withColumnRenamed("item_id", "_item")
-    both = both.join(side(need, n_wins, 24), F.col("item_id").eqNullSafe(F.col("_item")))
+    need = need.withColumnsRenamed({"item_id": "_item", "by_text": "_kind"})
+    both = both.join(side(need, n_wins, 24), F.col("item_id").eqNullSafe(F.col("_item"))
+                     & (F.col("by_text") == F.col("_kind")))
     return (both.filter((F.col("n") >= F.col("need")) & consistent)
             .groupBy("doc_id", "item_id").agg(
                 F.max("n").cast("long").alias("n_windows"),

@@ -212,6 +212,23 @@ def test_leaks(spark, edge):
     assert decontaminate.find_leaks(edge, bench.limit(0)).count() == 0
 
 
+def test_leaks_of_short_items_inside_sentences(spark):
+    item = "Which old farmer counted all of the apples in that basket before noon"
+    texts = [" ".join(item.split()[:n]) for n in range(6, 14)] + [
+        "Alice has 12 apples and 30 pears in the basket", "Which 3 of 17 or 40 plus 5 or 6 7 8 9",
+        "Bob saw 5 km"]  # few plain tokens in the last two
+    bench = spark.createDataFrame(list(enumerate(texts)), "item_id long, text string")
+    heads = ["", "it was asked of the word ", "they said, ", "A sentence ends. ", "so; "]
+    rows = [(100 * i + j, f"{head}{text}. lorem ipsum dolor") for i, text in enumerate(texts)
+            for j, head in enumerate(heads)]
+    rows += [(9001, "so, Alice has 45 apples and 7 pears in the basket"), (9002, "of, Bob saw 6 km"),
+             (9003, "then Which 3 of 18 or 40 plus 5 or 6 7 8 9")]
+    got = decontaminate.find_leaks(spark.createDataFrame(rows, "doc_id long, text string"), bench)
+    got = {(r["doc_id"], r["item_id"]): r["exact"] for r in got.collect()}
+    assert all(got.get((100 * i + j, i)) for i in range(len(texts)) for j in range(len(heads)))
+    assert got.get((9001, 8)) is False and got.get((9003, 9)) is False and not any(d == 9002 for d, _ in got)
+
+
 def test_mixing(spark, docs, edge):
     plan = mixing.mix_plan(docs, block_tokens=2000).collect()
     by_block = defaultdict(list)
