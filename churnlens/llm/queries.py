@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, extract, jaccard, langid, lm, mixing, quality, sharding, tokens
+from . import (chat, decontaminate, extract, filter_audit, jaccard, langid, lm, mixing, quality, resample, sharding,
+               tokens, warc)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -68,6 +69,20 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_with_edits(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op11_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return resample.ranked_documents(docs, table(spark, sf_dir, "benchmark").select("text"))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    return filter_audit.audit(docs, table(spark, sf_dir, "labels"))
+
+
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
@@ -75,7 +90,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_chat_format, op2_lm_scores, op3_mix_sources, op4_shards, op5_quality_rules, op6_main_text, op7_language,
-    op8_jaccard_groups, op9_leaks, op10_token_counts, pipeline)}
+    op8_jaccard_groups, op9_leaks, op10_token_counts, op11_resample, op12_filter_audit, op13_warc, pipeline)}
 
 OP1_SQL = r"""
 WITH rows AS (
@@ -128,4 +143,55 @@ SELECT doc_id, source, tokens, epoch::INTEGER AS epoch, block,
 FROM placed
 """
 
-ORACLE_SQL: dict[str, str] = {"op1_chat_format": OP1_SQL, "op3_mix_sources": OP3_SQL}
+OP12_SQL = r"""
+WITH docs AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t FROM documents),
+counted AS (
+  SELECT doc_id, part, t, len(ws) AS n, len(list_distinct(ws)) AS n_distinct,
+         length(t) AS chars, length(t) - length(regexp_replace(t, '[A-Z]', '', 'g')) AS capitals
+  FROM (SELECT *, list_filter(regexp_split_to_array(t, '[\x20\x09-\x0D]+'), lambda w: w <> '') AS ws FROM docs)),
+fails AS (
+  SELECT doc_id, part, (n < 200)::INT + 2 * (100 * n_distinct < 50 * n)::INT + 4 * (100 * capitals > 3 * chars)::INT
+         + 8 * regexp_matches(t, '[#$%&*|]')::INT
+         + 16 * coalesce(doc_id > min(doc_id) OVER (PARTITION BY t), false)::INT AS mask
+  FROM counted),
+labelled AS (SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY doc_id),
+cells AS (
+  SELECT part, mask, count(*) AS n, coalesce(sum(good), 0) AS good, coalesce(sum(toxic), 0) AS toxic
+  FROM fails LEFT JOIN labelled USING (doc_id) GROUP BY part, mask),
+letters AS (SELECT chr(65 + i::INT) AS c, (1 << i)::INT AS b FROM range(5) r(i)),
+orders AS (
+  SELECT p.c || q.c || r.c || s.c || t.c AS filter_order, [p.b, q.b, r.b, s.b, t.b] AS bits
+  FROM letters p, letters q, letters r, letters s, letters t
+  WHERE p.b | q.b | r.b | s.b | t.b = 31),
+steps AS (
+  SELECT filter_order, k::INT AS step, bits[k] AS bit, coalesce(list_sum(bits[1:k - 1]), 0)::INT AS before
+  FROM orders, range(1, 6) g(k)),
+told AS (
+  SELECT part, filter_order, step, bit,
+         coalesce(sum(n) FILTER (mask & (before | bit) = 0), 0)::BIGINT AS kept,
+         coalesce(sum(n) FILTER (mask & before = 0 AND mask & bit > 0), 0)::BIGINT AS removed,
+         coalesce(sum(n) FILTER (mask & before > 0 AND mask & bit > 0), 0)::BIGINT AS redundant,
+         coalesce(sum(n) FILTER (mask = bit), 0)::BIGINT AS unique_fails,
+         coalesce(sum(good) FILTER (mask & before = 0 AND mask & bit > 0), 0)::BIGINT AS good_lost,
+         coalesce(sum(toxic) FILTER (mask & before = 0 AND mask & bit > 0), 0)::BIGINT AS toxic_lost
+  FROM cells, steps GROUP BY part, filter_order, step, bit)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       (sum(removed) OVER (PARTITION BY part, bit))::BIGINT AS shapley
+FROM told
+"""
+
+OP13_SQL = r"""
+WITH payloads AS (
+  SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest
+  FROM pages),
+firsts AS (
+  SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY payload_digest) END AS first FROM payloads)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN first IS NULL OR page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN first IS NOT NULL AND page_id IS DISTINCT FROM first THEN first END AS refers_to
+FROM firsts
+"""
+
+ORACLE_SQL: dict[str, str] = {"op1_chat_format": OP1_SQL, "op3_mix_sources": OP3_SQL, "op12_filter_audit": OP12_SQL,
+                              "op13_warc": OP13_SQL}
