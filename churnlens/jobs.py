@@ -1,10 +1,12 @@
-"""Command-line jobs: train, compare, score, stream, profile, means.
+"""Command-line jobs: train, compare, score, stream, live, profile, means.
 
     spark-submit -m churnlens.jobs train  --events PATH --model-out PATH [--kind dt|rf|gbt_ovr|gbt_binary]
     spark-submit -m churnlens.jobs compare --events PATH --model NAME=PATH [--model NAME=PATH ...]
     spark-submit -m churnlens.jobs score  --events PATH --model PATH --out PATH
     spark-submit -m churnlens.jobs stream --source DIR --model PATH --means PATH --out PATH
                                           --checkpoint PATH --delay "1 day"
+    spark-submit -m churnlens.jobs live   --source DIR --model PATH --tables PATH --checkpoint PATH --delay "1 day"
+                                          (one query: means kept up, scored, flagged, unfilled, malformed rows)
     spark-submit -m churnlens.jobs profile --events PATH --out PATH
     spark-submit -m churnlens.jobs means  --events PATH --out PATH   (the stream's mean table)
 
@@ -78,6 +80,19 @@ def cmd_stream(a) -> None:
         q.awaitTermination()
 
 
+def cmd_live(a) -> None:
+    from .sources import load_pipeline
+    from .sources.batches import BatchTable
+    from .streaming.live_scoring import ROW_SCHEMA, run_live_scoring
+    spark = _session("churnlens-live")
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass",
+                   "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    run_live_scoring(spark, a.source, load_pipeline(a.model), a.tables, a.checkpoint, a.delay,
+                     a.max_files_per_trigger, a.every, compact_every=a.compact_every).awaitTermination()
+    last = BatchTable(spark, f"{a.tables}/rows", ROW_SCHEMA).batches().orderBy("batch_id", ascending=False).first()
+    print(json.dumps({"batch_id": last["batch_id"], **last["counts"]} if last else {}))
+
+
 def cmd_profile(a) -> None:
     from .operators.clean import cast_columns, impute_length
     from .operators.profile import describe_numeric, null_profile_stages
@@ -131,6 +146,16 @@ def main(argv: list[str] | None = None) -> None:
     st.add_argument("--unfilled-out", default="", help="rows that no mean fills (default: OUT-unfilled)")
     st.add_argument("--max-files-per-trigger", type=int, default=1000)
     st.set_defaults(fn=cmd_stream)
+    lv = sub.add_parser("live")
+    lv.add_argument("--source", required=True)
+    lv.add_argument("--model", required=True)
+    lv.add_argument("--tables", required=True, help="folder of the sinks, the running means and the users at risk")
+    lv.add_argument("--checkpoint", required=True)
+    lv.add_argument("--delay", required=True, help="must cover the longest gap between arrivals of copies")
+    lv.add_argument("--every", default=None, help="keep running, a micro-batch every so often (e.g. '1 minute')")
+    lv.add_argument("--compact-every", type=int, default=20, help="parts of running aggregates merged into one base")
+    lv.add_argument("--max-files-per-trigger", type=int, default=1000)
+    lv.set_defaults(fn=cmd_live)
     pr = sub.add_parser("profile")
     pr.add_argument("--events", required=True)
     pr.add_argument("--out", required=True)

@@ -8,6 +8,8 @@ with the executor) is never used.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -20,15 +22,15 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def materialize_observed(df: DataFrame, name: str = "table",
+def materialize_observed(df: DataFrame, name: str = "table", path: str | None = None,
                          **metrics: Column) -> tuple[DataFrame, dict]:
     """``materialize`` plus aggregate ``metrics`` observed during the write.
 
     The metrics come from the write job itself (``Observation``), so no second
     job lists and reads the footers of every written file.
     """
-    path = scratch_path(df.sparkSession, name)
-    obs = Observation(f"metrics-{path.rsplit('/', 1)[-1]}")  # unique per write
+    path = path or scratch_path(df.sparkSession, name)
+    obs = Observation(f"metrics-{uuid.uuid4().hex}")
     exprs = [m.alias(k) for k, m in metrics.items()]
     df.observe(obs, *exprs).write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path), dict(obs.get)

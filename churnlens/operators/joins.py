@@ -44,9 +44,12 @@ def _row_bytes(df: DataFrame) -> Column:
 
 
 def attach_by_key(big: DataFrame, side: DataFrame, key: str, weight_col: str,
-                  tuning: Tuning = DEFAULT, name: str = "side") -> DataFrame:
-    """``big LEFT JOIN side USING (key)``; ``weight_col`` = big rows per key (dropped)."""
-    side, seen = materialize_observed(side, name, rows=F.count(F.lit(1)),
+                  tuning: Tuning = DEFAULT, name: str = "side", path: str | None = None) -> DataFrame:
+    """``big LEFT JOIN side USING (key)``; ``weight_col`` = big rows per key (dropped).
+
+    The side table is written to ``path`` if given (the caller's to remove), else to the scratch folder.
+    """
+    side, seen = materialize_observed(side, name, path, rows=F.count(F.lit(1)),
                                       total=F.sum(weight_col), bytes=F.sum(_row_bytes(side)))
     value_cols = [c for c in side.columns if c not in (key, weight_col)]
     if seen["rows"] <= tuning.broadcast_max_rows and (seen["bytes"] or 0) <= tuning.broadcast_max_bytes:

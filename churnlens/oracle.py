@@ -138,6 +138,33 @@ user_churn AS (
   FROM user_days GROUP BY userId)"""
 
 
+# The live query: three spans of days; lines with item number 7 (mod 50) arrive cut short.
+LIVE = """
+spans AS (
+  SELECT *, (ts // 86400000 - lo) // ((hi - lo) // 3 + 1) AS span, itemInSession % 50 = 7 AS cut
+  FROM cast_cs, (SELECT min(ts // 86400000) AS lo, max(ts // 86400000) AS hi FROM cast_cs)),
+span_totals AS (
+  SELECT userId, span, sum(length) AS total, count(length) AS n FROM spans
+  WHERE NOT cut AND userId IS NOT NULL GROUP BY userId, span),
+span_means AS (
+  SELECT s.userId, s.span, sum(t.total) / sum(t.n) AS mean_length
+  FROM (SELECT DISTINCT userId, span FROM spans WHERE userId IS NOT NULL) s
+  JOIN span_totals t ON t.userId = s.userId AND t.span <= s.span GROUP BY s.userId, s.span),
+live AS (
+  SELECT s.userId, gender, itemInSession, level, coalesce(length, mean_length) AS length, page, sessionId, ts
+  FROM spans s LEFT JOIN span_means m ON m.userId = s.userId AND m.span = s.span
+  WHERE NOT cut AND s.userId IS NOT NULL AND gender IS NOT NULL AND itemInSession IS NOT NULL
+    AND level IS NOT NULL AND page IS NOT NULL),
+live_scored AS (
+  SELECT *, CAST(CASE WHEN length <> floor(length) AND itemInSession % 2 = 0 THEN 2.0
+                      WHEN length <> floor(length) THEN 1.0 ELSE 0.0 END AS DOUBLE) AS churn_pred
+  FROM live WHERE length IS NOT NULL),
+live_flagged AS (
+  SELECT *, ((page = 'Cancellation Confirmation' AND churn_pred = 2)
+             OR (page = 'Downgrade' AND churn_pred = 1)) AS correct_prediction
+  FROM live_scored WHERE churn_pred > 0)"""
+
+
 def _with(*blocks: str) -> str:
     return "WITH " + ",".join(blocks)
 
@@ -250,6 +277,22 @@ def oracle_sql() -> dict[str, str]:
     q["scored_users"] = (_with(*_BASE, TRAIN_ROWS)
                          + " SELECT userId, count(*) AS n_rows FROM train_rows GROUP BY userId")
     q["stream_rows"] = _with(*_BASE, TRAIN_ROWS) + " SELECT * FROM train_rows"
+    live = _with(CLICKSTREAM, CAST_CS, LIVE)
+    q["live_scoring"] = live + """
+SELECT 'scored' AS sink, s.*, CASE WHEN churn_pred > 0 THEN f.correct_prediction END AS correct_prediction
+FROM live_scored s LEFT JOIN (SELECT userId AS u, sessionId AS i, itemInSession AS k, correct_prediction
+                              FROM live_flagged) f ON u = userId AND i = sessionId AND k = itemInSession
+UNION ALL SELECT 'flagged', * FROM live_flagged
+UNION ALL SELECT 'unfilled', *, NULL, NULL FROM live WHERE length IS NULL
+UNION ALL SELECT 'malformed', NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL FROM spans WHERE cut"""
+    q["live_users"] = live + """,
+all_means AS (SELECT userId, CAST(sum(n) AS BIGINT) AS n, sum(total) / sum(n) AS mean_length
+              FROM span_totals GROUP BY userId HAVING sum(n) > 0),
+at_risk AS (SELECT userId, count(*) AS flagged_events, count(*) FILTER (WHERE churn_pred = 2) AS cancel_flags,
+                   count(*) FILTER (WHERE churn_pred = 1) AS downgrade_flags, max(churn_pred) AS max_risk,
+                   count(*) FILTER (WHERE correct_prediction) AS confirmed_flags
+            FROM live_flagged GROUP BY userId)
+SELECT * FROM all_means FULL JOIN at_risk USING (userId)"""
     q["length_item_density"] = (_with(*_BASE, EXPLORE) + " SELECT level, churn, "
                                 "CAST(floor(length / 500.0) AS BIGINT) AS x_cell, "
                                 "CAST(floor(itemInSession / 10.0) AS BIGINT) AS y_cell, "

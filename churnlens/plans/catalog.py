@@ -372,6 +372,59 @@ DETERMINISTIC |= {
     "stream_rows": q_stream_rows,
 }
 
+# --- the stream as one query (rule model, so that SQL can follow it) ---------------
+
+#: A line whose item number leaves this rest by this divisor arrives cut short.
+CUT_EVERY, CUT_REST = 50, 7
+
+
+def write_lines(df: DataFrame, path: str) -> None:
+    """Events as JSON lines, some cut short."""
+    cut = F.col("itemInSession") % CUT_EVERY == CUT_REST
+    (df.select(cut.alias("cut"), F.to_json(F.struct("*")).alias("line"))
+       .select(F.when(F.col("cut"), F.expr("left(line, length(line) - 1)")).otherwise(F.col("line")).alias("value"))
+       .write.mode("overwrite").text(path))
+
+
+def _live_tables(spark, sf_dir, n_batches: int = 3) -> str:
+    """The events in ``n_batches`` spans of days, one after the other, through the live query, which stops in between."""
+    from ..ml.rules import rule_pipeline
+    from ..operators.checkpoint import materialize
+    from ..streaming.live_scoring import run_live_scoring
+    events = materialize(_cs(spark, sf_dir), "live-events")
+    base = scratch_path(spark, "live")
+    day = F.floor(F.col("ts") / F.lit(86_400_000))
+    lo, hi = events.agg(F.min(day), F.max(day)).first()
+    width = (hi - lo) // n_batches + 1
+    for i in range(n_batches):
+        write_lines(events.where((day >= lo + i * width) & (day < lo + (i + 1) * width)), f"{base}/in/span={i}")
+        run_live_scoring(spark, f"{base}/in", rule_pipeline("fraction"), f"{base}/tables", f"{base}/checkpoint",
+                         "2 days", max_files_per_trigger=1_000_000, compact_every=2).awaitTermination()
+    return f"{base}/tables"
+
+
+def q_live_scoring(spark, sf_dir):
+    """The sinks of the live query, each row filled from the means as of its batch."""
+    from ..sources.batches import BatchTable
+    from ..streaming.live_scoring import EVENT_COLUMNS, ROW_SCHEMA
+    table = BatchTable(spark, f"{_live_tables(spark, sf_dir)}/rows", ROW_SCHEMA)
+    return table.read(columns=["sink", *EVENT_COLUMNS, PREDICTION, "correct_prediction"])
+
+
+def q_live_users(spark, sf_dir):
+    """A1 and R3 kept up by the live query: a user's lengths so far, their mean, and the columns of ``at_risk_users``."""
+    from ..streaming.running import live_at_risk, live_means
+    tables = _live_tables(spark, sf_dir)
+    means = live_means(spark, f"{tables}/means").latest().select(
+        "userId", "n", (F.col("total") / F.col("n")).alias("mean_length"))
+    return means.join(live_at_risk(spark, f"{tables}/at_risk").latest(), "userId", "full")
+
+
+DETERMINISTIC |= {
+    "live_scoring": q_live_scoring,
+    "live_users": q_live_users,
+}
+
 MODEL_QUERIES: dict[str, Query] = {
     "train_dt": _train("dt"),
     "train_rf": _train("rf"),
