@@ -1,4 +1,4 @@
-"""Command-line jobs: train, compare, score, stream, live, profile, means.
+"""Command-line jobs: train, compare, score, stream, live, drift, profile, means.
 
     spark-submit -m churnlens.jobs train  --events PATH --model-out PATH [--kind dt|rf|gbt_ovr|gbt_binary]
     spark-submit -m churnlens.jobs compare --events PATH --model NAME=PATH [--model NAME=PATH ...]
@@ -7,6 +7,7 @@
                                           --checkpoint PATH --delay "1 day"
     spark-submit -m churnlens.jobs live   --source DIR --model PATH --tables PATH --checkpoint PATH --delay "1 day"
                                           (one query: means kept up, scored, flagged, unfilled, malformed rows)
+    spark-submit -m churnlens.jobs drift  --events PATH   (what the source has in place of the event schema)
     spark-submit -m churnlens.jobs profile --events PATH --out PATH
     spark-submit -m churnlens.jobs means  --events PATH --out PATH   (the stream's mean table)
 
@@ -46,13 +47,13 @@ def cmd_train(a) -> None:
 
 
 def cmd_compare(a) -> None:
-    from .ml.evaluate import compare_models
+    from .ml.evaluate import compare_in_one_pass
     from .plans.train import prepare_training
     from .sources import load_pipeline, read_events
     spark = _session("churnlens-compare")
     models = {name: load_pipeline(path) for name, path in (m.split("=", 1) for m in a.model)}
     prepared = prepare_training(read_events(spark, a.events), k=a.k, split_by=a.split_by)
-    for r in compare_models(models, prepared.where("split = 'test'")).collect():  # one row per model
+    for r in compare_in_one_pass(models, prepared.where("split = 'test'")).collect():  # one row per model
         print(json.dumps(r.asDict()))
 
 
@@ -93,6 +94,14 @@ def cmd_live(a) -> None:
     print(json.dumps({"batch_id": last["batch_id"], **last["counts"]} if last else {}))
 
 
+def cmd_drift(a) -> None:
+    from .sources.drift import drift_report, inferred_fields, read_variants
+    spark = _session("churnlens-drift")
+    variants = read_variants(spark, a.events)
+    drift_report(variants).orderBy("field", "type").write.mode("overwrite").parquet(f"{a.out}/drift")
+    inferred_fields(variants).orderBy("field").write.mode("overwrite").parquet(f"{a.out}/fields")
+
+
 def cmd_profile(a) -> None:
     from .operators.clean import cast_columns, impute_length
     from .operators.profile import describe_numeric, null_profile_stages
@@ -156,6 +165,10 @@ def main(argv: list[str] | None = None) -> None:
     lv.add_argument("--compact-every", type=int, default=20, help="parts of running aggregates merged into one base")
     lv.add_argument("--max-files-per-trigger", type=int, default=1000)
     lv.set_defaults(fn=cmd_live)
+    dr = sub.add_parser("drift")
+    dr.add_argument("--events", required=True)
+    dr.add_argument("--out", required=True)
+    dr.set_defaults(fn=cmd_drift)
     pr = sub.add_parser("profile")
     pr.add_argument("--events", required=True)
     pr.add_argument("--out", required=True)

@@ -43,20 +43,22 @@ def flag_precision(flagged: DataFrame) -> DataFrame:
 
 
 def weighted_metrics(pred: DataFrame, label: str = LABEL, prediction: str = PREDICTION,
-                     digits: int | None = 9) -> DataFrame:
-    """M11-M13 as aggregates: weighted F1, precision and recall, one row.
+                     digits: int | None = 9, by: str | None = None) -> DataFrame:
+    """M11-M13 as aggregates: weighted F1, precision and recall, one row (or one per value of ``by``).
 
     Same definitions as MLlib's ``MulticlassMetrics``: classes are the label
     values, weights are label counts, a class never predicted right scores 0
     (so only diagonal cells contribute). The data is first reduced to the
-    confusion cells (at most classes squared rows); the rest runs on them.
-    Also returns the row count and the rows flagged at risk (class 1 or 2).
+    confusion cells (at most classes squared rows, times the values of ``by``);
+    the rest runs on them. Also returns the row count and the rows flagged at
+    risk (class 1 or 2).
     """
-    cells = pred.groupBy(F.col(label).cast("double").alias("l"),
+    group = [by] if by else []
+    cells = pred.groupBy(*group, F.col(label).cast("double").alias("l"),
                          F.col(prediction).cast("double").alias("p")).agg(F.count(F.lit(1)).alias("n"))
-    everything = Window.partitionBy()
-    cells = (cells.withColumn("label_n", F.sum("n").over(Window.partitionBy("l")))
-                  .withColumn("pred_n", F.sum("n").over(Window.partitionBy("p")))
+    everything = Window.partitionBy(*group)
+    cells = (cells.withColumn("label_n", F.sum("n").over(Window.partitionBy(*group, "l")))
+                  .withColumn("pred_n", F.sum("n").over(Window.partitionBy(*group, "p")))
                   .withColumn("total", F.sum("n").over(everything))
                   .withColumn("flagged", F.sum(F.when(F.col("p").isin(*[float(k) for k in AT_RISK_CLASSES]),
                                                       F.col("n")).otherwise(F.lit(0))).over(everything)))
@@ -69,6 +71,7 @@ def weighted_metrics(pred: DataFrame, label: str = LABEL, prediction: str = PRED
         v = F.coalesce(F.sum(F.when(diag, metric * F.col("label_n") / F.col("total"))), F.lit(0.0))
         return F.round(v, digits) if digits is not None else v
 
-    return cells.agg(weighted(f1).alias("f1"), weighted(prec).alias("weighted_precision"),
-                     weighted(rec).alias("weighted_recall"), F.max("total").alias("n_rows"),
-                     F.max("flagged").alias("flagged_rows"))
+    return (cells.groupBy(*group) if group else cells).agg(
+        weighted(f1).alias("f1"), weighted(prec).alias("weighted_precision"),
+        weighted(rec).alias("weighted_recall"), F.max("total").alias("n_rows"),
+        F.max("flagged").alias("flagged_rows"))

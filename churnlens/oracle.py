@@ -165,6 +165,40 @@ live_flagged AS (
   FROM live_scored WHERE churn_pred > 0)"""
 
 
+# The lines of a changed producer: one row per line, with the JSON type of every field.
+DRIFT = """
+drifted AS (
+  SELECT *, itemInSession % 50 = 7 AS cut,
+         CASE WHEN itemInSession % 11 = 0 THEN 'string' ELSE 'integer' END AS status_type,
+         CASE WHEN itemInSession % 13 = 0 THEN 'string' WHEN length IS NULL THEN 'null' ELSE 'number' END AS length_type,
+         CASE WHEN itemInSession % 17 = 0 THEN 'number' ELSE 'integer' END AS session_type,
+         CASE WHEN itemInSession % 23 = 0 THEN 'array' WHEN itemInSession % 23 = 1 THEN 'integer' END AS tags_type,
+         CASE WHEN itemInSession % 19 = 0 THEN 'object' END AS device_type
+  FROM clickstream),
+whole AS (SELECT * FROM drifted WHERE NOT cut),
+kinds AS (SELECT * FROM (VALUES
+  ('artist', 'string'), ('auth', 'string'), ('firstName', 'string'), ('gender', 'string'), ('itemInSession', 'bigint'),
+  ('lastName', 'string'), ('length', 'double'), ('level', 'string'), ('location', 'string'), ('method', 'string'),
+  ('page', 'string'), ('registration', 'bigint'), ('sessionId', 'bigint'), ('song', 'string'), ('status', 'bigint'),
+  ('ts', 'bigint'), ('userAgent', 'string'), ('userId', 'string')) k(field, expected)),
+typed AS (
+  SELECT unnest([
+    {'field': 'userId', 'type': 'string', 'lost': 0}, {'field': 'level', 'type': 'string', 'lost': 0},
+    {'field': 'page', 'type': 'string', 'lost': 0}, {'field': 'location', 'type': 'string', 'lost': 0},
+    {'field': 'method', 'type': 'string', 'lost': 0}, {'field': 'itemInSession', 'type': 'integer', 'lost': 0},
+    {'field': 'ts', 'type': 'integer', 'lost': 0},
+    {'field': 'gender', 'type': CASE WHEN gender IS NOT NULL THEN 'string' END, 'lost': 0},
+    {'field': 'status', 'type': status_type, 'lost': 0},
+    {'field': 'length', 'type': length_type, 'lost': (length_type = 'string')::INT},
+    {'field': 'sessionId', 'type': session_type, 'lost': (session_type = 'number')::INT},
+    {'field': 'tags', 'type': tags_type, 'lost': 0}, {'field': 'device', 'type': device_type, 'lost': 0}], recursive := true)
+  FROM whole),
+fields AS (SELECT field, type, count(*) AS n, sum(lost)::BIGINT AS lost FROM typed WHERE type IS NOT NULL GROUP BY field, type),
+absent AS (
+  SELECT field, 'absent' AS type, (SELECT count(*) FROM whole) - coalesce((SELECT sum(n) FROM fields f WHERE f.field = k.field), 0)
+           AS n, 0::BIGINT AS lost FROM kinds k)"""
+
+
 def _with(*blocks: str) -> str:
     return "WITH " + ",".join(blocks)
 
@@ -277,6 +311,55 @@ def oracle_sql() -> dict[str, str]:
     q["scored_users"] = (_with(*_BASE, TRAIN_ROWS)
                          + " SELECT userId, count(*) AS n_rows FROM train_rows GROUP BY userId")
     q["stream_rows"] = _with(*_BASE, TRAIN_ROWS) + " SELECT * FROM train_rows"
+    rules = {"fraction": ("length <> floor(length) AND itemInSession % 2 = 0", "length <> floor(length)"),
+             "position": ("itemInSession >= 40", "itemInSession >= 20"), "nobody": ("false", "false"),
+             "free": ("level = 'free' AND gender = 'F'", "level = 'free'")}
+    predicted = " UNION ALL ".join(
+        f"SELECT '{name}' AS model, CAST(churn AS DOUBLE) AS l, CAST(CASE WHEN {cancel} THEN 2 WHEN {downgrade} THEN 1 "
+        f"ELSE 0 END AS DOUBLE) AS p FROM test_rows" for name, (cancel, downgrade) in rules.items())
+    q["compare_rules"] = f"""WITH test_rows AS (SELECT * FROM ({q['hash_split']}) WHERE split = 'test'),
+pred AS ({predicted}),
+cells AS (SELECT model, l, p, CAST(count(*) AS DOUBLE) AS n FROM pred GROUP BY model, l, p),
+w AS (SELECT *, sum(n) OVER (PARTITION BY model, l) AS label_n, sum(n) OVER (PARTITION BY model, p) AS pred_n,
+             sum(n) OVER (PARTITION BY model) AS total FROM cells)
+SELECT model, 'test' AS split,
+       round(coalesce(sum(CASE WHEN l = p THEN 2.0 * (n / pred_n) * (n / label_n) / ((n / pred_n) + (n / label_n))
+                               * label_n / total END), 0.0), 9) AS f1,
+       round(coalesce(sum(CASE WHEN l = p THEN (n / pred_n) * label_n / total END), 0.0), 9) AS weighted_precision,
+       round(coalesce(sum(CASE WHEN l = p THEN (n / label_n) * label_n / total END), 0.0), 9) AS weighted_recall,
+       CAST(max(total) AS BIGINT) AS n_rows, CAST(coalesce(sum(n) FILTER (p > 0), 0) AS BIGINT) AS flagged_rows
+FROM w GROUP BY model"""
+    q["nested_grid"] = ("SELECT max_depth::INT AS max_depth, max_iter::INT AS max_iter, false AS metrics_differ, "
+                        "true AS best_agrees, 7::INT AS fits, n_rows, 0::BIGINT AS scored_apart "
+                        "FROM (VALUES (2, 2), (2, 4), (3, 2), (3, 4)) g(max_depth, max_iter), "
+                        f"(SELECT count(*) AS n_rows FROM ({q['hash_split']}))")
+    q["training_facts"] = ("SELECT model, split, count(*) AS n_rows, true AS in_range "
+                           f"FROM ({q['hash_split']}), (VALUES ('dt'), ('rf')) m(model) "
+                           "WHERE split <> 'train' GROUP BY model, split")
+    q["scored_table"] = _with(*_BASE, TRAIN_ROWS, SCORE_ROWS) + " SELECT * FROM flagged"
+    q["json_drift"] = _with(CLICKSTREAM, DRIFT) + """
+SELECT field, type, expected, n::BIGINT AS n, n::DOUBLE / (SELECT count(*) FROM whole) AS share,
+       CASE WHEN expected IS NULL THEN 'unknown' WHEN type IN ('null', 'absent') THEN type
+            WHEN (expected, type) IN (('bigint', 'integer'), ('double', 'number'), ('double', 'integer'), ('string', 'string'))
+            THEN 'ok' ELSE 'conflict' END AS status, lost
+FROM (SELECT * FROM fields UNION ALL SELECT * FROM absent WHERE n > 0) LEFT JOIN kinds USING (field)"""
+    q["json_schema"] = _with(CLICKSTREAM, DRIFT) + """,
+merged AS (SELECT field, list_sort(list(type) FILTER (type <> 'null')) AS types, sum(n)::BIGINT AS n FROM fields GROUP BY field)
+SELECT field, n, CASE WHEN types = ['string'] THEN 'STRING' WHEN types = ['integer'] THEN 'BIGINT'
+                      WHEN types IN (['number'], ['integer', 'number']) THEN 'DECIMAL'
+                      WHEN types = ['object'] THEN 'OBJECT<os: STRING, version: BIGINT>'
+                      WHEN types = ['array'] THEN 'ARRAY<STRING>' ELSE 'VARIANT' END AS merged_type
+FROM merged"""
+    q["json_open"] = _with(CLICKSTREAM, DRIFT) + """
+SELECT userId, itemInSession, CASE WHEN session_type = 'integer' THEN sessionId END AS sessionId,
+       CASE WHEN length_type = 'number' THEN length END AS length, status, page, ts,
+       CASE WHEN device_type IS NOT NULL THEN 'x' END AS device_os,
+       CASE WHEN length_type = 'string' AND session_type = 'number'
+            THEN '{"length":"n/a","sessionId":' || sessionId || '.5}'
+            WHEN length_type = 'string' THEN '{"length":"n/a"}'
+            WHEN session_type = 'number' THEN '{"sessionId":' || sessionId || '.5}' END AS lost, false AS malformed
+FROM whole
+UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, true FROM drifted WHERE cut"""
     live = _with(CLICKSTREAM, CAST_CS, LIVE)
     q["live_scoring"] = live + """
 SELECT 'scored' AS sink, s.*, CASE WHEN churn_pred > 0 THEN f.correct_prediction END AS correct_prediction

@@ -249,11 +249,11 @@ def _saved_models(spark, prepared):
 
 
 def q_compare_models(spark, sf_dir):
-    """Saved models compared on one test split."""
-    from ..ml.evaluate import compare_models
+    """Saved models compared on one test split, in one pass over it."""
+    from ..ml.evaluate import compare_in_one_pass
     prepared = _prepared(spark, sf_dir)
     models = _saved_models(spark, prepared)
-    return compare_models(models, prepared.where(F.col("split") == "test"))
+    return compare_in_one_pass(models, prepared.where(F.col("split") == "test"))
 
 
 def _fitted_and_loaded(spark, prepared):
@@ -420,7 +420,121 @@ def q_live_users(spark, sf_dir):
     return means.join(live_at_risk(spark, f"{tables}/at_risk").latest(), "userId", "full")
 
 
+# --- sources that differ from the schema -----------------------------------------
+
+def _drifted_lines(spark, sf_dir) -> str:
+    """The clickstream as JSON lines of a producer that has changed: other types, further fields, cut lines."""
+    item = F.col("itemInSession")
+    status = F.col("status").cast("string")
+    drifted = _cs(spark, sf_dir).select(
+        F.to_json(F.struct(*[c for c in EXPLORE_COLUMNS if c not in ("status", "length", "sessionId", "gender")],
+                           "gender")).alias("plain"),
+        F.when(item % 11 == 0, F.concat(F.lit('"'), status, F.lit('"'))).otherwise(status).alias("status"),
+        F.when(item % 13 == 0, F.lit('"n/a"')).otherwise(F.coalesce(F.col("length").cast("string"), F.lit("null")))
+         .alias("length"),
+        F.when(item % 17 == 0, F.concat(F.col("sessionId").cast("string"), F.lit(".5")))
+         .otherwise(F.col("sessionId").cast("string")).alias("sessionId"),
+        F.when(item % 19 == 0, F.lit(',"device":{"os":"x","version":1}')).otherwise(F.lit("")).alias("device"),
+        F.when(item % 23 == 0, F.lit(',"tags":["a","b"]')).when(item % 23 == 1, F.lit(',"tags":7'))
+         .otherwise(F.lit("")).alias("tags"), (item % CUT_EVERY == CUT_REST).alias("cut"))
+    line = F.concat(F.expr("left(plain, length(plain) - 1)"), F.lit(',"status":'), "status", F.lit(',"length":'), "length",
+                    F.lit(',"sessionId":'), "sessionId", "device", "tags", F.when(F.col("cut"), "").otherwise("}"))
+    path = scratch_path(spark, "events-drifted")
+    drifted.select(line.alias("value")).write.mode("overwrite").text(path)
+    return path
+
+
+def q_json_drift(spark, sf_dir):
+    """What a changed producer's lines have in place of the event schema."""
+    from ..sources.drift import drift_report, read_variants
+    return drift_report(read_variants(spark, _drifted_lines(spark, sf_dir)))
+
+
+def q_json_schema(spark, sf_dir):
+    """The fields of the same lines with their merged types, decimals without their digits."""
+    from ..sources.drift import inferred_fields, read_variants
+    fields = inferred_fields(read_variants(spark, _drifted_lines(spark, sf_dir)))
+    return fields.withColumn("merged_type", F.regexp_replace("merged_type", r"DECIMAL\(\d+,\d+\)", "DECIMAL"))
+
+
+def q_json_open(spark, sf_dir):
+    """The same lines read with the event schema; unknown fields, lost values and cut lines are kept."""
+    from ..sources.drift import EXTRA, LOST, MALFORMED, read_events_open
+    rows = read_events_open(spark, _drifted_lines(spark, sf_dir))
+    return rows.select("userId", "itemInSession", "sessionId", "length", "status", "page", "ts",
+                       F.expr(f"try_variant_get({EXTRA}, '$.device.os', 'string')").alias("device_os"),
+                       F.expr(f"to_json({LOST})").alias("lost"), F.col(MALFORMED).isNotNull().alias("malformed"))
+
+
+# --- models: comparison in one pass, nested grids, the jobs' facts -----------------
+
+def q_compare_rules(spark, sf_dir):
+    """Fixed rules on two, three and no features, compared on the test split in one pass."""
+    from ..ml.evaluate import compare_in_one_pass
+    from ..ml.rules import RULES, rule_pipeline
+    test = _prepared(spark, sf_dir).where(F.col("split") == "test")
+    return compare_in_one_pass({name: rule_pipeline(name) for name in RULES}, test, digits=9)
+
+
+#: A small grid of the reference's parameters for the comparison with the full search.
+NESTED_GRID = {"maxDepth": [2, 3], "maxIter": [2, 4]}
+
+
+def q_nested_grid(spark, sf_dir):
+    """M5, M7-M9: the nested search over boosted trees against Spark's own search over the whole grid.
+
+    Per grid point: whether the mean metrics differ by more than 1e-9, whether
+    both searches call it the best, the rows the two best models score apart,
+    and the fits of the nested search.
+    """
+    from ..ml.estimators import cross_validator
+    from ..ml.nested import NestedValidator
+    from .train import BINARY_LABEL
+    prepared = _prepared(spark, sf_dir)
+    train = prepared.where(F.col("split") == "train")
+    args = dict(kind="gbt_binary", grid=NESTED_GRID, label=BINARY_LABEL, index_on=prepared)
+    nested, full = NestedValidator(**args).fit(train), cross_validator(**args).fit(train)
+    best = max(range(len(full.avgMetrics)), key=lambda i: full.avgMetrics[i])
+    points = [(p["maxDepth"], p["maxIter"], abs(m - full.avgMetrics[i]) > 1e-9, (p == nested.best) == (i == best), nested.fits)
+              for i, (p, m) in enumerate(zip(nested.points, nested.metrics))]
+    rows = nested.best_model.transform(prepared).select(*prepared.columns, F.col(PREDICTION).alias("nested"))
+    apart = full.bestModel.transform(rows).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("nested") != F.col(PREDICTION)).alias("scored_apart"))
+    fields = ("max_depth", "max_iter", "metrics_differ", "best_agrees", "fits")
+    grid = F.explode(F.array(*[F.struct(*[F.lit(v).alias(n) for n, v in zip(fields, p)]) for p in points]))
+    return apart.select("*", grid.alias("point")).select("point.*", "n_rows", "scored_apart")
+
+
+def q_training_facts(spark, sf_dir):
+    """What the training job reports of its models whatever they learn: rows a split, scores in range."""
+    from .train import train_and_evaluate
+    prepared = _prepared(spark, sf_dir)
+    told = [train_and_evaluate(prepared, kind, grid={"maxDepth": [3]}, name=kind)[1] for kind in ("dt", "rf")]
+    return told[0].unionByName(told[1]).select(
+        "model", "split", "n_rows", (F.col("f1").between(0, 1) & F.col("weighted_precision").between(0, 1)
+                                     & F.col("weighted_recall").between(0, 1)
+                                     & F.col("flagged_rows").between(0, F.col("n_rows"))).alias("in_range"))
+
+
+def q_scored_table(spark, sf_dir):
+    """A JSON upload scored with a saved and loaded rule, written to a table and read back."""
+    from ..ml.rules import rule_pipeline
+    from ..sources.sinks import load_pipeline, save_pipeline
+    from .score import score_batch
+    upload, saved = scratch_path(spark, "upload-json"), scratch_path(spark, "model-rule")
+    _cs(spark, sf_dir).write.mode("overwrite").json(upload)
+    save_pipeline(rule_pipeline("fraction"), saved)
+    return score_batch(ev.read_events(spark, upload), load_pipeline(saved), scratch_path(spark, "scored"))
+
+
 DETERMINISTIC |= {
+    "compare_rules": q_compare_rules,
+    "nested_grid": q_nested_grid,
+    "training_facts": q_training_facts,
+    "scored_table": q_scored_table,
+    "json_drift": q_json_drift,
+    "json_schema": q_json_schema,
+    "json_open": q_json_open,
     "live_scoring": q_live_scoring,
     "live_users": q_live_users,
 }
