@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.checkpoint import materialize, materialize_counted
+from ..operators.joins import attach_by_key
 from .common import side
 from .shingles import U, chunks, mix, shingle_sets
 
@@ -63,12 +64,12 @@ def _batches(frames: Iterator[pd.DataFrame]):
 def _profile(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """A row per document, and the shingles that come several times in one batch of documents."""
     for f, h, n, node in _batches(frames):
-        yield pd.DataFrame({"doc_id": f["doc_id"].astype("Int64"), "node": node, "n": n.astype(np.int64),
-                            "seen": np.zeros(len(f), np.int64)})
+        yield pd.DataFrame({"doc_id": f["doc_id"].astype("Int64"), "th": f["th"].astype("Int64"), "node": node,
+                            "n": n.astype(np.int64), "seen": np.zeros(len(f), np.int64)})
         shingle, seen = np.unique(h, return_counts=True)
         some = seen >= 4
-        yield pd.DataFrame({"doc_id": pd.array([None] * int(some.sum()), "Int64"),
-                            "node": shingle[some].view(np.int64), "n": np.full(int(some.sum()), -1, np.int64),
+        none = pd.array([None] * int(some.sum()), "Int64")
+        yield pd.DataFrame({"doc_id": none, "th": none, "node": shingle[some].view(np.int64), "n": np.full(int(some.sum()), -1, np.int64),
                             "seen": seen[some].astype(np.int64)})
 
 
@@ -172,9 +173,15 @@ def _each_set(column: str, make):
 
 
 def _sets_of(texts: DataFrame, names: DataFrame, n_names: int, column: str, make) -> DataFrame:
-    """``node, n`` and ``column`` of the sets in ``names``, from one more pass over the texts."""
-    return (texts.mapInPandas(_each_set(column, make), f"node long, n long, {column} binary")
-            .join(side(names, n_names, 16), "node", "left_semi")
+    """``node, n`` and ``column`` of the sets in ``names`` (``node, th``), from their texts (``th, text``) alone.
+
+    ``th``, the hash of one text of the node, picks the rows before any shingle
+    is made; another text of the same hash is left out by its node.
+    """
+    wanted = side(names.select("th").distinct(), n_names, 16)
+    return (texts.join(wanted, "th", "left_semi").select("text")
+            .mapInPandas(_each_set(column, make), f"node long, n long, {column} binary")
+            .join(side(names.select("node"), n_names, 16), "node", "left_semi")
             .groupBy("node").agg(F.first("n").alias("n"), F.first(column).alias(column)))
 
 
@@ -194,11 +201,30 @@ def _differ(a: list[bytes], b: list[bytes]) -> np.ndarray:
     return out
 
 
+def _fold(v: np.ndarray, words: int) -> np.ndarray:
+    """Bitmaps (a row each) folded by XOR to ``words`` 64-bit words."""
+    while v.shape[1] > words:
+        half = v.shape[1] // 2
+        v = v[:, :half] ^ v[:, half:]
+    return v
+
+
 def _near_bits(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The pairs whose sizes and bitmaps leave a link possible; pairs of equal bitmap lengths are compared at once."""
     for f in frames:
-        keep = [i for i, (x, y, n, m) in enumerate(zip(f["bits_a"], f["bits_b"], f["n_a"], f["n_b"], strict=True))
-                if 4 * min(n, m) >= 3 * max(n, m) and 7 * _differ([x], [y])[0, 0] <= n + m]
-        yield f.iloc[keep][["a", "b"]]
+        n, m = f["n_a"].to_numpy(), f["n_b"].to_numpy()
+        ok = 4 * np.minimum(n, m) >= 3 * np.maximum(n, m)
+        x, y = f["bits_a"].to_numpy(), f["bits_b"].to_numpy()
+        lens = np.array([(len(p), len(q)) for p, q in zip(x, y)], np.int64).reshape(-1, 2) // 8
+        for wide, high in np.unique(lens[ok], axis=0).tolist():
+            at = np.flatnonzero(ok & (lens == (wide, high)).all(axis=1))
+            for part in np.array_split(at, -(-len(at) * max(wide, high) // (1 << 20)) or 1):
+                p = np.frombuffer(b"".join(x[part]), np.uint64).reshape(-1, wide)
+                q = np.frombuffer(b"".join(y[part]), np.uint64).reshape(-1, high)
+                words = min(wide, high)
+                differ = np.bitwise_count(_fold(p, words) ^ _fold(q, words)).sum(axis=1, dtype=np.int64)
+                ok[part] = 7 * differ <= n[part] + m[part]
+        yield f.loc[ok, ["a", "b"]]
 
 
 def _linked(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -214,36 +240,45 @@ def _linked(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield f.iloc[keep][["a", "b"]]
 
 
-def _runs(frames: Iterator[pd.DataFrame]) -> Iterator[tuple[pd.DataFrame, int, int]]:
-    """Each whole (sig, i, j) run of sorted rows, as a frame and its bounds in it."""
-    held, names = None, ["sig", "i", "j"]
+_COLUMNS = ["sig", "i", "j", "node", "comp", "n", "blk", "bits"]
+
+
+def _runs(frames: Iterator[pd.DataFrame]) -> Iterator[dict[str, np.ndarray]]:
+    """The columns of each whole (sig, i, j) run of sorted rows."""
+    held = None
     for f in frames:
         f = f if held is None else pd.concat([held, f], ignore_index=True)
         if not len(f):
             continue
-        k = f[names].to_numpy()
-        cuts = np.flatnonzero(np.r_[True, (k[1:] != k[:-1]).any(axis=1)])
+        cols = {c: f[c].to_numpy() for c in _COLUMNS}
+        new = np.zeros(len(f), bool)
+        for c in ("sig", "i", "j"):
+            new[1:] |= cols[c][1:] != cols[c][:-1]
+        cuts = [0, *np.flatnonzero(new).tolist()]
         held = f.iloc[cuts[-1]:]
         for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
-            yield f, lo, hi
+            yield {c: v[lo:hi] for c, v in cols.items()}
     if held is not None and len(held):
-        yield held, 0, len(held)
+        yield {c: held[c].to_numpy() for c in _COLUMNS}
 
 
-def _allowed(run: pd.DataFrame, label: np.ndarray):
+def _allowed(run: dict[str, np.ndarray]):
     """(left, right, allowed, differing bits) of a run's two blocks, or None.
 
-    A pair is allowed when its labels differ and neither the sizes nor the bitmaps rule a link out.
+    A pair is allowed when its components differ and neither the sizes nor the bitmaps rule a link out.
     """
-    n, blk, bits = (run[c].to_numpy() for c in ("n", "blk", "bits"))
-    i, j = run["i"].iat[0], run["j"].iat[0]
-    left = right = np.arange(len(run))
+    comp = run["comp"]
+    if (comp == comp[0]).all():
+        return None
+    n, blk, bits = run["n"], run["blk"], run["bits"]
+    i, j = run["i"][0], run["j"][0]
+    left = right = np.arange(len(n))
     if i != j:
         left, right = left[blk == i], left[blk == j]
     if not len(left) or not len(right):
         return None
     a, b = n[left][:, None], n[right][None, :]
-    ok = (label[left][:, None] != label[right][None, :]) & (4 * np.minimum(a, b) >= 3 * np.maximum(a, b))
+    ok = (comp[left][:, None] != comp[right][None, :]) & (4 * np.minimum(a, b) >= 3 * np.maximum(a, b))
     if not ok.any():
         return None
     differ = _differ(list(bits[left]), list(bits[right]))
@@ -252,32 +287,45 @@ def _allowed(run: pd.DataFrame, label: np.ndarray):
 
 
 def _pairs(a: list, b: list) -> pd.DataFrame:
-    both = np.array([a, b], np.int64)
+    both = np.array([a, b], np.int64).reshape(2, -1)
     both = np.unique(np.stack([both.min(axis=0), both.max(axis=0)], 1), axis=0)
     return pd.DataFrame({"a": both[:, 0], "b": both[:, 1]})
 
 
 def _forest(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Allowed pairs that would join the components of each run, nearest first.
+    """Allowed pairs (a, b) that would join the components of each run, nearest first, and the runs' groups (sig).
 
     A task takes no pair of components that its earlier pairs would have
-    joined, so it gives fewer pairs than it has components.
+    joined, so it gives fewer pairs than it has components. A group is named if
+    it has an allowed pair at all: components only grow together, so the other
+    groups need no further look.
     """
     parent: dict[int, int] = {}
-    a, b = [], []
+    a, b, sigs = [], [], set()
 
     def find(c: int) -> int:
         while (up := parent.get(c, c)) != c:
             parent[c] = c = parent.get(up, up)
         return c
-    for f, lo, hi in _runs(frames):
-        run = f.iloc[lo:hi]
-        node = run["node"].to_numpy()
-        label = np.array([find(c) for c in run["comp"].tolist()], np.int64)
-        found = _allowed(run, label)
+
+    def told() -> Iterator[pd.DataFrame]:
+        pairs = _pairs(a, b)
+        yield pairs.assign(sig=pd.array([None] * len(pairs), "Int64")).astype("Int64")
+        named = pd.array(sorted(sigs), "Int64")
+        none = pd.array([None] * len(named), "Int64")
+        yield pd.DataFrame({"a": none, "b": none, "sig": named})
+        a.clear()
+        b.clear()
+        sigs.clear()
+    for run in _runs(frames):
+        found = _allowed(run)
         if found is None:
             continue
+        sigs.add(int(run["sig"][0]))
         left, right, ok, differ = found
+        node = run["node"]
+        label = np.array([find(c) for c in run["comp"].tolist()], np.int64)
+        ok = ok & (label[left][:, None] != label[right][None, :])
         while ok.any():
             best = np.where(ok, differ, np.iinfo(np.int64).max)
             to, rows = best.argmin(axis=1), np.flatnonzero(ok.any(axis=1))
@@ -290,26 +338,22 @@ def _forest(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                     b.append(node[v])
             label = np.array([find(c) for c in label.tolist()], np.int64)
             ok &= label[left][:, None] != label[right][None, :]
-        if len(a) > 10_000:
-            yield _pairs(a, b)
-            a, b = [], []
-    if a:
-        yield _pairs(a, b)
+        if len(a) + len(sigs) > 10_000:
+            yield from told()
+    yield from told()
 
 
 def _across(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """All allowed pairs of different components of each run."""
     a, b = [], []
-    for f, lo, hi in _runs(frames):
-        run = f.iloc[lo:hi]
-        found = _allowed(run, run["comp"].to_numpy())
+    for run in _runs(frames):
+        found = _allowed(run)
         if found is None:
             continue
         left, right, ok, _ = found
         x, y = np.nonzero(ok)
-        node = run["node"].to_numpy()
-        a.extend(node[left[x]])
-        b.extend(node[right[y]])
+        a.extend(run["node"][left[x]])
+        b.extend(run["node"][right[y]])
         if len(a) > 100_000:
             yield _pairs(a, b)
             a, b = [], []
@@ -343,13 +387,14 @@ def components(edges: DataFrame) -> DataFrame:
         edges.select(F.col("v").alias("node"), F.col("v").alias("comp")).distinct())
 
 
-def _check(pairs: DataFrame, sets: DataFrame, texts: DataFrame) -> DataFrame:
+def _check(pairs: DataFrame, sets: DataFrame, texts: DataFrame, text_of: DataFrame) -> DataFrame:
     """The linked ones of the distinct pairs ``a, b``: bitmaps first, then the sets themselves."""
     def put(df, s, cols, sfx):
         return df.join(s.select(F.col("node").alias(sfx), *[F.col(c).alias(f"{c}_{sfx}") for c in cols]), sfx)
     small = put(put(pairs, sets, ["n", "bits"], "a"), sets, ["n", "bits"], "b")
     near = materialize(small.mapInPandas(_near_bits, "a long, b long"), "near-pairs")
-    names, n = materialize_counted(near.select(F.col("a").alias("node")).union(near.select("b")).distinct(), "near")
+    names, n = materialize_counted(near.select(F.col("a").alias("node")).union(near.select("b")).distinct()
+                                   .join(text_of, "node"), "near")
     items = materialize(_sets_of(texts, names, n, "items", lambda h: h.tobytes()), "items")
     return materialize(put(put(near, items, ["items"], "a"), items, ["items"], "b")
                        .mapInPandas(_linked, "a long, b long"), "links")
@@ -383,21 +428,17 @@ def _dealt(open_: DataFrame, sets: DataFrame) -> DataFrame:
             .sortWithinPartitions("sig", "i", "j").select("sig", "i", "j", "node", "comp", "n", "blk", "bits"))
 
 
-def link_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, n_shingles, component_id``, a row per document.
+def _grouped(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``doc_id, th, node, n, comp`` (written), a row per document: its set, the set's size and its group's least node.
 
-    ``component_id`` is the smallest id reachable by links. Equal sets (exact
-    copies among them) are one node. A null or wordless text has no shingles
-    and is alone; under five words, the whole sequence is the one shingle. A
-    null id takes part in links, but is never a ``component_id`` (null where a
-    group has no other). Repeated rows come out as often as they came in; an
-    empty table gives an empty result; other columns are ignored. Words,
-    shingles and sets are named by 64-bit hashes.
+    ``th`` is the text's 64-bit hash; without words ``n`` is 0 and ``comp`` null.
     """
     spark = docs.sparkSession
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    profile = materialize(rows.mapInPandas(_profile, "doc_id long, node long, n long, seen long"), "profile")
-    of_docs = profile.filter("n >= 0").select("doc_id", "node", "n")
+    text = F.col(text_col).cast("string")
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("th"), text.alias("text"))
+    profile = materialize(rows.mapInPandas(_profile, "doc_id long, th long, node long, n long, seen long"), "profile")
+    of_docs = profile.filter("n >= 0").select("doc_id", "th", "node", "n")
+    text_of = of_docs.filter("n > 0").groupBy("node").agg(F.min("th").alias("th"))
     n_docs = of_docs.count()
     # At most 2,000 times the mean set size: the shingles that at least one in 2,000 documents holds.
     frequent = (profile.filter("n < 0").groupBy("node").agg(F.sum("seen").alias("seen"))
@@ -409,50 +450,72 @@ def link_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
     signed = rows.select("text").mapInPandas(_sign(hot_rows), "sig long, node long")
     by = Window.partitionBy("sig").orderBy("node")
+    # Each set once a group, however many tasks signed copies of it; groups of one set have nothing to compare.
     grouped = signed.select("sig", "node", F.first("node").over(by).alias("head"), F.lag("node").over(by).alias("prev"),
-                            F.lead("node").over(by).alias("next"))
-    members = materialize(grouped.filter((F.col("prev").isNull() & (F.col("next") != F.col("node")))
-                                         | (F.col("prev") != F.col("node")))
+                            F.max("node").over(Window.partitionBy("sig")).alias("last"))
+    members = materialize(grouped.filter("head <> last AND (prev IS NULL OR prev <> node)")
                           .select("sig", "node", "head"), "members")
-    names, n_names = materialize_counted(members.select("node").distinct(), "candidates")
-    texts = rows.select("text")
+    names, n_names = materialize_counted(members.select("node").distinct().join(text_of, "node"), "candidates")
+    texts = rows.select("th", "text")
     sets = materialize(_sets_of(texts, names, n_names, "bits", parity_bits), "sets")
     stars = materialize(members.filter("node <> head").select(
         F.col("head").alias("a"), F.col("node").alias("b")).distinct(), "stars")
-    links = _check(stars, sets, texts)
+    links = _check(stars, sets, texts, names)
     comp = materialize(components(links), "components")
 
     # Pairs that would join what is still apart, then all allowed pairs of what stays apart.
     held = _open_groups(members, comp)
-    forest = _dealt(held, sets).mapInPandas(_forest, "a long, b long").distinct()
-    links = materialize(links.unionByName(_check(materialize(forest, "forest"), sets, texts)), "links")
+    forest = materialize(_dealt(held, sets).mapInPandas(_forest, "a long, b long, sig long").distinct(), "forest")
+    links = materialize(links.unionByName(_check(forest.filter("sig IS NULL").select("a", "b"), sets, texts, names)),
+                        "links")
     comp = materialize(components(links), "components")
-    crossing = _dealt(_open_groups(held, comp), sets).mapInPandas(_across, "a long, b long").distinct()
-    more = _check(materialize(crossing, "crossing"), sets, texts)
+    still = held.join(forest.select("sig").filter("sig IS NOT NULL").distinct(), "sig", "left_semi")
+    crossing = _dealt(_open_groups(still, comp), sets).mapInPandas(_across, "a long, b long").distinct()
+    more = _check(materialize(crossing, "crossing"), sets, texts, names)
     comp = materialize(components(links.unionByName(more)), "components")
+    joined = of_docs.join(comp, "node", "left").withColumn(
+        "comp", F.when(F.col("n") > 0, F.coalesce("comp", "node")))
+    return materialize(joined.select("doc_id", "th", "node", "n", "comp"), "groups")
+
+
+def link_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``doc_id, n_shingles, component_id``, a row per document.
 
-    classes = (of_docs.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("least"))
-               .join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node")))
-    classes = materialize(classes, "classes")
-    ids = classes.groupBy("comp").agg(F.min("least").alias("component_id"))
-    of_node = materialize(classes.join(ids, "comp").select("node", "component_id"), "groups")
-    full = of_docs.filter("n > 0").join(of_node, "node").select(
+    ``component_id`` is the smallest id reachable by links. Equal sets (exact
+    copies among them) are one node. A null or wordless text has no shingles
+    and is alone; under five words, the whole sequence is the one shingle. A
+    null id takes part in links, but is never a ``component_id`` (null where a
+    group has no other). Repeated rows come out as often as they came in; an
+    empty table gives an empty result; other columns are ignored. Words,
+    shingles and sets are named by 64-bit hashes.
+    """
+    rows = _grouped(docs, id_col, text_col)
+    ids = rows.filter("n > 0").groupBy("comp").agg(F.min("doc_id").alias("component_id"), F.count(F.lit(1)).alias("_n"))
+    full = attach_by_key(rows.filter("n > 0"), ids, "comp", "_n", name="component-ids").select(
         "doc_id", F.col("n").alias("n_shingles"), "component_id")
-    return full.unionByName(of_docs.filter("n = 0").select(
+    return full.unionByName(rows.filter("n = 0").select(
         "doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id")))
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one document of each group: the one whose id names it.
+    """``docs`` with one row of each group: the one with the smallest id.
 
-    Rows with a null id are kept; of rows that repeat an id, one is kept.
+    Groups are of texts, so texts that share an id but no link all stay. A null
+    id comes after all others; of rows with the same id the one with the
+    smaller text hash stays, of rows that repeat both any one. A text without
+    words is linked with nothing: one row of each id stays.
     """
-    groups = link_groups(docs, id_col, text_col)
-    kept = (groups.filter(F.col("doc_id") == F.col("component_id")).groupBy(F.col("doc_id").alias("_keep"))
-            .agg(F.count(F.lit(1)).alias("_times")))
+    rows = _grouped(docs, id_col, text_col)
+    order = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "th")
+    best = rows.filter("n > 0").groupBy("comp").agg(F.min(order).alias("best")).select("best.doc_id", "best.th")
+    kept = best.unionByName(rows.filter("n = 0").select("doc_id", "th").distinct())
+    times = rows.groupBy("doc_id", "th").agg(F.count(F.lit(1)).alias("_times"))
+    kept = kept.join(times, kept["doc_id"].eqNullSafe(times["doc_id"]) & (kept["th"] == times["th"])).select(
+        kept["doc_id"].alias("_keep"), kept["th"].alias("_hash"), "_times")
     kept, n = materialize_counted(kept, "kept")
-    out = docs.join(side(kept, n, 24), docs[id_col].cast("long") == F.col("_keep"))
+    out = docs.withColumn("_th", F.xxhash64(F.col(text_col).cast("string"))).join(
+        side(kept, n, 40), docs[id_col].cast("long").eqNullSafe(F.col("_keep")) & (F.col("_th") == F.col("_hash")))
     cols = [docs[c] for c in docs.columns]
     once = out.filter("_times = 1").select(*cols)
-    again = out.filter("_times > 1").select(*cols).dropDuplicates([id_col])
-    return once.unionByName(again).unionByName(docs.filter(docs[id_col].isNull()))
+    again = out.filter("_times > 1").dropDuplicates(["_keep", "_hash"]).select(*cols)
+    return once.unionByName(again)
