@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.checkpoint import materialize, materialize_counted
+from ..operators.sequence import row_number_within
 from .common import running_totals, side, text_of, words_of
 
 #: Exponents are multiples of 1 / GRID, up to MAX_EXPONENT.
@@ -65,7 +66,7 @@ def mix_plan(docs: DataFrame, budget_share: float = 1.0, entropy_share: float =
     of about ``block_tokens``; every source spreads its quota evenly over all
     blocks, so each block has the target weights, and each block is permuted.
 
-    Tokens are the words of the text and one end token; null texts have none.
+    Tokens are the words of the text and one end token; a null text has the end token alone.
     A null source is a source, a null id a value like others. Rows that repeat
     (source, id) are drawn as rows of their own. Prefix sums run over ranges of
     (source, epoch, key), so a source with a third of all rows is spread over
@@ -105,13 +106,28 @@ def mix_plan(docs: DataFrame, budget_share: float = 1.0, entropy_share: float =
 def mix_documents(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", **kw) -> DataFrame:
     """``docs``, each row as often as the plan draws it.
 
-    The rows of a (source, id) share their draws: the plan's count of them,
-    divided over the repeats, the first ones getting the rest.
+    The n draws of a (source, id) that k rows share are divided over these
+    rows: each comes n // k times, the first n % k of them (by a hash of the
+    row) once more. So the rows returned are as many as the plan has. A shared
+    (source, id), null ids among them, may hold any share of the rows.
     """
     plan = mix_plan(docs, id_col=id_col, source_col=source_col, **kw)
-    counts, n = materialize_counted(plan.groupBy(F.col("source").alias("_s"), F.col("doc_id").alias("_d"))
-                                    .agg(F.count(F.lit(1)).alias("_n")), "draws")
-    times = docs.join(side(counts, n, 48), docs[source_col].eqNullSafe(F.col("_s"))
-                      & docs[id_col].eqNullSafe(F.col("_d")))
-    return times.withColumn("_i", F.explode(F.sequence(F.lit(1), F.col("_n")))).select(
-        *[docs[c] for c in docs.columns])
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"),
+                       F.col(source_col).alias("_source"), F.col(id_col).alias("_id"))
+    draws = plan.groupBy(F.col("source").alias("_s"), F.col("doc_id").alias("_d")).agg(F.count(F.lit(1)).alias("_n"))
+    shared = rows.groupBy(F.col("_source").alias("_s2"), F.col("_id").alias("_d2")).agg(
+        F.count(F.lit(1)).alias("_k")).filter("_k > 1")
+    shared, n_shared = materialize_counted(shared, "shared-ids")
+    draws = draws.join(side(shared, n_shared, 128), F.col("_s").eqNullSafe(F.col("_s2")) & F.col("_d").eqNullSafe(
+        F.col("_d2")), "left").select("_s", "_d", "_n", F.coalesce("_k", F.lit(1)).alias("_k"))
+    draws, n = materialize_counted(draws, "draws")
+    met = rows.join(side(draws, n, 128), F.col("_source").eqNullSafe(F.col("_s")) & F.col("_id").eqNullSafe(F.col("_d")))
+    own = met.filter("_k = 1").select("_row", F.col("_n").alias("_times"))
+    if n_shared:
+        repeats = met.filter("_k > 1").select("_row", "_source", "_id", "_n", "_k", F.xxhash64(
+            F.to_json("_row")).alias("_hash"))
+        numbered = materialize(row_number_within(repeats, ["_source", "_id"], ["_hash"], "_i"), "shared-rows")
+        some = numbered.withColumn("_times", F.floor(F.col("_n") / F.col("_k")).cast("long") + F.when(
+            F.col("_i") < F.pmod("_n", "_k"), F.lit(1)).otherwise(F.lit(0))).filter("_times > 0")
+        own = own.unionByName(some.select("_row", "_times"))
+    return own.select("_row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_times")))).select("_row.*")
