@@ -68,7 +68,8 @@ def _windows(hashes: str, width: int) -> Column:
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, width: int = 8, min_windows: int = 6,
-               min_literals: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+               min_literals: int = 4, id_col: str = "doc_id", text_col: str = "text", keyed: bool = False
+               ) -> DataFrame:
     """``doc_id, item_id, n_windows, n_slots, exact``: documents that hold (a variant of) a benchmark item.
 
     Texts become templates (numbers, names and units are typed placeholders);
@@ -83,7 +84,9 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, width: int = 8, min_window
     ``min_windows`` template windows, so none to spare, are found by their exact
     tokens too, whatever the tokens' types: all of the item's windows at one
     offset. Null texts are empty and match nothing; an item of under
-    ``min_literals`` tokens has no window. Null ids are values like others; rows that repeat an id are one document. Empty tables give an empty
+    ``min_literals`` tokens has no window. A document is an id and a text: rows that
+    repeat an id, or lack one, with different texts are judged apart and then told under
+    their id, or with ``keyed`` under (``doc_id, text_hash``). Empty tables give an empty
     result; other columns are ignored.
     """
     items = benchmark.select(F.col("item_id"), text_of("text").alias("_text")).select(
@@ -123,7 +126,9 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, width: int = 8, min_window
     need = wins.groupBy("item_id", "by_text").agg(F.least(F.when(~F.col("by_text"), min_windows), F.countDistinct(
         "ipos")).alias("need"))
 
-    rows = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("_text"))
+    # Inside, a document's name is its id with its text's hash.
+    text = text_of(text_col)
+    rows = docs.select(F.struct(F.col(id_col).alias("id"), F.xxhash64(text).alias("h")).alias("doc_id"), text.alias("_text"))
     found = (rows.withColumn("toks", slot_tokens(F.col("_text")))
              .withColumn("th", F.transform("toks", lambda t: F.xxhash64(_template(t)))))
     if exacts:
@@ -141,7 +146,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, width: int = 8, min_window
     # Only documents that meet a window with slots are read again, for their values.
     slotted = met.filter(F.exists("islots", _is_slot))
     ids = slotted.select(F.col("doc_id").alias("_id")).distinct()
-    values = (rows.join(side(ids, n_met, 16), F.col("doc_id").eqNullSafe(F.col("_id")))
+    values = (rows.join(side(ids, n_met, 32), F.col("doc_id").eqNullSafe(F.col("_id")))
+              .groupBy("_id").agg(F.first("_text").alias("_text"))  # rows that repeat both hold one text
               .select("_id", slot_tokens(F.col("_text")).alias("toks")))
     slotted = slotted.join(values, F.col("doc_id").eqNullSafe(F.col("_id"))).withColumn(
         "dslots", F.slice("toks", F.col("dpos") + 1, F.col("w"))).drop("toks", "_id")
@@ -162,14 +168,23 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, width: int = 8, min_window
     need = need.withColumnsRenamed({"item_id": "_item", "by_text": "_kind"})
     both = both.join(side(need, n_wins, 24), F.col("item_id").eqNullSafe(F.col("_item"))
                      & (F.col("by_text") == F.col("_kind")))
+    names = [F.col("doc_id.id").alias("doc_id"), *([F.col("doc_id.h").alias("text_hash")] if keyed else [])]
     return (both.filter((F.col("n") >= F.col("need")) & consistent)
-            .groupBy("doc_id", "item_id").agg(
+            .select(*names, "item_id", "n", "pairs", "same")
+            .groupBy("doc_id", *(["text_hash"] if keyed else []), "item_id").agg(
                 F.max("n").cast("long").alias("n_windows"),
                 F.max(F.coalesce("pairs", F.lit(0))).cast("long").alias("n_slots"),
                 (F.max(F.coalesce("same", F.lit(1))) == 1).alias("exact")))
 
 
-def drop_leaks(docs: DataFrame, leaks: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """``docs`` without those that hold a benchmark item."""
-    ids, n = materialize_counted(leaks.select(F.col("doc_id").alias("_leak")).distinct(), "leaks")
-    return docs.join(side(ids, n, 16), docs[id_col].eqNullSafe(F.col("_leak")), "left_anti")
+def drop_leaks(docs: DataFrame, leaks: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` without those that hold a benchmark item.
+
+    With ``keyed`` leaks a row goes if its id and text do; else all rows of its id go.
+    """
+    names = [c for c in ("doc_id", "text_hash") if c in leaks.columns]
+    ids, n = materialize_counted(leaks.select(*[F.col(c).alias(f"_{c}") for c in names]).distinct(), "leaks")
+    on = docs[id_col].eqNullSafe(F.col("_doc_id"))
+    if "text_hash" in names:
+        on &= F.xxhash64(text_of(text_col)) == F.col("_text_hash")
+    return docs.join(side(ids, n, 32), on, "left_anti")
