@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html import unescape
 
@@ -24,58 +25,110 @@ DROP_WORDS = set("ad ads advert adverts advertisement advertising adsense sponso
                  "sidebar menu nav navbar navigation footer masthead breadcrumb breadcrumbs comment comments disqus "
                  "cookie cookies consent notice notices popup modal overlay newsletter subscribe signup share sharing "
                  "social related recommended widget pagination pager toolbar login search form disclaimer alert".split())
+# Of these, words that content goes by as well: they don't take out an element that holds most of the page's text.
+WEAK_WORDS = set("social related share sharing form search alert notice notices promotion promo banner menu signup login "
+                 "toolbar disclaimer pager widget sponsor nav navigation".split())
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
           "th": {"td", "th"}, "option": {"option"}}
 SCOPES = {"li": {"ul", "ol"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"tr", "table"},
           "th": {"tr", "table"}}
+#: For these tags an open element of one of the tags ends the search for what they close.
+NEAR = {tag: CLOSES[tag] | SCOPES.get(tag, set()) for tag in CLOSES}
 PARAGRAPHS = set("p pre blockquote td li dd h1 h2 h3 h4 h5 h6 div section article main body".split())
 MAIN = {"article", "main"}
+#: Shares of a paragraph's points under one in so many are not passed on.
+FARTHEST = 1 << 40
 
 
 class Node:
-    __slots__ = ("tag", "attrs", "parent", "kids", "score", "size", "linked")
+    __slots__ = ("tag", "attrs", "parent", "kids", "score", "size", "linked", "inside")
 
     def __init__(self, tag: str, attrs: str, parent: Node | None):
         self.tag, self.attrs, self.parent = tag, attrs, parent
         self.kids: list[Node | str] = []
         self.score = 0.0
         self.size = self.linked = 0
+        self.inside = parent is not None and (parent.inside or parent.tag in MAIN)  # of an article or main
+
+
+class _Open:
+    """The open elements: the innermost one, and by tag what an end tag or an implied end needs to know.
+
+    Every question looks at one place, and an element is closed once, so pages
+    of any depth and with any number of stray tags take linear time.
+    """
+
+    def __init__(self, root: Node):
+        self.root = self.here = root
+        self.tags: Counter = Counter()
+        self.blocks = [root]
+        self.inline = [Counter()]  # inline elements since each open block
+        self.near: dict[str, list[Node]] = {tag: [] for tag in NEAR}
+
+    def push(self, node: Node) -> None:
+        self.here = node
+        self.tags[node.tag] += 1
+        if node.tag in INLINE:
+            self.inline[-1][node.tag] += 1
+        else:
+            self.blocks.append(node)
+            self.inline.append(Counter())
+        for tag, among in NEAR.items():
+            if node.tag in among:
+                self.near[tag].append(node)
+
+    def close(self, upto: Node) -> None:
+        """Close ``upto`` and all inside it."""
+        outer = upto.parent
+        while self.here is not outer:
+            node = self.here
+            self.tags[node.tag] -= 1
+            if node.tag in INLINE:
+                self.inline[-1][node.tag] -= 1
+            else:
+                self.blocks.pop()
+                self.inline.pop()
+            for tag, among in NEAR.items():
+                if node.tag in among:
+                    self.near[tag].pop()
+            self.here = node.parent
+
+    def end(self, tag: str) -> None:
+        """An end tag: nothing without such an element; an inline one does not reach out of a block."""
+        if not (self.inline[-1] if tag in INLINE else self.tags)[tag]:
+            return
+        up = self.here
+        while up.tag != tag:
+            up = up.parent
+        self.close(up)
+
+    def before(self, tag: str) -> None:
+        """Close what the start of ``tag`` ends: an open paragraph, the item, cell or row before."""
+        if tag not in INLINE and tag not in VOID and self.blocks[-1].tag == "p":
+            self.close(self.blocks[-1])
+        if tag in CLOSES and self.near[tag] and self.near[tag][-1].tag in CLOSES[tag]:
+            self.close(self.near[tag][-1])
+            if tag == "tr" and self.here.tag == "tr":
+                self.close(self.here)
 
 
 def parse(html: str) -> Node:
     """The element tree; unclosed and stray tags are borne as browsers bear them, in the main."""
     root = Node("#root", "", None)
-    at, here = 0, root
+    at, tree = 0, _Open(root)
     while m := _TAG.search(html, at):
         if m.start() > at:
-            here.kids.append(html[at:m.start()])
+            tree.here.kids.append(html[at:m.start()])
         at = m.end()
         if not m[2]:
             continue
         tag = m[2].lower()
         if m[1]:
-            up = here
-            while up is not root and up.tag != tag:
-                up = up.parent
-            if up is not root and not (tag in INLINE and _block_between(here, up)):
-                here = up.parent
+            tree.end(tag)
             continue
-        if tag not in INLINE and tag not in VOID:
-            up = here
-            while up.tag in INLINE:
-                up = up.parent
-            if up.tag == "p":
-                here = up.parent
-        if tag in CLOSES:
-            up = here
-            while up is not root and up.tag not in CLOSES[tag] and up.tag not in SCOPES.get(tag, ()):
-                up = up.parent
-            if up.tag in CLOSES[tag]:
-                here = up.parent
-                if tag == "tr" and here.tag == "tr":
-                    here = here.parent
-        node = Node(tag, m[3], here)
-        here.kids.append(node)
+        tree.before(tag)
+        node = Node(tag, m[3], tree.here)
+        tree.here.kids.append(node)
         if tag in RAW:  # its content is no markup
             end = re.compile(rf"</{re.escape(tag)}(?=[\s/>])", re.I).search(html, at)
             if end is None:
@@ -83,32 +136,26 @@ def parse(html: str) -> Node:
             close = html.find(">", end.end())
             at = len(html) if close < 0 else close + 1
         elif tag not in VOID and not m[3].rstrip().endswith("/"):
-            here = node
-    here.kids.append(html[at:])
+            tree.push(node)
+    tree.here.kids.append(html[at:])
     return root
 
 
-def _block_between(here: Node, up: Node) -> bool:
-    while here is not up:
-        if here.tag not in INLINE:
-            return True
-        here = here.parent
-    return False
-
-
-def _unwanted(node: Node) -> bool:
+def _unwanted(node: Node, whole: int) -> bool:
+    """Whether the element is never main text; ``whole``: the page's characters of text, as ``size`` is the element's."""
     if node.tag in DROP_TAGS:
         return True
     if node.tag in MAIN or node.tag in ("body", "html"):
         return False
     if node.tag == "header":
-        return not _inside_main(node)
+        return not node.inside
     if not node.attrs.strip():
         return False
     for m in _ATTR.finditer(node.attrs):
         name, value = m[1].lower(), (m[2] or "").strip("\"'").lower()
-        if name in ("class", "id") and DROP_WORDS & set(re.split(r"[^a-z]+", value)):
-            return True
+        if name in ("class", "id") and (found := DROP_WORDS & set(re.split(r"[^a-z]+", value))):
+            if found - WEAK_WORDS or 2 * node.size <= whole:
+                return True
         if (name == "role" and value in DROP_ROLES) or name == "hidden" or (name == "aria-hidden" and value == "true"):
             return True
         if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
@@ -116,20 +163,21 @@ def _unwanted(node: Node) -> bool:
     return False
 
 
-def _inside_main(node: Node) -> bool:
-    while node.parent is not None:
-        node = node.parent
-        if node.tag in MAIN:
-            return True
-    return False
-
-
 def _prune(root: Node) -> list[Node]:
     """Take unwanted elements out; the remaining ones, parents first."""
     order = [root]
     for node in order:
-        node.kids = [k for k in node.kids if isinstance(k, str) or not _unwanted(k)]
+        order += [k for k in node.kids if not isinstance(k, str) and k.tag not in DROP_TAGS]
+    for node in reversed(order):
+        node.size += sum(len(k.strip()) for k in node.kids if isinstance(k, str))
+        if node.parent is not None:
+            node.parent.size += node.size
+    order = [root]
+    for node in order:
+        node.kids = [k for k in node.kids if isinstance(k, str) or not _unwanted(k, root.size)]
         order += [k for k in node.kids if not isinstance(k, str)]
+    for node in order:
+        node.size = 0
     return order
 
 
@@ -152,7 +200,7 @@ def _score(order: list[Node]) -> None:
             points = 1 + commas + min(own // 100, 3)
             points *= 1 - node.linked / max(node.size, 1)
             up, level = node.parent if node.tag not in ("div", "section", "article", "main", "body") else node, 1
-            while up is not None:
+            while up is not None and level <= FARTHEST:
                 up.score += points / level
                 up, level = up.parent, level + 1 if level == 1 else level * 2
 
