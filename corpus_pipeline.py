@@ -31,7 +31,7 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without (variants of) benchmark items."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    return decontaminate.drop_leaks(docs, decontaminate.find_leaks(docs, benchmark))
+    return decontaminate.drop_leaks(docs, decontaminate.find_leaks(docs, benchmark, keyed=True))
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
