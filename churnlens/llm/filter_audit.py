@@ -133,7 +133,8 @@ def orders_report(found: DataFrame, names: Sequence[str]) -> DataFrame:
     steps = [("".join(names[f] for f in order), i + 1, sum(1 << f for f in order[:i]), order[i],
               ways[sum(1 << f for f in order[:i])])
              for order in permutations(range(k)) for i in range(k)]
-    grid = spark.createDataFrame(steps, "filter_order string, step int, before int, f int, ways long")
+    rows = ", ".join(f"('{order}', {step}, {before}, {f}, {n}L)" for order, step, before, f, n in steps)
+    grid = spark.sql(f"SELECT * FROM VALUES {rows} AS t(filter_order, step, before, f, ways)")
     per_pair = grid.select("before", "f", "ways").distinct()
     shares = (sums.join(F.broadcast(per_pair), ["before", "f"])  # k * 2^(k-1) rows
               .groupBy("part", "f").agg(F.sum(F.col("removed") * F.col("ways")).alias("shapley")))

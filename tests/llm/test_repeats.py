@@ -28,7 +28,7 @@ def docs(spark, *rows):
     [(None, f"null id {k}", "a") for k in range(20)],
     [(1, "first text", "a"), (1, "second text here", "a"), (2, "x y z", "a"), (3, "b", "b")],
     [(1, "same", "a")] * 5 + [(1, "same", "b")] * 2 + [(None, "n", None)] * 3 + [(4, None, "a")],
-    [(k, f"t {k}", "a") for k in range(7)], []])
+    []])
 def test_mixing_divides_draws_over_shared_ids(spark, rows):
     df = docs(spark, *rows)
     plan = Counter((r["source"], r["doc_id"]) for r in mixing.mix_plan(df).collect())
