@@ -91,7 +91,7 @@ def drift_report(variants: DataFrame, schema: T.StructType = EVENT_SCHEMA) -> Da
     found = counts.where(field.isNotNull())
     expected = F.create_map(*[F.lit(x) for item in kinds.items() for x in item])
     present = found.groupBy("field").agg(F.sum("n").alias("n"))
-    wanted = counts.sparkSession.createDataFrame([(f,) for f in kinds], "field string")
+    wanted = counts.sparkSession.range(1).select(F.explode(F.array(*[F.lit(f) for f in kinds])).alias("field"))
     absent = (wanted.join(present, "field", "left")
               .select("field", F.lit("absent").alias("type"), (F.lit(total) - F.coalesce("n", F.lit(0))).alias("n"),
                       F.lit(0).cast("long").alias("lost")).where("n > 0"))

@@ -121,13 +121,13 @@ def test_users_at_risk_and_means_after_every_batch(spark, scratch):
     assert partition_values(spark, f"{scratch}/tables/means/base", "upto")  # was compacted on the way
 
 
-@pytest.mark.parametrize("where", ["add", "stage", "commit"])
+@pytest.mark.parametrize("where", ["add", "commit"])
 def test_a_batch_lost_half_way_counts_once(spark, scratch, where):
     """The job dies inside batch 1, after some of its writes; the restarted query gives the same tables."""
     for i, b in enumerate(BATCHES):
         put(f"{scratch}/in", i, b)
     scorer, broken = LiveScorer(spark, f"{scratch}/tables", rule_pipeline("fraction")), []
-    at = {"add": scorer.at_risk, "stage": scorer.rows, "commit": scorer.rows}[where]
+    at = {"add": scorer.at_risk, "commit": scorer.rows}[where]
     real = getattr(at, where)
 
     def dies(*args, **kw):
