@@ -8,17 +8,35 @@ F32 = np.float32
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return F32(0.5) * np.tanh(F32(0.5) * x) + F32(0.5)
+    x = np.tanh(F32(0.5) * x)
+    x *= F32(0.5)
+    x += F32(0.5)
+    return x
+
 
+def _exps(x: np.ndarray) -> np.ndarray:
+    """In place exp(x - max) of logits (members x places); returns the sums over members.
+
+    Members lie along the first axis, so that maxima and sums run over whole rows of places.
+    """
+    x -= x.max(0)
+    np.exp(x, out=x)
+    return x.sum(0)
 
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(-1, keepdims=True)
-    return x - np.log(np.exp(x).sum(-1, keepdims=True))
 
+def _log_prob(x: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Log softmax of logits (members x places) at member ``at`` of each place; overwrites ``x``."""
+    top = x.max(0)
+    chosen = x[at, np.arange(len(at))] - top
+    x -= top
+    np.exp(x, out=x)
+    return chosen - np.log(x.sum(0))
 
-def _softmax(x: np.ndarray) -> np.ndarray:
-    x = np.exp(x - x.max(-1, keepdims=True))
-    x /= x.sum(-1, keepdims=True)
+
+def _error(x: np.ndarray, at: np.ndarray, scale: np.ndarray) -> np.ndarray:
+    """In place (softmax of logits - one-hot of ``at``) * scale, for logits (members x places)."""
+    x *= scale / _exps(x)
+    x[at, np.arange(len(at))] -= scale
     return x
 
 
@@ -44,18 +62,23 @@ class Gru:
                   "mem": rng.normal(0, 0.05, (listed, h, width)), "mem_b": member_log}
         self.p = {k: np.ascontiguousarray(v, F32) for k, v in self.p.items()}
         self.h, self.listed, self.width = h, listed, width
+        self.moments = None
 
     def flat(self) -> np.ndarray:
         return np.concatenate([self.p[k].ravel() for k in self.NAMES])
 
     def load(self, flat: np.ndarray) -> Gru:
-        at = 0
-        for k in self.NAMES:
-            n = self.p[k].size
-            self.p[k] = np.asarray(flat[at:at + n], F32).reshape(self.p[k].shape)
-            at += n
+        self.p = self._views(np.array(flat, F32))
         return self
 
+    def _views(self, flat: np.ndarray) -> dict[str, np.ndarray]:
+        """The parameters' shapes as views of one array."""
+        out, at = {}, 0
+        for k in self.NAMES:
+            out[k] = flat[at:at + self.p[k].size].reshape(self.p[k].shape)
+            at += self.p[k].size
+        return out
+
     def classes(self, ids: np.ndarray) -> np.ndarray:
         top = self.listed * self.width
         return np.where(ids < top, ids // self.width, ids - top + self.listed)
@@ -66,104 +89,125 @@ class Gru:
         steps, lanes = ids.shape
         outs = np.empty((steps, lanes, h), F32)
         tape = []
+        to_gates, to_new = np.ascontiguousarray(p["rec"][:, :2 * h]), np.ascontiguousarray(p["rec"][:, 2 * h:])
+        inp = p["inp"] + p["bias"]
         for t in range(steps):
             # ``state`` has read everything up to the token before ids[t]; a new text starts from zero.
-            state = state * (F32(1) - first[t])[:, None]
+            if first[t].any():
+                state = state * (F32(1) - first[t])[:, None]
             outs[t] = state
-            x = p["inp"][ids[t]] + p["bias"]
-            g = state @ p["rec"][:, :2 * h]
-            zr = _sigmoid(x[:, :2 * h] + g)
+            x = inp.take(ids[t], 0)
+            zr = _sigmoid(state @ to_gates + x[:, :2 * h])
             z, r = zr[:, :h], zr[:, h:]
             rs = r * state
-            c = np.tanh(x[:, 2 * h:] + rs @ p["rec"][:, 2 * h:])
+            c = rs @ to_new
+            c += x[:, 2 * h:]
+            np.tanh(c, out=c)
             if keep:
                 tape.append((state, z, r, c, rs))
-            state = z * state + (F32(1) - z) * c
+            state = z * (state - c)
+            state += c
         return outs, state, tape
 
+    def _by_id(self, ids: np.ndarray):
+        """Order of ``ids``, which is also that of their classes, and where each listed class starts."""
+        small = len(self.p["inp"]) <= np.iinfo(np.int16).max  # short keys are sorted by radix
+        order = np.argsort(ids.astype(np.int16) if small else ids, kind="stable")
+        return order, np.searchsorted(ids[order], np.arange(self.listed + 1) * self.width)
+
     def log_probs(self, outs: np.ndarray, ids: np.ndarray) -> np.ndarray:
         """Natural log probability of each id (of its class only, for a class of unlisted words)."""
         p = self.p
         out, ids = outs.reshape(-1, self.h), ids.ravel()
-        cls = self.classes(ids)
-        lp = _log_softmax(out @ p["cls"] + p["cls_b"])[np.arange(len(ids)), cls]
-        order = np.argsort(cls, kind="stable")
-        cuts = np.searchsorted(cls[order], np.arange(self.listed + 1))
+        lp = _log_prob(p["cls"].T @ out.T + p["cls_b"][:, None], self.classes(ids))
+        order, cuts = self._by_id(ids)
+        listed = order[:cuts[-1]]
+        sorted_out, member = out[listed], ids[listed] % self.width
         for c in range(self.listed):  # one product a class
-            at = order[cuts[c]:cuts[c + 1]]
-            if len(at):
-                member = _log_softmax(out[at] @ p["mem"][c] + p["mem_b"][c])
-                lp[at] += member[np.arange(len(at)), ids[at] - c * self.width]
+            at = slice(cuts[c], cuts[c + 1])
+            if cuts[c] < cuts[c + 1]:
+                lp[listed[at]] += _log_prob(p["mem"][c].T @ sorted_out[at].T + p["mem_b"][c][:, None], member[at])
         return lp
 
     def train(self, ids: np.ndarray, first: np.ndarray, live: np.ndarray, window: int, rate: float) -> None:
         """One pass of truncated backpropagation (``ids``: steps x lanes), with Adam steps.
 
         The last window may be shorter; places where ``live`` is 0 teach nothing.
+        Adam's moments go on from the call before.
         """
-        m = {k: np.zeros_like(v) for k, v in self.p.items()}
-        v = {k: np.zeros_like(x) for k, x in self.p.items()}
+        w = self.flat()
+        self.p = self._views(w)
+        m, v, n = self.moments or (np.zeros_like(w), np.zeros_like(w), 0)
+        g, step = np.zeros_like(w), np.empty_like(w)
+        grads = self._views(g)
         state = np.zeros((ids.shape[1], self.h), F32)
-        n = 0
         for lo in range(0, len(ids), window):
             part = slice(lo, lo + window)
-            grads, state = self._window(ids[part], first[part], state, live[part])
+            g[:] = 0
+            _, state = self._window(ids[part], first[part], state, live[part], grads)
             n += 1
             a = F32(rate * np.sqrt(1 - 0.99 ** n) / (1 - 0.9 ** n))
-            for k, g in grads.items():
-                np.clip(g, -1, 1, out=g)
-                m[k] += F32(0.1) * (g - m[k])
-                v[k] += F32(0.01) * (g * g - v[k])
-                self.p[k] -= a * m[k] / (np.sqrt(v[k]) + F32(1e-6))
-
-    def _window(self, ids, first, state, live=None):
+            np.clip(g, -1, 1, out=g)
+            m *= F32(0.9)
+            m += np.multiply(g, F32(0.1), out=step)
+            v *= F32(0.99)
+            g *= g
+            v += np.multiply(g, F32(0.01), out=g)
+            np.sqrt(v, out=step)
+            step += F32(1e-6)
+            np.divide(m, step, out=step)
+            step *= a
+            w -= step
+        self.moments = m, v, n
+
+    def _window(self, ids, first, state, live=None, grads=None):
+        """Gradients of one window's summed negative log probability over its lanes, and the state after it."""
         p, h = self.p, self.h
         outs, after, tape = self.run(ids, first, state, keep=True)
         steps, lanes = ids.shape
         out, flat = outs.reshape(-1, h), ids.ravel()
-        scale = np.full((len(flat), 1), 1.0 / lanes, F32)
+        scale = np.full(len(flat), 1.0 / lanes, F32)
         if live is not None:
-            scale *= live.reshape(-1, 1)
-        cls = self.classes(flat)
-        grads = {k: np.zeros_like(x) for k, x in p.items()}
-        d = _softmax(out @ p["cls"] + p["cls_b"])
-        d[np.arange(len(flat)), cls] -= 1
-        d *= scale
-        grads["cls"], grads["cls_b"] = out.T @ d, d.sum(0)
-        d_out = d @ p["cls"].T
-        order = np.argsort(cls, kind="stable")
-        cuts = np.searchsorted(cls[order], np.arange(self.listed + 1))
-        sorted_out, sorted_scale, member = out[order], scale[order], flat[order] % self.width
-        back = np.zeros_like(sorted_out)
+            scale *= live.ravel()
+        grads = {k: np.zeros_like(x) for k, x in p.items()} if grads is None else grads
+        d = _error(p["cls"].T @ out.T + p["cls_b"][:, None], self.classes(flat), scale)
+        grads["cls"][:], grads["cls_b"][:] = (d @ out).T, d.sum(1)
+        d_out = d.T @ p["cls"].T
+        order, cuts = self._by_id(flat)
+        listed = order[:cuts[-1]]
+        sorted_out, sorted_scale, member = out[listed], scale[listed], flat[listed] % self.width
+        back = np.empty_like(sorted_out)
         for c in range(self.listed):
             at = slice(cuts[c], cuts[c + 1])
             if cuts[c] < cuts[c + 1]:
-                d = _softmax(sorted_out[at] @ p["mem"][c] + p["mem_b"][c])
-                d[np.arange(len(d)), member[at]] -= 1
-                d *= sorted_scale[at]
-                grads["mem"][c], grads["mem_b"][c] = sorted_out[at].T @ d, d.sum(0)
-                back[at] = d @ p["mem"][c].T
-        d_out[order] += back
+                d = _error(p["mem"][c].T @ sorted_out[at].T + p["mem_b"][c][:, None], member[at], sorted_scale[at])
+                grads["mem"][c], grads["mem_b"][c] = (d @ sorted_out[at]).T, d.sum(1)
+                back[at] = d.T @ p["mem"][c].T
+        d_out[listed] += back
         d_out = d_out.reshape(steps, lanes, h)
-        dx = np.empty((steps, lanes, 3 * h), F32)
-        d_state = np.zeros((lanes, h), F32)
+        dx = np.empty((steps, lanes, 3 * h), d_out.dtype)
+        d_state = np.zeros((lanes, h), d_out.dtype)
         to_gates, to_new = p["rec"][:, :2 * h].T.copy(), p["rec"][:, 2 * h:].T.copy()
         for t in range(steps - 1, -1, -1):
             s, z, r, c, rs = tape[t]
             rest = d_state * (F32(1) - z)
-            dc = rest * (F32(1) - c * c)
-            d_rs = dc @ to_new
-            reset = d_rs * r
-            dx[t, :, :h], dx[t, :, h:2 * h], dx[t, :, 2 * h:] = rest * (s - c) * z, reset * s * (F32(1) - r), dc
-            d_state = d_state * z + reset + dx[t, :, :2 * h] @ to_gates + d_out[t]
-            d_state *= (F32(1) - first[t])[:, None]
+            dc = np.multiply(rest, F32(1) - c * c, out=dx[t, :, 2 * h:])
+            reset = (dc @ to_new) * r
+            rest *= z
+            np.multiply(rest, s - c, out=dx[t, :, :h])
+            np.multiply(reset * s, F32(1) - r, out=dx[t, :, h:2 * h])
+            d_state *= z
+            d_state += reset
+            d_state += dx[t, :, :2 * h] @ to_gates
+            d_state += d_out[t]
+            if first[t].any():
+                d_state *= (F32(1) - first[t])[:, None]
         flat_dx = dx.reshape(-1, 3 * h)
-        grads["bias"] = flat_dx.sum(0)
+        grads["bias"][:] = flat_dx.sum(0)
         read = np.concatenate([x[4] for x in tape])
         grads["rec"][:, :2 * h], grads["rec"][:, 2 * h:] = out.T @ flat_dx[:, :2 * h], read.T @ flat_dx[:, 2 * h:]
-        order = np.argsort(flat, kind="stable")
         at = np.flatnonzero(np.r_[True, np.diff(flat[order]) != 0])
-        grads["inp"][flat[order][at]] = np.add.reduceat(flat_dx[order], at, axis=0)
+        grads["inp"][flat[order[at]]] = np.add.reduceat(flat_dx[order], at, axis=0)
         return grads, after
 
 
@@ -179,19 +223,19 @@ def lanes_of(lengths: np.ndarray, lanes: int) -> tuple[np.ndarray, np.ndarray]:
     return lane, offset
 
 
-def laid_out(ids: np.ndarray, lengths: np.ndarray, lanes: int, pad: int):
-    """``ids`` of all texts as (steps x lanes), first-token marks, and each id's place in that grid."""
+def laid_out(lengths: np.ndarray, lanes: int):
+    """Texts one after the other in lanes, the lanes end to end, the longest lane first.
+
+    Returns each token's place in that order, and each lane's start and length.
+    """
     lane, offset = lanes_of(lengths, lanes)
-    starts = np.cumsum(lengths) - lengths
-    steps = int((offset + lengths).max()) if len(lengths) else 0
-    row = np.arange(len(ids)) - np.repeat(starts, lengths) + np.repeat(offset, lengths)
-    col = np.repeat(lane, lengths)
-    grid = np.full((steps, lanes), pad, np.int64)
-    grid[row, col] = ids
-    first = np.zeros((steps, lanes), F32)
-    has = lengths > 0
-    first[offset[has], lane[has]] = 1
-    return grid, first, row, col
+    used = np.bincount(lane, lengths, lanes).astype(np.int64)
+    order = np.argsort(-used, kind="stable")
+    starts = np.empty(lanes, np.int64)
+    starts[order] = np.cumsum(used[order]) - used[order]
+    ahead = np.cumsum(lengths) - lengths
+    place = np.arange(lengths.sum()) + np.repeat(starts[lane] + offset - ahead, lengths)
+    return place, starts[order], used[order]
 
 
 def in_stream(ids: np.ndarray, lengths: np.ndarray, lanes: int, least: int):

@@ -15,7 +15,8 @@ from .shingles import U, chunks, mix, word_hashes
 
 END = np.int64(0x0E9D0E9D0E9D0E9D)  # the name of the end token
 LISTED, WIDTH, UNLISTED = 24, 64, 40  # classes of listed words, words in each, classes of the others
-HIDDEN, LANES, WINDOW = 24, 256, 32
+HIDDEN, LANES, WINDOW = 24, 512, 32
+BLOCK = 1 << 21  # tokens that a trainer holds at a time
 TABLE_WORDS = 1 << 19  # words whose counts are broadcast; the counts of the others are joined
 SMOOTH = 0.1
 
@@ -111,29 +112,49 @@ def _class_totals(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                             "v": np.bincount(k, minlength=UNLISTED)})
 
 
-def train(docs: DataFrame, vocabulary: Vocabulary, one_in: int = 1, docs_per_model: int = 1500,
-          lanes: int = 64, window: int = 16, rate: float = 0.01) -> Gru:
+def train(docs: DataFrame, vocabulary: Vocabulary, one_in: int = 1, docs_per_model: int = 6000,
+          lanes: int = 512, window: int = 16, rate: float = 0.01) -> Gru:
     """A model trained on all training documents, in one pass over every token.
 
     The documents are dealt by a hash of id and text to trainers of about
     ``docs_per_model`` documents; each runs truncated backpropagation. The first
     trainer's model is what the others start from, as models trained apart from
     random weights do not average well; theirs are averaged by tokens. The
-    trainers grow with the corpus; what comes back is one model's size.
+    trainers grow with the corpus; what comes back is one model's size. A trainer
+    reads its documents in the order of their hashes, so the layout of the input
+    does not matter; rows that share both id and text share a trainer.
     ``one_in`` above 1 keeps only every so-many-th document.
     """
     model = Gru(vocabulary.class_log, vocabulary.member_log, HIDDEN)
     key = F.xxhash64(F.lit("lm"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "text")
     if one_in > 1:
         docs = docs.filter(F.pmod(key, F.lit(one_in)) == 0)
+    docs = docs.select(key.alias("key"), "text")
     n = max(1, round(docs.count() / docs_per_model))
     if n == 1:
         return _trained(docs, vocabulary, model, 1, lanes, window, rate)
-    deal = F.pmod(F.xxhash64(F.lit("deal"), key), F.lit(n))
+    deal = F.pmod(F.xxhash64(F.lit("deal"), "key"), F.lit(n))
     model = _trained(docs.filter(deal == 0), vocabulary, model, 1, lanes, window, rate)
     return _trained(docs.filter(deal != 0), vocabulary, model, n - 1, lanes, window, rate)
 
 
+def _blocks(frames: Iterator[pd.DataFrame], vocab: Vocabulary) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Ids and lengths of consecutive whole texts, cut at the first text that brings BLOCK tokens or more."""
+    ids, lengths = np.empty(0, np.int64), np.empty(0, np.int64)
+    for f in frames:
+        texts = _encoded(f["text"])
+        for lo, hi in chunks(texts):
+            h, n = _tokens(texts[lo:hi])
+            ids, lengths = np.concatenate([ids, vocab.look_up(h)[0]]), np.concatenate([lengths, n])
+            while len(ids) >= BLOCK:
+                upto = np.cumsum(lengths)
+                k = int(np.searchsorted(upto, BLOCK)) + 1
+                yield ids[:upto[k - 1]], lengths[:k]
+                ids, lengths = ids[upto[k - 1]:], lengths[k:]
+    if len(ids):
+        yield ids, lengths
+
+
 def _trained(docs: DataFrame, vocabulary: Vocabulary, start: Gru, trainers: int, lanes: int, window: int,
              rate: float) -> Gru:
     """The average, by tokens, of the models that ``trainers`` tasks make of ``start``."""
@@ -142,16 +163,13 @@ def _trained(docs: DataFrame, vocabulary: Vocabulary, start: Gru, trainers: int,
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         vocab, flat = shared.value
         model, seen = Gru(vocab.class_log, vocab.member_log, HIDDEN).load(flat), 0
-        for f in frames:
-            texts = _encoded(f["text"])
-            tokens = [(vocab.look_up(h)[0], n) for h, n in (_tokens(texts[lo:hi]) for lo, hi in chunks(texts))]
-            if tokens:
-                ids, lengths = (np.concatenate(x) for x in zip(*tokens))
-                model.train(*in_stream(ids, lengths, lanes, window), window, rate)
-                seen += len(ids)
+        for ids, lengths in _blocks(frames, vocab):
+            model.train(*in_stream(ids, lengths, lanes, window), window, rate)
+            seen += len(ids)
         if seen:
             yield pd.DataFrame({"at": np.arange(len(flat)), "w": model.flat().astype(float) * seen, "n": seen})
-    learned = (docs.select("text").repartition(trainers).mapInPandas(run, "at long, w double, n long").groupBy("at")
+    dealt = docs.repartition(trainers, "key").sortWithinPartitions("key", "text").select("text")
+    learned = (dealt.mapInPandas(run, "at long, w double, n long").groupBy("at")
                .agg((F.sum("w") / F.sum("n")).alias("w"))).toArrow().to_pandas().sort_values("at")
     return start.load(learned["w"].to_numpy()) if len(learned) else start
 
@@ -191,14 +209,20 @@ def _scorer(shared):
 def _score(model: Gru, ids: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """log10 probability of each id; the state is carried from window to window through whole texts."""
     lanes = min(LANES, len(lengths))
-    grid, first, row, col = laid_out(ids, lengths, lanes, int(ids[-1]))
+    place, starts, used = laid_out(lengths, lanes)
+    seq, first = np.empty_like(ids), np.zeros(len(ids), np.float32)
+    seq[place] = ids
+    first[place[np.cumsum(lengths) - lengths]] = 1
     state = np.zeros((lanes, model.h), np.float32)
-    out = np.empty(grid.shape, np.float32)
-    for lo in range(0, len(grid), WINDOW):
-        part = grid[lo:lo + WINDOW]
-        states, state, _ = model.run(part, first[lo:lo + WINDOW], state)
-        out[lo:lo + WINDOW] = model.log_probs(states, part).reshape(part.shape)
-    return out[row, col] / np.log(10)
+    out = np.empty(len(ids), np.float32)
+    for lo in range(0, int(used[0]), WINDOW):
+        n = np.searchsorted(-used, -lo)  # lanes that go on
+        step = lo + np.arange(min(WINDOW, used[0] - lo))[:, None]
+        inside, at = step < used[:n], np.minimum(starts[:n] + step, len(ids) - 1)
+        part = seq[at]
+        states, state, _ = model.run(part, first[at], state[:n])
+        out[at[inside]] = model.log_probs(states[inside], part[inside])
+    return out[place] / np.log(10)
 
 
 def score_documents(docs: DataFrame) -> DataFrame:

@@ -301,6 +301,56 @@ def test_lm_gradients():
         assert abs((up - down) / 2e-3 - grads[k][at]) < 1e-3 * max(1, abs(grads[k][at]))
 
 
+def test_lm_score_equals_a_pass_word_by_word(monkeypatch):
+    import numpy as np
+
+    from churnlens.llm.gru import Gru
+    rng = np.random.default_rng(1)
+    m = Gru(rng.normal(0, 1, 5), rng.normal(0, 1, (3, 4)), 6)
+    m.load(m.flat() + rng.normal(0, 0.5, len(m.flat())))
+    lengths = np.array([1, 300, 2, 33, 32, 1, 64, 7, 90, 1])
+    ids = rng.integers(0, 14, lengths.sum())
+    p = {k: x.astype(np.float64) for k, x in m.p.items()}
+
+    def log_softmax(x):
+        return x - x.max() - np.log(np.exp(x - x.max()).sum())
+    want = []
+    for text in np.split(ids, np.cumsum(lengths)[:-1]):
+        s = np.zeros(6)
+        for i in text:
+            c = i // 4 if i < 12 else i - 12 + 3
+            lp = log_softmax(s @ p["cls"] + p["cls_b"])[c]
+            want.append(lp + (log_softmax(s @ p["mem"][c] + p["mem_b"][c])[i % 4] if i < 12 else 0))
+            x = p["inp"][i] + p["bias"]
+            z, r = np.split(1 / (1 + np.exp(-(x[:12] + s @ p["rec"][:, :12]))), 2)
+            s = z * s + (1 - z) * np.tanh(x[12:] + (r * s) @ p["rec"][:, 12:])
+    for lanes in (1, 3, 256):
+        monkeypatch.setattr(lm, "LANES", lanes)
+        assert np.abs(lm._score(m, ids, lengths) * np.log(10) - want).max() < 1e-4
+
+
+def test_lm_scores_do_not_depend_on_the_layout(spark, monkeypatch):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    whole = lm.train
+    monkeypatch.setattr(lm, "train", lambda d, v: whole(d, v, docs_per_model=40, lanes=8))
+    monkeypatch.setattr(lm, "BLOCK", 5000)
+    a, b = ({r["doc_id"]: r["score"] for r in lm.score_documents(d).collect()}
+            for d in (docs.coalesce(1), docs.orderBy("text").repartition(7)))
+    assert a.keys() == b.keys() and max(abs(a[i] - b[i]) for i in a) < 1e-2
+
+
+def test_lm_blocks_are_whole_texts(monkeypatch):
+    import numpy as np
+    import pandas as pd
+    monkeypatch.setattr(lm, "BLOCK", 10)
+    texts = ["a " * k for k in (3, 0, 25, 9, 1, 1, 4)] + [None]
+    vocab = lm.Vocabulary(np.empty(0, np.int64), np.empty(0, np.int64), 0, 0, np.zeros(lm.UNLISTED),
+                          np.zeros(lm.UNLISTED))
+    cuts = [[len(ids) for ids, _ in lm._blocks(iter(f), vocab)] for f in (
+        [pd.DataFrame({"text": texts})], [pd.DataFrame({"text": [t]}) for t in texts])]
+    assert cuts[0] == cuts[1] == [31, 10, 10]
+
+
 def test_lm_trains_on_every_document(spark):
     import numpy as np
     rows = [(i, f"only{i} only{i} only{i}") for i in range(40)]
