@@ -14,6 +14,13 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def _logits(w: np.ndarray, b: np.ndarray, out: np.ndarray) -> np.ndarray:
+    """Logits (members x places) of the states ``out`` (places x hidden)."""
+    x = w.T @ out.T
+    x += b[:, None]
+    return x
+
+
 def _exps(x: np.ndarray) -> np.ndarray:
     """In place exp(x - max) of logits (members x places); returns the sums over members.
 
@@ -119,14 +126,14 @@ class Gru:
         """Natural log probability of each id (of its class only, for a class of unlisted words)."""
         p = self.p
         out, ids = outs.reshape(-1, self.h), ids.ravel()
-        lp = _log_prob(p["cls"].T @ out.T + p["cls_b"][:, None], self.classes(ids))
+        lp = _log_prob(_logits(p["cls"], p["cls_b"], out), self.classes(ids))
         order, cuts = self._by_id(ids)
         listed = order[:cuts[-1]]
-        sorted_out, member = out[listed], ids[listed] % self.width
+        sorted_out, member = out.take(listed, 0), ids[listed] % self.width
         for c in range(self.listed):  # one product a class
             at = slice(cuts[c], cuts[c + 1])
             if cuts[c] < cuts[c + 1]:
-                lp[listed[at]] += _log_prob(p["mem"][c].T @ sorted_out[at].T + p["mem_b"][c][:, None], member[at])
+                lp[listed[at]] += _log_prob(_logits(p["mem"][c], p["mem_b"][c], sorted_out[at]), member[at])
         return lp
 
     def train(self, ids: np.ndarray, first: np.ndarray, live: np.ndarray, window: int, rate: float) -> None:
@@ -170,17 +177,17 @@ class Gru:
         if live is not None:
             scale *= live.ravel()
         grads = {k: np.zeros_like(x) for k, x in p.items()} if grads is None else grads
-        d = _error(p["cls"].T @ out.T + p["cls_b"][:, None], self.classes(flat), scale)
+        d = _error(_logits(p["cls"], p["cls_b"], out), self.classes(flat), scale)
         grads["cls"][:], grads["cls_b"][:] = (d @ out).T, d.sum(1)
         d_out = d.T @ p["cls"].T
         order, cuts = self._by_id(flat)
         listed = order[:cuts[-1]]
-        sorted_out, sorted_scale, member = out[listed], scale[listed], flat[listed] % self.width
+        sorted_out, sorted_scale, member = out.take(listed, 0), scale[listed], flat[listed] % self.width
         back = np.empty_like(sorted_out)
         for c in range(self.listed):
             at = slice(cuts[c], cuts[c + 1])
             if cuts[c] < cuts[c + 1]:
-                d = _error(p["mem"][c].T @ sorted_out[at].T + p["mem_b"][c][:, None], member[at], sorted_scale[at])
+                d = _error(_logits(p["mem"][c], p["mem_b"][c], sorted_out[at]), member[at], sorted_scale[at])
                 grads["mem"][c], grads["mem_b"][c] = (d @ sorted_out[at]).T, d.sum(1)
                 back[at] = d.T @ p["mem"][c].T
         d_out[listed] += back
@@ -207,7 +214,7 @@ class Gru:
         read = np.concatenate([x[4] for x in tape])
         grads["rec"][:, :2 * h], grads["rec"][:, 2 * h:] = out.T @ flat_dx[:, :2 * h], read.T @ flat_dx[:, 2 * h:]
         at = np.flatnonzero(np.r_[True, np.diff(flat[order]) != 0])
-        grads["inp"][flat[order[at]]] = np.add.reduceat(flat_dx[order], at, axis=0)
+        grads["inp"][flat[order[at]]] = np.add.reduceat(flat_dx.take(order, 0), at, axis=0)
         return grads, after
 
 

@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,6 +18,7 @@ END = np.int64(0x0E9D0E9D0E9D0E9D)  # the name of the end token
 LISTED, WIDTH, UNLISTED = 24, 64, 40  # classes of listed words, words in each, classes of the others
 HIDDEN, LANES, WINDOW = 24, 512, 32
 BLOCK = 1 << 21  # tokens that a trainer holds at a time
+SLICE, LOT = 8192, 256  # parameters in a row of a model; trainers whose rows one task adds up
 TABLE_WORDS = 1 << 19  # words whose counts are broadcast; the counts of the others are joined
 SMOOTH = 0.1
 
@@ -54,8 +56,11 @@ class Vocabulary:
     """Counts of the most frequent words, their ids, and the totals of the classes of the others."""
 
     def __init__(self, h, c, total, distinct, class_n, class_v):
-        order = np.argsort(h)
+        order = np.argsort(h.view(U))
         self.h, self.c = h[order], c[order]
+        # The first word of each range of leading bits: about one word a range, as hashes spread evenly.
+        self.shift = U(64 - max(1, len(h).bit_length()))
+        self.range = np.searchsorted(self.h.view(U) >> self.shift, np.arange(1 << (64 - int(self.shift)), dtype=U))
         self.total, self.distinct = total, distinct
         listed = LISTED * WIDTH
         best = np.lexsort((self.h, -self.c))[:listed]
@@ -76,8 +81,17 @@ class Vocabulary:
         """(id, count, known here); the count of a word that is not in the table is 0 for now."""
         if not len(self.h):
             return LISTED * WIDTH + _unlisted(h), np.zeros(len(h), np.int64), np.zeros(len(h), bool)
-        at = np.minimum(np.searchsorted(self.h, h), len(self.h) - 1)
-        here = self.h[at] == h
+        u, words = h.view(U), self.h.view(U)
+        at = self.range.take((u >> self.shift).astype(np.int64))
+        at = np.minimum(at, len(words) - 1)
+        # Go on from the range's first word while the word there is smaller: a step or two for nearly all.
+        on = np.flatnonzero(words.take(at) < u)
+        while len(on):
+            at[on] += 1
+            on = on[at[on] < len(words)]
+            on = on[words.take(at[on]) < u[on]]
+        at = np.minimum(at, len(words) - 1)
+        here = words.take(at) == u
         ids = np.where(here, self.ids[at], -1)
         return (np.where(ids >= 0, ids, LISTED * WIDTH + _unlisted(h)),
                 np.where(here, self.c[at], 0), here)
@@ -167,16 +181,24 @@ def _trained(docs: DataFrame, vocabulary: Vocabulary, start: Gru, trainers: int,
             model.train(*in_stream(ids, lengths, lanes, window), window, rate)
             seen += len(ids)
         if seen:
-            yield pd.DataFrame({"at": np.arange(len(flat)), "w": model.flat().astype(float) * seen, "n": seen})
+            w, me = model.flat(), TaskContext.get().partitionId()
+            lo = np.arange(0, len(w), SLICE)
+            yield pd.DataFrame({"lo": lo, "lot": me // LOT, "trainer": me, "n": seen,
+                                "w": [w[a:a + SLICE].tobytes() for a in lo]})
+
+    def add(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("trainer")  # one order of summation, whatever the shuffle brings first
+        w = sum(np.frombuffer(x, np.float32).astype(float) * n for x, n in zip(rows["w"], rows["n"]))
+        return pd.DataFrame({"at": rows["lo"].iloc[0] + np.arange(len(w)), "w": w, "n": rows["n"].sum()})
     dealt = docs.repartition(trainers, "key").sortWithinPartitions("key", "text").select("text")
-    learned = (dealt.mapInPandas(run, "at long, w double, n long").groupBy("at")
+    models = dealt.mapInPandas(run, "lo long, lot long, trainer long, n long, w binary")
+    learned = (models.groupBy("lo", "lot").applyInPandas(add, "at long, w double, n long").groupBy("at")
                .agg((F.sum("w") / F.sum("n")).alias("w"))).toArrow().to_pandas().sort_values("at")
     return start.load(learned["w"].to_numpy()) if len(learned) else start
 
 
 def _scorer(shared):
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from pyspark import TaskContext
         vocab, flat = shared.value
         model = Gru(vocab.class_log, vocab.member_log, HIDDEN).load(flat)
         row = np.int64(TaskContext.get().partitionId()) << np.int64(36)

@@ -339,6 +339,21 @@ def test_lm_scores_do_not_depend_on_the_layout(spark, monkeypatch):
     assert a.keys() == b.keys() and max(abs(a[i] - b[i]) for i in a) < 1e-2
 
 
+def test_lm_words_are_looked_up_by_leading_bits():
+    import numpy as np
+    rng = np.random.default_rng(3)
+    crowd = np.arange(50, dtype=np.int64) + 5  # one range of leading bits holds them all
+    for h in (rng.integers(-2**63, 2**63 - 1, 1000), np.r_[crowd, np.int64(-1), np.int64(2**63 - 1)], np.array([7])):
+        h = rng.permutation(np.unique(h))
+        c = np.arange(1, len(h) + 1)
+        vocab = lm.Vocabulary(h, c, int(c.sum()), len(h), np.zeros(lm.UNLISTED), np.zeros(lm.UNLISTED))
+        asked = np.r_[h, rng.integers(-2**63, 2**63 - 1, 300), h + 1, np.int64(0)]
+        want = dict(zip(h.tolist(), c.tolist()))
+        _, got, here = vocab.look_up(asked)
+        assert got.tolist() == [want.get(x, 0) for x in asked.tolist()]
+        assert here.tolist() == [x in want for x in asked.tolist()]
+
+
 def test_lm_blocks_are_whole_texts(monkeypatch):
     import numpy as np
     import pandas as pd
