@@ -253,7 +253,7 @@ def in_stream(ids: np.ndarray, lengths: np.ndarray, lanes: int, least: int):
     """
     lanes = max(1, min(lanes, len(ids) // least))
     steps = -(-len(ids) // lanes)
-    grid, first, live = np.zeros(steps * lanes, np.int64), np.zeros(steps * lanes, F32), np.zeros(steps * lanes, F32)
+    grid, first, live = np.zeros(steps * lanes, ids.dtype), np.zeros(steps * lanes, F32), np.zeros(steps * lanes, F32)
     grid[:len(ids)], live[:len(ids)] = ids, 1
     first[(np.cumsum(lengths) - lengths)[lengths > 0]] = 1
     grid, first, live = (np.ascontiguousarray(x.reshape(lanes, steps).T) for x in (grid, first, live))

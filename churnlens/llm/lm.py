@@ -154,19 +154,22 @@ def train(docs: DataFrame, vocabulary: Vocabulary, one_in: int = 1, docs_per_mod
 
 def _blocks(frames: Iterator[pd.DataFrame], vocab: Vocabulary) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Ids and lengths of consecutive whole texts, cut at the first text that brings BLOCK tokens or more."""
-    ids, lengths = np.empty(0, np.int64), np.empty(0, np.int64)
+    held, size = [], 0
     for f in frames:
         texts = _encoded(f["text"])
         for lo, hi in chunks(texts):
-            h, n = _tokens(texts[lo:hi])
-            ids, lengths = np.concatenate([ids, vocab.look_up(h)[0]]), np.concatenate([lengths, n])
-            while len(ids) >= BLOCK:
+            h, lengths = _tokens(texts[lo:hi])
+            ids = vocab.look_up(h)[0].astype(np.int32)
+            while size + len(ids) >= BLOCK:
                 upto = np.cumsum(lengths)
-                k = int(np.searchsorted(upto, BLOCK)) + 1
-                yield ids[:upto[k - 1]], lengths[:k]
-                ids, lengths = ids[upto[k - 1]:], lengths[k:]
-    if len(ids):
-        yield ids, lengths
+                k = int(np.searchsorted(upto, BLOCK - size)) + 1
+                held.append((ids[:upto[k - 1]], lengths[:k]))
+                yield tuple(np.concatenate(x) for x in zip(*held))
+                ids, lengths, held, size = ids[upto[k - 1]:], lengths[k:], [], 0
+            held.append((ids, lengths))
+            size += len(ids)
+    if size:
+        yield tuple(np.concatenate(x) for x in zip(*held))
 
 
 def _trained(docs: DataFrame, vocabulary: Vocabulary, start: Gru, trainers: int, lanes: int, window: int,
@@ -205,23 +208,29 @@ def _scorer(shared):
         for f in frames:
             texts = _encoded(f["text"])
             n = len(texts)
-            tokens = [_tokens(texts[lo:hi]) for lo, hi in chunks(texts)]
-            h, lengths = np.concatenate([t for t, _ in tokens]), np.concatenate([k for _, k in tokens])
-            del tokens, texts
-            ids, c, here = vocab.look_up(h)
-            doc = np.repeat(np.arange(n), lengths)
-            base = np.bincount(doc[here], vocab.base_log10(c[here]), n)
-            score = np.bincount(doc, _score(model, ids, lengths), n)
-            rare = ids >= LISTED * WIDTH
-            inner = rare & here
-            score += np.bincount(doc[inner], vocab.unlisted_log10(c[inner], ids[inner] - LISTED * WIDTH), n)
-            rows = row + np.arange(n)
+            lengths, known = np.zeros(n, np.int64), np.zeros(n, np.int64)
+            base, score, listed, far = np.zeros(n), np.zeros(n), [], []
+            for lo, hi in chunks(texts):
+                h, lengths[lo:hi] = _tokens(texts[lo:hi])
+                ids, c, here = vocab.look_up(h)
+                doc = np.repeat(np.arange(hi - lo), lengths[lo:hi])
+                inner = here & (ids >= LISTED * WIDTH)
+                known[lo:hi] = np.bincount(doc[here], minlength=hi - lo)
+                base[lo:hi] = np.bincount(doc[here], vocab.base_log10(c[here]), hi - lo)
+                score[lo:hi] = np.bincount(doc[inner], vocab.unlisted_log10(c[inner], ids[inner] - LISTED * WIDTH),
+                                           hi - lo)
+                listed.append(ids.astype(np.int32))
+                far.append((doc[~here] + lo + row, h[~here]))
+            del texts
+            if n:
+                starts = np.cumsum(lengths) - lengths
+                score += np.add.reduceat(_score(model, np.concatenate(listed), lengths), starts, dtype=float)
+            yield pd.DataFrame({"row": row + np.arange(n), "doc_id": f["doc_id"].astype("Int64"), "h": np.int64(0),
+                                "k": lengths, "known": known, "base": base, "score": score, "is_doc": True})
             row += n
-            yield pd.DataFrame({"row": rows, "doc_id": f["doc_id"].astype("Int64"), "h": np.int64(0),
-                                "k": lengths, "known": np.bincount(doc[here], minlength=n), "base": base,
-                                "score": score, "is_doc": True})
-            if not here.all():  # words beyond the table, once for each text that has them
-                pair = pd.DataFrame({"row": rows[doc[~here]], "h": h[~here]}).value_counts().reset_index(name="k")
+            if any(len(h) for _, h in far):  # words beyond the table, once for each text that has them
+                rows, h = (np.concatenate(x) for x in zip(*far))
+                pair = pd.DataFrame({"row": rows, "h": h}).value_counts().reset_index(name="k")
                 yield pair.assign(doc_id=pd.array([None] * len(pair), "Int64"), known=np.int64(0), base=0.0,
                                   score=0.0, is_doc=False)[["row", "doc_id", "h", "k", "known", "base", "score",
                                                             "is_doc"]]
@@ -232,9 +241,9 @@ def _score(model: Gru, ids: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """log10 probability of each id; the state is carried from window to window through whole texts."""
     lanes = min(LANES, len(lengths))
     place, starts, used = laid_out(lengths, lanes)
-    seq, first = np.empty_like(ids), np.zeros(len(ids), np.float32)
+    seq, first = np.empty_like(ids), np.zeros(len(ids), bool)
     seq[place] = ids
-    first[place[np.cumsum(lengths) - lengths]] = 1
+    first[place[np.cumsum(lengths) - lengths]] = True
     state = np.zeros((lanes, model.h), np.float32)
     out = np.empty(len(ids), np.float32)
     for lo in range(0, int(used[0]), WINDOW):
@@ -244,7 +253,7 @@ def _score(model: Gru, ids: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         part = seq[at]
         states, state, _ = model.run(part, first[at], state[:n])
         out[at[inside]] = model.log_probs(states[inside], part[inside])
-    return out[place] / np.log(10)
+    return out[place] / np.float32(np.log(10))
 
 
 def score_documents(docs: DataFrame) -> DataFrame:

@@ -346,7 +346,7 @@ def test_lm_words_are_looked_up_by_leading_bits():
     for h in (rng.integers(-2**63, 2**63 - 1, 1000), np.r_[crowd, np.int64(-1), np.int64(2**63 - 1)], np.array([7])):
         h = rng.permutation(np.unique(h))
         c = np.arange(1, len(h) + 1)
-        vocab = lm.Vocabulary(h, c, int(c.sum()), len(h), np.zeros(lm.UNLISTED), np.zeros(lm.UNLISTED))
+        vocab = lm.Vocabulary(h, c, int(c.sum()), len(h), np.full(lm.UNLISTED, 1e9), np.full(lm.UNLISTED, 1e4))
         asked = np.r_[h, rng.integers(-2**63, 2**63 - 1, 300), h + 1, np.int64(0)]
         want = dict(zip(h.tolist(), c.tolist()))
         _, got, here = vocab.look_up(asked)
