@@ -11,11 +11,14 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..operators.checkpoint import materialize
 from .shingles import U, chunks, mix
 
 GRAM = 4  # bytes of lower-cased text, runs of other than letters being one blank
-SLOT_BITS = 17
 HASHES = 2
+#: Slots for each n-gram of the largest filter: at most a quarter of a language's bits are set.
+ROOM = 8
+PIECE_BITS = 16  # slots of one piece of the bit arrays, as they come from a task
 _CLASS = np.full(256, 0x20, np.uint8)
 for _c in range(256):
     if chr(_c).isalpha() and _c < 128 or _c >= 128:
@@ -68,34 +71,83 @@ def _count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                                     "n": np.bincount(at, np.concatenate(times)).astype(np.int64)})
 
 
-def _slots(g: np.ndarray) -> list[np.ndarray]:
+def _slots(g: np.ndarray, bits: int) -> list[np.ndarray]:
     h = mix(g.astype(U) + U(0x51ED270B))
-    return [((h >> U(20 * i)) & U((1 << SLOT_BITS) - 1)).astype(np.int64) for i in range(HASHES)]
+    return [((h >> U(32 * i)) & U((1 << bits) - 1)).astype(np.int64) for i in range(HASHES)]
 
 
-def fit(train: DataFrame, top: int = 4096) -> Filters:
-    """Filters of each language's ``top`` most frequent n-grams over all training texts (``text, lang``).
-
-    Counts cover every text; only the chosen n-grams, at most ``top`` a
-    language, come to the driver, which sets the bits. Rows without text or
-    language teach nothing; ties go to the smaller n-gram.
-    """
+def gram_counts(train: DataFrame) -> DataFrame:
+    """``lang, gram, n`` over all texts of ``train`` (``text, lang``); rows without either teach nothing."""
     rows = train.filter(F.col("lang").isNotNull() & F.col("text").isNotNull()).select(
         F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
-    counts = rows.mapInPandas(_count, "lang string, gram long, n long").groupBy("lang", "gram").agg(
+    return rows.mapInPandas(_count, "lang string, gram long, n long").groupBy("lang", "gram").agg(
         F.sum("n").alias("n"))
-    best = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
-    chosen = (counts.withColumn("r", F.row_number().over(best)).filter(F.col("r") <= top)).toArrow().to_pandas()
-    langs = sorted(chosen["lang"].unique())
-    words = max(1, -(-len(langs) // 64))
-    slots = np.zeros((1 << SLOT_BITS, words), U)
-    for i, lang in enumerate(langs):
-        for s in _slots(chosen.loc[chosen["lang"] == lang, "gram"].to_numpy()):
-            slots[s, i // 64] |= U(1) << U(i % 64)
+
+
+def members(counts: DataFrame, min_share: float, min_ratio: float) -> DataFrame:
+    """The rows of ``counts`` whose n-gram is in its language's filter.
+
+    Its share of the language's n-grams is at least ``min_share``, and at least
+    ``min_ratio`` of its share in the language where it is most frequent: a
+    foreign word quoted in a text puts its n-grams in no filter of the quoting
+    language. The window meets at most one row a language.
+    """
+    totals = counts.groupBy("lang").agg(F.sum("n").alias("total"))
+    share = F.col("n") / F.col("total")
+    top = F.max("share").over(Window.partitionBy("gram"))
+    return (counts.join(F.broadcast(totals), "lang")  # one row a language, as the model has
+            .withColumn("share", share).withColumn("top", top)
+            .filter((F.col("share") >= min_share) & (F.col("share") >= min_ratio * F.col("top")))
+            .select("lang", "gram", "n"))
+
+
+def _bit_arrays(chosen: DataFrame, langs: list[str], bits: int) -> np.ndarray:
+    """The slots' bitmasks, set in tasks, combined by an aggregation, gathered as pieces of 2 ** PIECE_BITS slots."""
+    def bits_of(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            i = f["id"].to_numpy()
+            mask = (U(1) << (i % 64).astype(U)).view(np.int64)
+            for s in _slots(f["gram"].to_numpy(), bits):
+                yield pd.DataFrame({"word": i // 64, "slot": s, "mask": mask})
+
+    def piece_of(key: tuple, f: pd.DataFrame) -> pd.DataFrame:
+        piece = np.zeros(1 << PIECE_BITS, np.int64)
+        piece[f["slot"].to_numpy() & ((1 << PIECE_BITS) - 1)] = f["mask"].to_numpy()
+        return pd.DataFrame({"word": [key[0]], "piece": [key[1]], "masks": [piece.tobytes()]})
+
+    place = F.array_position(F.lit(langs), F.col("lang")) - 1
+    pieces = (chosen.select(place.cast("long").alias("id"), "gram")
+              .mapInPandas(bits_of, "word long, slot long, mask long")
+              .groupBy("word", "slot").agg(F.bit_or("mask").alias("mask"))
+              .groupBy("word", F.shiftright("slot", PIECE_BITS).alias("piece"))
+              .applyInPandas(piece_of, "word long, piece long, masks binary"))
+    slots = np.zeros((1 << bits, max(1, -(-len(langs) // 64))), U)
+    for r in pieces.toLocalIterator():  # a piece at a time: 8 bytes a slot for each 64 languages
+        at = r["piece"] << PIECE_BITS
+        masks = np.frombuffer(r["masks"], U)[:(1 << bits) - at]
+        slots[at:at + len(masks), r["word"]] = masks
+    return slots
+
+
+def fit(train: DataFrame, min_share: float = 1e-6, min_ratio: float = 0.1) -> Filters:
+    """Filters of each language's n-grams over all training texts (``text, lang``).
+
+    Counts cover every text, and every n-gram is in a filter but for those rarer
+    than one in ``1 / min_share`` of its language, or than ``min_ratio`` of
+    its share elsewhere (``members``). So a language has at most
+    ``1 / min_share`` n-grams whatever the corpus, which bounds the model: the slots are
+    sized from the measured count of the largest filter. Rows without
+    text or language teach nothing.
+    """
+    chosen = materialize(members(materialize(gram_counts(train), "gram-counts"), min_share, min_ratio), "gram-filters")
+    sizes = sorted(chosen.groupBy("lang").agg(F.count(F.lit(1)).alias("grams"), F.sum("n").alias("seen")).collect())
+    langs = [r["lang"] for r in sizes]  # one row a language
+    if not langs:
+        return Filters([], np.zeros((1, 1), U), np.zeros(0), -1)
+    bits = max(PIECE_BITS, int(ROOM * max(r["grams"] for r in sizes) - 1).bit_length())
+    slots = _bit_arrays(chosen, langs, bits)
     fill = np.array([((slots[:, i // 64] >> U(i % 64)) & U(1)).mean() for i in range(len(langs))])
-    total = chosen.groupby("lang")["n"].sum()
-    usual = int(np.argmax([total[x] for x in langs])) if langs else -1
-    return Filters(langs, slots, fill ** HASHES, usual)
+    return Filters(langs, slots, fill ** HASHES, int(np.argmax([r["seen"] for r in sizes])))
 
 
 def _has_letter(text) -> bool:
@@ -105,7 +157,7 @@ def _has_letter(text) -> bool:
 def _classify(texts: list[bytes], model: Filters) -> tuple[np.ndarray, np.ndarray]:
     """Best language index and its share, from popcounts corrected for false positives."""
     g, n = grams(texts)
-    first, second = _slots(g)
+    first, second = _slots(g, len(model.slots).bit_length() - 1)
     masks = model.slots[first] & model.slots[second]
     doc = np.repeat(np.arange(len(texts)), n)
     hits = np.stack([np.bincount(doc, ((masks[:, i // 64] >> U(i % 64)) & U(1)).astype(float), len(texts))
@@ -127,7 +179,7 @@ def predict(docs: DataFrame, model: Filters) -> DataFrame:
     alike; columns that clash with the two new ones are replaced.
     """
     keep = [c for c in docs.columns if c.lower() not in ("lang_pred", "score")]
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # 2 ** SLOT_BITS words for each 64 languages
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # slots bounded by min_share, see fit
     at = keep.index("text")
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
