@@ -220,6 +220,8 @@ def _null_profile(stage: str, table: str, cols: list[str], floats: set[str]) ->
 
 _CS_COLS = ["userId", "gender", "itemInSession", "sessionId", "level", "length", "page",
             "location", "method", "status", "ts"]
+#: The columns of the stored profile.
+PROFILED = ["userId", "gender", "itemInSession", "sessionId", "level", "length", "page", "status", "ts"]
 DESCRIBE_COLS = ["itemInSession", "length", "sessionId", "status", "ts", "userId"]
 
 
@@ -258,6 +260,24 @@ JSON_NULLS = ("CAST(NULL AS VARCHAR) AS artist, CAST(NULL AS VARCHAR) AS auth, "
               "CAST(NULL AS VARCHAR) AS userAgent")
 
 
+def _range_profile() -> str:
+    def digits(x: str) -> str:
+        power = f"(floor(log10(abs({x}))) - 7)"
+        up, down = f"pow(10.0, {power})", f"pow(10.0, -{power})"
+        return (f"CASE WHEN {x} IS NULL OR {x} = 0 THEN {x} WHEN {power} > 0 THEN round({x} / {up}) * {up} "
+                f"ELSE round({x} * {down}) / {down} END")
+    parts = []
+    for c in PROFILED:
+        v = f"CAST({c} AS DOUBLE)" if c in DESCRIBE_COLS else "CAST(NULL AS DOUBLE)"
+        parts.append(f"SELECT '{c}' AS column_name, count(*) AS n_rows, count(*) - count({c}) AS null_count, "
+                     f"{digits(f'avg({v})')} AS mean, {digits(f'stddev_samp({v})')} AS std, min({v}) AS min, max({v}) AS max, "
+                     "TRUE AS ranks_ok, TRUE AS distinct_ok FROM middle")
+    return _with(CLICKSTREAM, CAST_CS, """
+bounds AS (SELECT min(ts // 86400000) AS lo, max(ts // 86400000) AS hi FROM cast_cs),
+middle AS (SELECT c.* FROM cast_cs c, bounds
+           WHERE ts // 86400000 BETWEEN lo + (hi - lo) // 4 AND hi - (hi - lo) // 4)""") + " " + " UNION ALL ".join(parts)
+
+
 def oracle_sql() -> dict[str, str]:
     q: dict[str, str] = {}
     q["adapt_events"] = _with(CLICKSTREAM) + " SELECT * FROM clickstream"
@@ -417,6 +437,7 @@ FROM w"""
                           "max(churn_pred) AS max_risk, "
                           "count(*) FILTER (WHERE correct_prediction) AS confirmed_flags "
                           "FROM flagged GROUP BY userId")
+    q["range_profile"] = _range_profile()
     q["user_churn"] = _with(*_BASE, EXPLORE, USER_CHURN) + " SELECT * FROM user_churn"
     q["group_rates"] = _with(*_BASE, EXPLORE, USER_CHURN) + """,
 per_user_page AS (SELECT userId, page, count(*) AS n FROM explore_base GROUP BY userId, page),

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..config import DEFAULT, Tuning
 from ..operators import balance, clean, derive, predictions, profile, users
-from ..oracle import DESCRIBE_COLS
+from ..oracle import DESCRIBE_COLS, PROFILED
 from ..schema import EXPLORE_COLUMNS, NOTEBOOK_BALANCE_K, PREDICTION
 from ..session import ensure_checkpoint_dir, scratch_path
 from ..sources import events as ev
@@ -527,7 +527,38 @@ def q_scored_table(spark, sf_dir):
     return score_batch(ev.read_events(spark, upload), load_pipeline(saved), scratch_path(spark, "scored"))
 
 
+# --- profiles from stored states ---------------------------------------------------
+
+def q_range_profile(spark, sf_dir):
+    """A3-A6 of the middle days from states stored in three batches, one of them profiled twice.
+
+    The exact parts as they are; the estimates as whether their error against the events is within its bound.
+    """
+    from ..operators import profile_store as store
+    from ..operators.checkpoint import materialize
+    events = materialize(_cast(spark, sf_dir).select(*PROFILED), "profiled-events")
+    table = store.profile_table(spark, scratch_path(spark, "profile-states"))
+    for batch in (0, 1, 2, 1):
+        store.store_batch(table, events.where(F.pmod("itemInSession", F.lit(3)) == batch), batch)
+    states = table.read()
+    lo, hi = states.agg(F.min("day"), F.max("day")).first()
+    first, last = lo + (hi - lo) // 4, hi - (hi - lo) // 4
+    found = store.range_profile(states, first, last)
+    day = F.floor(F.col("ts") / F.lit(store.DAY_MS))
+    found = store.sketch_errors(found, events.where((day >= first) & (day <= last)))
+
+    def digits(c):
+        power = F.floor(F.log10(F.abs(c))) - 7
+        up, down = F.pow(F.lit(10.0), power), F.pow(F.lit(10.0), -power)
+        return F.when(F.coalesce(c == 0, F.lit(True)), c).when(power > 0, F.round(c / up) * up).otherwise(
+            F.round(c * down) / down)
+    return found.select("column_name", "n_rows", "null_count", digits(F.col("mean")).alias("mean"),
+                        digits(F.col("std")).alias("std"), "min", "max", (F.col("rank_error") <= 0.02).alias("ranks_ok"),
+                        (F.col("distinct_error") <= 0.06).alias("distinct_ok"))
+
+
 DETERMINISTIC |= {
+    "range_profile": q_range_profile,
     "compare_rules": q_compare_rules,
     "nested_grid": q_nested_grid,
     "training_facts": q_training_facts,
