@@ -22,7 +22,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT, Tuning
@@ -76,3 +76,42 @@ def row_number_within(df: DataFrame, groups: Sequence[str], order: Sequence[str]
     return joined.select(
         *[ranged[c] for c in df.columns],
         (side["__carry"] + ranged["__pos"] - side["__start"]).cast("long").alias(out))
+
+
+def _largest_group(df: DataFrame, groups: list[str], bound: int) -> int:
+    """Rows of the largest group, or of the whole input where that is within ``bound`` already."""
+    total = df.count()
+    if total <= bound:
+        return total
+    return df.groupBy(*groups).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+
+
+def running_count_within(df: DataFrame, groups: Sequence[str], order: Sequence[str], flag: Column, out: str,
+                         tuning: Tuning = DEFAULT, method: str = "auto") -> DataFrame:
+    """Add ``out``: rows of the group with ``flag`` at or before the row in ``order``; rows that tie share it.
+
+    The counterpart of ``row_number_within`` for a count of some of the rows,
+    with the same choice of ``method``. In the range form equal keys meet in
+    one range, a window runs inside a (range, group) segment only, and a
+    segment's carry is the flagged rows of the same group in earlier ranges.
+    """
+    groups, order = list(groups), list(order)
+    if method == "auto":
+        method = "window" if _largest_group(df, groups, tuning.task_rows) <= tuning.task_rows else "range"
+    one = F.when(flag, F.lit(1).cast("long")).otherwise(F.lit(0).cast("long"))
+    up_to = (Window.unboundedPreceding, Window.currentRow)
+    if method == "window":
+        return df.withColumn(out, F.sum(one).over(Window.partitionBy(*groups).orderBy(*order).rangeBetween(*up_to)))
+
+    ranged = materialize(df.repartitionByRange(_partitions(df), *groups, *order)
+                           .withColumns({"__one": one, "__task": F.spark_partition_id()}), "ranged")
+    seg_keys = ["__task", *groups]
+    earlier = Window.partitionBy(*groups).orderBy("__task").rowsBetween(Window.unboundedPreceding, -1)
+    segments, n_segments = materialize_counted(
+        ranged.groupBy(*seg_keys).agg(F.sum("__one").alias("__n"))
+              .withColumn("__carry", F.coalesce(F.sum("__n").over(earlier), F.lit(0))).drop("__n"), "segments")
+    side = F.broadcast(segments) if n_segments <= tuning.broadcast_max_rows else segments
+    local = ranged.withColumn("__local", F.sum("__one").over(
+        Window.partitionBy(*seg_keys).orderBy(*order).rangeBetween(*up_to)))
+    joined = local.join(side, [local[c].eqNullSafe(side[c]) for c in seg_keys])
+    return joined.select(*[local[c] for c in df.columns], (side["__carry"] + local["__local"]).cast("long").alias(out))

@@ -438,6 +438,36 @@ FROM w"""
                           "count(*) FILTER (WHERE correct_prediction) AS confirmed_flags "
                           "FROM flagged GROUP BY userId")
     q["range_profile"] = _range_profile()
+    q["churn_path"] = _with(*_BASE, EXPLORE) + f""",
+path_events AS (
+  SELECT userId, page, ts, sessionId, itemInSession, {_LABEL} AS churn,
+         count(*) FILTER (WHERE page = 'NextSong') OVER (
+           PARTITION BY userId ORDER BY ts, sessionId, itemInSession RANGE UNBOUNDED PRECEDING) AS songs
+  FROM explore_clean),
+stayed AS (SELECT userId FROM path_events GROUP BY userId HAVING max(churn) = 0),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY userId, churn ORDER BY ts, sessionId, itemInSession, songs) AS up,
+         row_number() OVER (PARTITION BY userId, churn ORDER BY ts DESC, sessionId DESC, itemInSession DESC) AS down
+  FROM path_events),
+anchors AS (
+  SELECT userId, churn, ts, sessionId, itemInSession, songs FROM ranked
+  WHERE (churn > 0 AND up = 1) OR (churn = 0 AND down = 1 AND userId IN (SELECT userId FROM stayed))),
+placed AS (
+  SELECT e.userId, a.churn, e.page, least((a.ts - e.ts) // 86400000, 20) AS days,
+         least((a.songs - e.songs) // 5, 20) AS songs
+  FROM path_events e JOIN anchors a ON e.userId = a.userId
+   AND (e.ts < a.ts OR (e.ts = a.ts AND (e.sessionId < a.sessionId
+        OR (e.sessionId = a.sessionId AND e.itemInSession < a.itemInSession))))),
+long AS (SELECT userId, churn, page, 'days' AS axis, CAST(days AS BIGINT) AS cell FROM placed
+         UNION ALL SELECT userId, churn, page, 'songs', CAST(songs AS BIGINT) FROM placed),
+reach AS (SELECT userId, churn, axis, max(cell) AS last FROM long GROUP BY ALL),
+totals AS (SELECT churn, axis, cell, count(*) FILTER (WHERE page = 'NextSong') AS n_songs FROM long GROUP BY ALL),
+users AS (SELECT t.churn, t.axis, t.cell, count(*) AS n_users FROM totals t
+          JOIN reach r ON r.churn = t.churn AND r.axis = t.axis AND r.last >= t.cell GROUP BY ALL),
+cells AS (SELECT churn, axis, cell, page, count(*) AS n_events FROM long GROUP BY ALL)
+SELECT churn, axis, cell, page, n_events, n_users, n_songs, n_events / n_users AS per_user,
+       CASE WHEN n_songs > 0 THEN 100.0::DOUBLE * n_events / n_songs END AS per_hundred_songs
+FROM cells JOIN totals USING (churn, axis, cell) JOIN users USING (churn, axis, cell)"""
     q["user_churn"] = _with(*_BASE, EXPLORE, USER_CHURN) + " SELECT * FROM user_churn"
     q["group_rates"] = _with(*_BASE, EXPLORE, USER_CHURN) + """,
 per_user_page AS (SELECT userId, page, count(*) AS n FROM explore_base GROUP BY userId, page),

@@ -527,6 +527,15 @@ def q_scored_table(spark, sf_dir):
     return score_batch(ev.read_events(spark, upload), load_pipeline(saved), scratch_path(spark, "scored"))
 
 
+# --- rates on the way to churn -----------------------------------------------------
+
+def q_churn_path(spark, sf_dir):
+    """Actions per user and per hundred songs, by days and by songs before the churn event."""
+    from ..operators.churn_path import churn_path
+    return churn_path(clean.clean(_cs(spark, sf_dir), EXPLORE_COLUMNS).transform(derive.add_churn_label),
+                      songs_per_cell=5, last_cell=20)
+
+
 # --- profiles from stored states ---------------------------------------------------
 
 def q_range_profile(spark, sf_dir):
@@ -558,6 +567,7 @@ def q_range_profile(spark, sf_dir):
 
 
 DETERMINISTIC |= {
+    "churn_path": q_churn_path,
     "range_profile": q_range_profile,
     "compare_rules": q_compare_rules,
     "nested_grid": q_nested_grid,
