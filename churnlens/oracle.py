@@ -437,6 +437,13 @@ FROM w"""
                           "max(churn_pred) AS max_risk, "
                           "count(*) FILTER (WHERE correct_prediction) AS confirmed_flags "
                           "FROM flagged GROUP BY userId")
+    q["exact_sample"] = _with(*_BASE, TRAIN_ROWS) + f""",
+sizes AS (SELECT churn, CASE WHEN churn = 2 THEN count(*) ELSE
+            least(count(*), CAST(floor(2.0 * min(count(*)) OVER ()) AS BIGINT)) END AS n_keep
+          FROM wrangled GROUP BY churn),
+ordered AS (SELECT *, row_number() OVER (PARTITION BY churn ORDER BY {_bits(_ROW_KEYS, SAMPLE_SALT)}, userId, gender,
+              itemInSession, level, length) AS place FROM wrangled)
+SELECT o.* EXCLUDE (place) FROM ordered o JOIN sizes s ON o.churn = s.churn WHERE place <= n_keep"""
     q["range_profile"] = _range_profile()
     q["churn_path"] = _with(*_BASE, EXPLORE) + f""",
 path_events AS (

@@ -527,6 +527,15 @@ def q_scored_table(spark, sf_dir):
     return score_batch(ev.read_events(spark, upload), load_pipeline(saved), scratch_path(spark, "scored"))
 
 
+# --- exact class sizes -------------------------------------------------------------
+
+def q_exact_sample(spark, sf_dir):
+    """B1, B2: the balanced sample with exactly the wanted number of rows a class."""
+    from ..operators.checkpoint import materialize
+    from ..operators.exact_sample import exact_balanced_sample
+    return exact_balanced_sample(materialize(q_wrangle_train(spark, sf_dir), "wrangled"), k=NOTEBOOK_BALANCE_K)
+
+
 # --- rates on the way to churn -----------------------------------------------------
 
 def q_churn_path(spark, sf_dir):
@@ -567,6 +576,7 @@ def q_range_profile(spark, sf_dir):
 
 
 DETERMINISTIC |= {
+    "exact_sample": q_exact_sample,
     "churn_path": q_churn_path,
     "range_profile": q_range_profile,
     "compare_rules": q_compare_rules,
