@@ -17,15 +17,34 @@ ADDED = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
          "word_distance", "base_failed", "kept"]
 
 
-def common_words(docs: DataFrame, n_common: int = 16, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+def _lang(lang_col: str) -> Column:
+    return F.coalesce(F.col(f"`{lang_col}`").cast("string"), F.lit(""))
+
+
+def reference_languages(docs: DataFrame, min_docs: int, min_share: float, text_col: str = "text",
+                        lang_col: str = "lang") -> DataFrame:
+    """``lang`` of the languages with enough text to be a reference: ``min_docs`` documents, ``min_share`` of all bytes.
+
+    At most ``1 / min_share`` rows, whatever stands in the language column.
+    """
+    sizes = materialize(docs.groupBy(_lang(lang_col).alias("lang")).agg(
+        F.count(F.lit(1)).alias("docs"), F.sum(F.octet_length(text_of(text_col))).alias("bytes")), "languages")
+    total = sizes.agg(F.sum("bytes")).first()[0] or 0
+    return sizes.filter((F.col("docs") >= min_docs) & (F.col("bytes") >= min_share * total)).select("lang")
+
+
+def common_words(docs: DataFrame, n_common: int = 16, text_col: str = "text", lang_col: str = "lang",
+                 languages: DataFrame | None = None) -> DataFrame:
     """``lang, common, counts``: each language's most frequent words over all its documents.
 
     Ties come in code point order. A null language is ``''``. Words are counted
     per task before the shuffle, and only each task's best candidates of a
-    language are ranked together.
+    language are ranked together. ``languages`` (from ``reference_languages``) limits them.
     """
-    lang = F.coalesce(F.col(f"`{lang_col}`").cast("string"), F.lit(""))
-    counted = (docs.select(lang.alias("lang"), F.explode(words_of(text_of(text_col))).alias("w"))
+    texts = docs.select(_lang(lang_col).alias("lang"), text_of(text_col).alias("t"))
+    if languages is not None:
+        texts = texts.join(F.broadcast(languages), "lang", "left_semi")  # at most 1 / min_share rows
+    counted = (texts.select("lang", F.explode(words_of(F.col("t"))).alias("w"))
                .groupBy("lang", "w").agg(F.count(F.lit(1)).alias("n")))
     best = Window.partitionBy("lang").orderBy(F.desc("n"), "w")
     top = (counted.withColumn("r", F.row_number().over(best)).filter(F.col("r") <= n_common)
@@ -48,7 +67,8 @@ def with_distance(df: DataFrame, name: str, p: Column, q: Column, when: Column)
     js = F.aggregate("_shares", F.lit(0.0), lambda s, t: s
                      + F.when(t["a"] > 0, t["a"] * F.log2(2 * t["a"] / (t["a"] + t["b"]))).otherwise(0.0)
                      + F.when(t["b"] > 0, t["b"] * F.log2(2 * t["b"] / (t["a"] + t["b"]))).otherwise(0.0))
-    return df.withColumn(name, F.sqrt(F.greatest(js / 2, F.lit(0.0)))).drop("_p", "_q", "_tp", "_tq", "_shares")
+    # greatest() passes over a null
+    return df.withColumn(name, F.when(js.isNotNull(), F.sqrt(F.greatest(js / 2, F.lit(0.0))))).drop("_p", "_q", "_tp", "_tq", "_shares")
 
 
 def _hash_pairs(a: str, b: Column) -> Column:
@@ -60,8 +80,7 @@ def measure(docs: DataFrame, common: DataFrame, text_col: str = "text", lang_col
     """``docs`` with the base counts and the histograms ``_classes`` and ``_bins``, in one pass over the text."""
     df = without(docs, ADDED)
     keep = [c for c in df.columns if keep_text or c != text_col]
-    df = df.withColumn("_text", text_of(text_col)).withColumn(
-        "_lang", F.coalesce(F.col(f"`{lang_col}`").cast("string"), F.lit("")))
+    df = df.withColumn("_text", text_of(text_col)).withColumn("_lang", _lang(lang_col))
     # Lower-case letters and blanks are most of a text and come in long runs; the
     # other classes are counted in the little that is left.
     df = df.withColumns({"_blanks": F.length("_text") - F.length(F.replace("_text", F.lit(" "), F.lit(""))),
@@ -104,7 +123,7 @@ def measure(docs: DataFrame, common: DataFrame, text_col: str = "text", lang_col
         "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"),
         "base_failed": (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))})
     lists = common.select(F.col("lang").alias("_rlang"), F.col("common").alias("_rw"), F.col("counts").alias("_rn"))
-    df = df.join(F.broadcast(lists), F.col("_lang") == F.col("_rlang"), "left")  # one row per language
+    df = df.join(F.broadcast(lists), F.col("_lang") == F.col("_rlang"), "left")  # one row per reference language
     df = df.withColumn("_at", F.filter(F.transform("_words", lambda w: F.array_position("_rw", w)), lambda p: p > 0))
     df = df.withColumn("_code", F.array_join(F.transform("_at", lambda p: F.substring(F.lit(_CODES), p.cast("int"),
                                                                                       F.lit(1))), ""))
@@ -118,12 +137,16 @@ def measure(docs: DataFrame, common: DataFrame, text_col: str = "text", lang_col
 
 def quality_rules(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", n_common: int = 16,
                   max_class_distance: float = 0.25, max_word_distance: float = 0.45, min_chars: int = 200,
-                  min_words: int = 60, keep_text: bool = True, min_common: float = 0.5) -> DataFrame:
+                  min_words: int = 60, keep_text: bool = True, min_common: float = 0.5,
+                  min_ref_docs: int = 20, min_ref_share: float = 0.001) -> DataFrame:
     """``docs`` with counts, the two distances and the verdict ``kept``.
 
     A language's references are the character-class and common-word histograms
     of all documents with that value in the language column (null counts as
-    ``''``). A document is compared by Jensen-Shannon distance: its character
+    ``''``). A language is a reference with ``min_ref_docs`` documents and
+    ``min_ref_share`` of all bytes; under that its documents would be judged by
+    little but themselves, so they are held against the character classes of
+    all documents, and their words stay unjudged. A document is compared by Jensen-Shannon distance: its character
     classes when it has ``min_chars`` characters, its common words when it has
     ``min_words`` words; a shorter one passes that guard unjudged. A document of
     ``min_words`` words is rejected too when its share of common words is below
@@ -136,13 +159,17 @@ def quality_rules(docs: DataFrame, text_col: str = "text", lang_col: str = "lang
     are found by 64-bit hashes within one text. The measured rows are written
     once, without the text unless ``keep_text``.
     """
-    common = common_words(docs, n_common, text_col, lang_col)
+    languages = reference_languages(docs, min_ref_docs, min_ref_share, text_col, lang_col)
+    common = common_words(docs, n_common, text_col, lang_col, languages)
     rows = materialize(measure(docs, common, text_col, lang_col, keep_text), "measured")
     keep = [c for c in without(docs, ADDED).columns if keep_text or c != text_col]
-    refs = rows.groupBy("_lang").agg(
-        F.array(*[F.sum(F.col("_classes")[i]).cast("double") for i in range(len(CLASSES))]).alias("_rc"),
-        F.sum("n_words").alias("_all"))
-    df = rows.join(F.broadcast(refs.withColumnRenamed("_lang", "_rlang")), F.col("_lang") == F.col("_rlang"))
+    sums = [F.array(*[F.sum(F.col("_classes")[i]).cast("double") for i in range(len(CLASSES))]).alias("_rc"),
+            F.sum("n_words").alias("_all")]
+    refs = rows.join(F.broadcast(languages), rows["_lang"] == languages["lang"], "left_semi").groupBy(
+        F.col("_lang").alias("_rlang")).agg(*sums)
+    pool = rows.agg(*sums).first()["_rc"]
+    df = rows.join(F.broadcast(refs), F.col("_lang") == F.col("_rlang"), "left").withColumn(
+        "_rc", F.coalesce("_rc", F.array(*[F.lit(float(x or 0)) for x in pool])))  # one row per reference language
     chars = F.aggregate("_classes", F.lit(0).cast("long"), lambda a, x: a + x)
     df = with_distance(df, "class_distance", F.col("_classes"), F.col("_rc"), chars >= min_chars)
     df = df.withColumn("_top", F.aggregate("_rn", F.lit(0).cast("long"), lambda a, x: a + x))
