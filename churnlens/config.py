@@ -19,6 +19,10 @@ class Tuning:
     # Rows one task sorts comfortably (about a 128 MB input split). A group no
     # larger than this may go to one task.
     task_rows: int = 4_000_000
+    # Keys of a stream's state that one partition of it holds comfortably. The
+    # number of state partitions is fixed by a checkpoint's first run; each has
+    # its own files in every batch.
+    state_rows: int = 1_000_000
     # Number of hash buckets for sampling, splitting and folds (integers, so
     # Spark and SQL engines agree exactly).
     buckets: int = 10_000

@@ -389,17 +389,20 @@ def write_lines(df: DataFrame, path: str) -> None:
 def _live_tables(spark, sf_dir, n_batches: int = 3) -> str:
     """The events in ``n_batches`` spans of days, one after the other, through the live query, which stops in between."""
     from ..ml.rules import rule_pipeline
-    from ..operators.checkpoint import materialize
+    from ..operators.checkpoint import materialize_observed
+    from ..session import state_partitions
     from ..streaming.live_scoring import run_live_scoring
-    events = materialize(_cs(spark, sf_dir), "live-events")
-    base = scratch_path(spark, "live")
     day = F.floor(F.col("ts") / F.lit(86_400_000))
-    lo, hi = events.agg(F.min(day), F.max(day)).first()
-    width = (hi - lo) // n_batches + 1
+    events, seen = materialize_observed(_cs(spark, sf_dir), "live-events", rows=F.count(F.lit(1)),
+                                        lo=F.min(day), hi=F.max(day))
+    base = scratch_path(spark, "live")
+    lo, parts = seen["lo"], state_partitions(spark, seen["rows"])
+    width = (seen["hi"] - lo) // n_batches + 1
     for i in range(n_batches):
         write_lines(events.where((day >= lo + i * width) & (day < lo + (i + 1) * width)), f"{base}/in/span={i}")
         run_live_scoring(spark, f"{base}/in", rule_pipeline("fraction"), f"{base}/tables", f"{base}/checkpoint",
-                         "2 days", max_files_per_trigger=1_000_000, compact_every=2).awaitTermination()
+                         "2 days", max_files_per_trigger=1_000_000, compact_every=2,
+                         state_partitions=parts).awaitTermination()
     return f"{base}/tables"
 
 

@@ -10,9 +10,13 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
+from .config import DEFAULT, Tuning
+
 LOCAL_CONF = {
     "spark.sql.shuffle.partitions": "8",
     "spark.sql.adaptive.enabled": "true",
@@ -52,6 +56,34 @@ def cluster_conf(input_bytes: int, partition_bytes: int = 256 << 20) -> dict[str
     }
 
 
+#: State on the executors' disks with a bound on its memory; a row is put without a look at what was there.
+STATE_CONF = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+    "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false",
+}
+
+
+@contextmanager
+def with_conf(spark: SparkSession, conf: Mapping[str, str]) -> Iterator[None]:
+    """``conf`` inside the block, the session's own values after it. A stream keeps those it was started with."""
+    had = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in had.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def state_partitions(spark: SparkSession, rows: int, tuning: Tuning = DEFAULT) -> int:
+    """Partitions for a stream's state of ``rows`` keys: one a core, more by ``Tuning.state_rows``, at most the session's."""
+    wanted = max(spark.sparkContext.defaultParallelism, -(-rows // tuning.state_rows))
+    return min(wanted, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
+
+
 def local_session(cores: int | str = "*", app: str = "churnlens", **extra: str) -> SparkSession:
     """Local-mode session used by tests and the bench."""
     builder = SparkSession.builder.master(f"local[{cores}]").appName(app)

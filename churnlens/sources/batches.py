@@ -59,8 +59,10 @@ class BatchTable:
 
     def commit(self, batch_id: int, attempt: str, counts: dict[str, int]) -> None:
         """From now on the batch's rows are those of this attempt."""
-        record = self.spark.createDataFrame([(attempt, counts)], T.StructType(_COMMIT.fields[:2]))
-        record.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/commits/batch_id={batch_id}")
+        pairs = [F.lit(x) for pair in counts.items() for x in pair]
+        record = self.spark.range(0, 1, 1, 1).select(
+            F.lit(attempt).alias("attempt"), F.create_map(*pairs).cast(_COMMIT["counts"].dataType).alias("counts"))
+        record.write.mode("overwrite").parquet(f"{self.path}/commits/batch_id={batch_id}")
 
     def replace(self, rows: DataFrame, batch_id: int, **counts: Column) -> dict[str, int]:
         """``stage`` and ``commit``."""

@@ -17,6 +17,8 @@ session or time alone stay apart (A7 is the reader's ``distinct``).
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
+from operator import and_
 
 from pyspark.ml import Transformer
 from pyspark.sql import DataFrame, SparkSession
@@ -30,9 +32,10 @@ from ..operators.clean import cast_columns
 from ..operators.joins import attach_by_key
 from ..operators.users import at_risk_users
 from ..schema import AT_RISK_CLASSES, EVENT_SCHEMA, PREDICTION, TRAIN_COLUMNS
+from ..session import STATE_CONF, with_conf
 from ..sources.batches import BatchTable
 from ..sources.files import make_folder, remove_folder, sub_folders
-from .running import length_totals, live_at_risk, live_means, mean_of
+from .running import has_length, live_at_risk, live_means, mean_of, user_lengths
 
 ARRIVED = "arrived"
 MALFORMED = "_malformed"
@@ -85,8 +88,9 @@ class LiveScorer:
         landed = self.land(batch, batch_id)
         if landed.isEmpty():  # the engine's batches that only drop old state
             return
-        self.means.add(length_totals(landed.where(F.col(MALFORMED).isNull())), batch_id)
-        out = self.sink_rows(self.fill(landed, batch_id), landed)
+        users = self.batch_users(landed, batch_id)
+        self.means.add(users.where("n > 0"), batch_id)
+        out = self.sink_rows(self.fill(landed, users, batch_id), landed)
         attempt, counts = self.rows.stage(out, batch_id, **{s: F.count_if(F.col("sink") == s) for s in SINKS})
         flagged = self.rows.staged(batch_id, attempt).where(F.col("sink") == "flagged")
         self.at_risk.add(at_risk_users(flagged), batch_id)
@@ -101,7 +105,18 @@ class LiveScorer:
         batch.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(batch.schema).parquet(path)
 
-    def fill(self, landed: DataFrame, batch_id: int) -> DataFrame:
+    def batch_users(self, landed: DataFrame, batch_id: int) -> DataFrame:
+        """What the batch has of each user, from one pass over it, written once.
+
+        ``total`` and ``n`` of the lengths, and ``__rows``: the rows that P6 keeps and that lack a length.
+        """
+        kept = reduce(and_, [F.col(c).isNotNull() for c in TRAIN_COLUMNS if c != "length"])
+        users = user_lengths(landed.where(F.col(MALFORMED).isNull()), __rows=F.count_if(kept & ~has_length()))
+        path = f"{self.tables}/users/batch_id={batch_id}"
+        users.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(users.schema).parquet(path)
+
+    def fill(self, landed: DataFrame, users: DataFrame, batch_id: int) -> DataFrame:
         """P6 on all columns but ``length``, then J1 and P5 with the means as of the batch.
 
         Only users who lack a length in this batch are looked up; the join
@@ -110,7 +125,7 @@ class LiveScorer:
         rows = landed.where(F.col(MALFORMED).isNull()).select(*EVENT_COLUMNS).withColumn(
             "length", F.when(~F.isnan("length"), F.col("length")))
         rows = rows.dropna(how="any", subset=[c for c in TRAIN_COLUMNS if c != "length"])
-        lacking = rows.where("length IS NULL").groupBy("userId").agg(F.count(F.lit(1)).alias("__rows"))
+        lacking = users.where("__rows > 0").select("userId", "__rows")
         means = mean_of(self.means.as_of(batch_id, lacking.select("userId"))).join(lacking, "userId")
         joined = attach_by_key(rows, means, "userId", "__rows", self.tuning,
                                path=f"{self.tables}/side/batch_id={batch_id}")
@@ -136,7 +151,7 @@ class LiveScorer:
 
     def tidy(self, batch_id: int) -> None:
         """Remove the working folders of batches that no replay can need."""
-        for part in ("landed", "side"):
+        for part in ("landed", "side", "users"):
             keep = self.keep_landed if part == "landed" else 1
             for name in sub_folders(self.spark, f"{self.tables}/{part}"):
                 if int(name.removeprefix("batch_id=")) <= batch_id - keep:
@@ -145,20 +160,29 @@ class LiveScorer:
 
 def run_live_scoring(spark: SparkSession, source_dir: str, model: Transformer, tables: str, checkpoint: str,
                      delay: str, max_files_per_trigger: int = 1, every: str | None = None, tuning: Tuning = DEFAULT,
-                     compact_every: int = 20, on_batch: Callable[[DataFrame, int], None] | None = None
-                     ) -> StreamingQuery:
+                     compact_every: int = 20, on_batch: Callable[[DataFrame, int], None] | None = None,
+                     state_partitions: int | None = None) -> StreamingQuery:
     """Start the query: what is there and then stop, or a micro-batch ``every`` so often.
 
     ``tables`` belongs to ``checkpoint``: batch numbers start anew with a new
     checkpoint, so a folder of tables that another one has filled is refused.
-    ``on_batch`` stands in for the scorer in tests.
+    ``on_batch`` stands in for the scorer in tests. ``state_partitions`` holds
+    from the checkpoint's first run on (default: the session's shuffle
+    partitions). A run that stops by itself starts no batch without rows: the
+    next run's first batch drops what has expired.
     """
     claim(spark, tables, checkpoint)
     work = on_batch or LiveScorer(spark, tables, model, tuning, compact_every)
     trigger = {"processingTime": every} if every else {"availableNow": True}
-    return (live_events(spark, source_dir, delay, max_files_per_trigger).writeStream
-            .foreachBatch(work).outputMode("append").option("checkpointLocation", checkpoint)
-            .trigger(**trigger).start())
+    conf = dict(STATE_CONF)
+    if state_partitions:
+        conf["spark.sql.shuffle.partitions"] = str(state_partitions)
+    if not every:
+        conf["spark.sql.streaming.noDataMicroBatches.enabled"] = "false"
+    with with_conf(spark, conf):
+        return (live_events(spark, source_dir, delay, max_files_per_trigger).writeStream
+                .foreachBatch(work).outputMode("append").option("checkpointLocation", checkpoint)
+                .trigger(**trigger).start())
 
 
 def claim(spark: SparkSession, tables: str, checkpoint: str) -> None:
@@ -168,4 +192,4 @@ def claim(spark: SparkSession, tables: str, checkpoint: str) -> None:
     if had and had != [checkpoint]:
         raise ValueError(f"{tables} is filled from the checkpoint {had[0]}, not {checkpoint}")
     if not had:
-        spark.createDataFrame([(checkpoint,)], "value string").coalesce(1).write.mode("overwrite").text(owner)
+        spark.range(0, 1, 1, 1).select(F.lit(checkpoint).alias("value")).write.mode("overwrite").text(owner)

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -86,10 +86,15 @@ def live_means(spark: SparkSession, path: str, compact_every: int = 20) -> Runni
     return RunningAggregate(spark, path, "userId", schema, {"total": "sum", "n": "sum"}, compact_every)
 
 
-def length_totals(rows: DataFrame) -> DataFrame:
-    """What a batch's rows add to ``live_means``: one row per user with a length."""
-    has = rows.where(F.col("length").isNotNull() & ~F.isnan("length"))
-    return has.groupBy("userId").agg(F.sum("length").alias("total"), F.count(F.lit(1)).alias("n"))
+def has_length() -> Column:
+    return F.col("length").isNotNull() & ~F.isnan("length")
+
+
+def user_lengths(rows: DataFrame, **more: Column) -> DataFrame:
+    """One row per user; what those with ``n`` above 0 add to ``live_means``, and further aggregates."""
+    has = has_length()
+    return rows.groupBy("userId").agg(F.sum(F.when(has, F.col("length"))).alias("total"), F.count_if(has).alias("n"),
+                                      *[c.alias(k) for k, c in more.items()])
 
 
 def mean_of(state: DataFrame) -> DataFrame:
