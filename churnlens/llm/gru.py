@@ -7,44 +7,65 @@ import numpy as np
 F32 = np.float32
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    x = np.tanh(F32(0.5) * x)
-    x *= F32(0.5)
-    x += F32(0.5)
-    return x
+PLACES = 512  # places whose logits are worked on at a time, few enough for a core's cache
+SAFE = 60.0  # exp of logits between -SAFE and SAFE needs no shift
 
 
-def _logits(w: np.ndarray, b: np.ndarray, out: np.ndarray) -> np.ndarray:
-    """Logits (members x places) of the states ``out`` (places x hidden)."""
-    x = w.T @ out.T
-    x += b[:, None]
-    return x
+def _with_one(out: np.ndarray) -> np.ndarray:
+    """The states ``out`` (places x hidden) with a 1 after each, which a bias is multiplied by."""
+    ones = np.ones((len(out), out.shape[1] + 1), out.dtype)
+    ones[:, :-1] = out
+    return ones
 
 
-def _exps(x: np.ndarray) -> np.ndarray:
-    """In place exp(x - max) of logits (members x places); returns the sums over members.
+def _with_bias(w: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, bool]:
+    """Weights and bias as one matrix (members x hidden + 1), and whether a logit can be beyond SAFE.
 
-    Members lie along the first axis, so that maxima and sums run over whole rows of places.
+    States lie between -1 and 1, so the sum of a member's absolute weights bounds its logit.
     """
-    x -= x.max(0)
-    np.exp(x, out=x)
-    return x.sum(0)
+    wb = np.concatenate([w.T, b[:, None]], axis=1)
+    return wb, not np.abs(wb).sum(1).max() < SAFE
 
 
-def _log_prob(x: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Log softmax of logits (members x places) at member ``at`` of each place; overwrites ``x``."""
-    top = x.max(0)
-    chosen = x[at, np.arange(len(at))] - top
-    x -= top
+def _exps(x: np.ndarray, shift: bool) -> np.ndarray:
+    """In place exp(x), or exp(x - max) with ``shift``, of logits (members x places); returns the sums over members.
+
+    Members lie along the first axis, so that maxima and sums run over whole rows of places.
+    """
+    if shift:
+        x -= x.max(0)
     np.exp(x, out=x)
-    return chosen - np.log(x.sum(0))
+    return x.sum(0)
 
 
-def _error(x: np.ndarray, at: np.ndarray, scale: np.ndarray) -> np.ndarray:
-    """In place (softmax of logits - one-hot of ``at``) * scale, for logits (members x places)."""
-    x *= scale / _exps(x)
-    x[at, np.arange(len(at))] -= scale
-    return x
+def _log_prob(wb: np.ndarray, shift: bool, out: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Log softmax, at member ``at`` of each place, of the logits of ``out`` (places x hidden + 1)."""
+    lp = np.empty(len(out), out.dtype)
+    for lo in range(0, len(out), PLACES):
+        part = slice(lo, lo + PLACES)
+        x = wb @ out[part].T
+        if shift:
+            x -= x.max(0)
+        chosen = x[at[part], np.arange(x.shape[1])]
+        lp[part] = chosen - np.log(_exps(x, False))
+    return lp
+
+
+def _errors(wb: np.ndarray, shift: bool, out: np.ndarray, at: np.ndarray, scale: np.ndarray):
+    """Gradients of the places' negative log softmax at ``at``, times ``scale``, by ``wb`` and by ``out``."""
+    by_wb, by_out = np.zeros_like(wb), np.empty((len(out), wb.shape[1] - 1), out.dtype)
+    w = np.ascontiguousarray(wb[:, :-1])
+    for lo in range(0, len(out), PLACES):
+        part = slice(lo, lo + PLACES)
+        x = wb @ out[part].T
+        total = _exps(x, shift)
+        x[at[part], np.arange(x.shape[1])] -= total
+        # What is left is (softmax - one-hot) * total.
+        share = (scale[part] / total)[:, None]
+        by_wb += x @ (out[part] * share)
+        np.matmul(x.T, w, out=by_out[part])
+        by_out[part] *= share
+    return by_wb, by_out
 
 
 class Gru:
@@ -90,31 +111,58 @@ class Gru:
         top = self.listed * self.width
         return np.where(ids < top, ids // self.width, ids - top + self.listed)
 
-    def run(self, ids: np.ndarray, first: np.ndarray, state: np.ndarray, keep: bool = False):
-        """States that predict each of ``ids`` (steps x lanes), and the state to carry on."""
+    def gates(self) -> tuple[np.ndarray, np.ndarray]:
+        """What ``run`` multiplies with, a matrix for each of the gates z and r and the new state.
+
+        Those of z and r are negative, that of the new state is doubled: sigmoid(x) is 1 / (1 + exp(-x)),
+        tanh(x) is 1 - 2 / (1 + exp(2x)).
+        """
         p, h = self.p, self.h
-        steps, lanes = ids.shape
-        outs = np.empty((steps, lanes, h), F32)
-        tape = []
-        to_gates, to_new = np.ascontiguousarray(p["rec"][:, :2 * h]), np.ascontiguousarray(p["rec"][:, 2 * h:])
-        inp = p["inp"] + p["bias"]
+        inp = np.ascontiguousarray((p["inp"] + p["bias"]).reshape(-1, 3, h).swapaxes(0, 1))
+        rec = np.ascontiguousarray(p["rec"].reshape(h, 3, h).swapaxes(0, 1))
+        for x in (inp, rec):
+            x[:2] *= F32(-1)
+            x[2] *= F32(2)
+        return inp, rec
+
+    @np.errstate(over="ignore")  # an infinite exp makes a gate of 0 and a state of 1
+    def run(self, ids: np.ndarray, first: np.ndarray, state: np.ndarray, keep: bool = False, gates=None):
+        """States that predict each of ``ids`` (steps x lanes), and the state to carry on.
+
+        With ``keep`` also z and r, the new states and r * state of each step. Every array of a step
+        is contiguous.
+        """
+        inp, rec = self.gates() if gates is None else gates
+        (steps, lanes), h, kind = ids.shape, self.h, rec.dtype
+        outs = np.empty((steps + 1, lanes, h), kind)
+        outs[0] = state
+        kept = steps if keep else 1
+        gate, new, read = (np.empty((kept, *s, lanes, h), kind) for s in ((2,), (), ()))
+        x = np.empty((3, lanes, h), kind)
+        fresh = first.any(1)
         for t in range(steps):
             # ``state`` has read everything up to the token before ids[t]; a new text starts from zero.
-            if first[t].any():
-                state = state * (F32(1) - first[t])[:, None]
-            outs[t] = state
-            x = inp.take(ids[t], 0)
-            zr = _sigmoid(state @ to_gates + x[:, :2 * h])
-            z, r = zr[:, :h], zr[:, h:]
-            rs = r * state
-            c = rs @ to_new
-            c += x[:, 2 * h:]
-            np.tanh(c, out=c)
-            if keep:
-                tape.append((state, z, r, c, rs))
-            state = z * (state - c)
-            state += c
-        return outs, state, tape
+            state, k = outs[t], t if keep else 0
+            if fresh[t]:
+                state *= (F32(1) - first[t])[:, None]
+            inp.take(ids[t], 1, out=x, mode="clip")
+            zr, c, rs = gate[k], new[k], read[k]
+            np.matmul(state, rec[:2], out=zr)
+            zr += x[:2]
+            np.exp(zr, out=zr)
+            zr += F32(1)
+            np.divide(F32(1), zr, out=zr)
+            np.multiply(zr[1], state, out=rs)
+            np.matmul(rs, rec[2], out=c)
+            c += x[2]
+            np.exp(c, out=c)
+            c += F32(1)
+            np.divide(F32(2), c, out=c)
+            np.subtract(F32(1), c, out=c)
+            after = np.subtract(state, c, out=outs[t + 1])
+            after *= zr[0]
+            after += c
+        return outs[:steps], outs[steps], (gate, new, read)
 
     def _by_id(self, ids: np.ndarray):
         """Order of ``ids``, which is also that of their classes, and where each listed class starts."""
@@ -125,15 +173,15 @@ class Gru:
     def log_probs(self, outs: np.ndarray, ids: np.ndarray) -> np.ndarray:
         """Natural log probability of each id (of its class only, for a class of unlisted words)."""
         p = self.p
-        out, ids = outs.reshape(-1, self.h), ids.ravel()
-        lp = _log_prob(_logits(p["cls"], p["cls_b"], out), self.classes(ids))
+        out, ids = _with_one(outs.reshape(-1, self.h)), ids.ravel()
+        lp = _log_prob(*_with_bias(p["cls"], p["cls_b"]), out, self.classes(ids))
         order, cuts = self._by_id(ids)
         listed = order[:cuts[-1]]
         sorted_out, member = out.take(listed, 0), ids[listed] % self.width
         for c in range(self.listed):  # one product a class
             at = slice(cuts[c], cuts[c + 1])
             if cuts[c] < cuts[c + 1]:
-                lp[listed[at]] += _log_prob(_logits(p["mem"][c], p["mem_b"][c], sorted_out[at]), member[at])
+                lp[listed[at]] += _log_prob(*_with_bias(p["mem"][c], p["mem_b"][c]), sorted_out[at], member[at])
         return lp
 
     def train(self, ids: np.ndarray, first: np.ndarray, live: np.ndarray, window: int, rate: float) -> None:
@@ -170,51 +218,66 @@ class Gru:
     def _window(self, ids, first, state, live=None, grads=None):
         """Gradients of one window's summed negative log probability over its lanes, and the state after it."""
         p, h = self.p, self.h
-        outs, after, tape = self.run(ids, first, state, keep=True)
+        outs, after, (gate, new, read) = self.run(ids, first, state, keep=True)
         steps, lanes = ids.shape
-        out, flat = outs.reshape(-1, h), ids.ravel()
+        kind, flat = outs.dtype, ids.ravel()
+        out = _with_one(outs.reshape(-1, h))
         scale = np.full(len(flat), 1.0 / lanes, F32)
         if live is not None:
             scale *= live.ravel()
         grads = {k: np.zeros_like(x) for k, x in p.items()} if grads is None else grads
-        d = _error(_logits(p["cls"], p["cls_b"], out), self.classes(flat), scale)
-        grads["cls"][:], grads["cls_b"][:] = (d @ out).T, d.sum(1)
-        d_out = d.T @ p["cls"].T
+        by_wb, d_out = _errors(*_with_bias(p["cls"], p["cls_b"]), out, self.classes(flat), scale)
+        grads["cls"][:], grads["cls_b"][:] = by_wb[:, :h].T, by_wb[:, h]
         order, cuts = self._by_id(flat)
         listed = order[:cuts[-1]]
         sorted_out, sorted_scale, member = out.take(listed, 0), scale[listed], flat[listed] % self.width
-        back = np.empty_like(sorted_out)
+        back = np.empty((len(listed), h), kind)
         for c in range(self.listed):
             at = slice(cuts[c], cuts[c + 1])
             if cuts[c] < cuts[c + 1]:
-                d = _error(_logits(p["mem"][c], p["mem_b"][c], sorted_out[at]), member[at], sorted_scale[at])
-                grads["mem"][c], grads["mem_b"][c] = (d @ sorted_out[at]).T, d.sum(1)
-                back[at] = d.T @ p["mem"][c].T
+                by_wb, back[at] = _errors(*_with_bias(p["mem"][c], p["mem_b"][c]), sorted_out[at], member[at],
+                                          sorted_scale[at])
+                grads["mem"][c], grads["mem_b"][c] = by_wb[:, :h].T, by_wb[:, h]
         d_out[listed] += back
         d_out = d_out.reshape(steps, lanes, h)
-        dx = np.empty((steps, lanes, 3 * h), d_out.dtype)
-        d_state = np.zeros((lanes, h), d_out.dtype)
-        to_gates, to_new = p["rec"][:, :2 * h].T.copy(), p["rec"][:, 2 * h:].T.copy()
+        dx = np.empty((3, steps, lanes, h), kind)
+        d_state, kept, rest, reset = (np.zeros((lanes, h), kind) for _ in range(4))
+        through = np.empty((2, lanes, h), kind)
+        back_rec = np.ascontiguousarray(p["rec"].reshape(h, 3, h).transpose(1, 2, 0))
+        fresh = first.any(1)
         for t in range(steps - 1, -1, -1):
-            s, z, r, c, rs = tape[t]
-            rest = d_state * (F32(1) - z)
-            dc = np.multiply(rest, F32(1) - c * c, out=dx[t, :, 2 * h:])
-            reset = (dc @ to_new) * r
-            rest *= z
-            np.multiply(rest, s - c, out=dx[t, :, :h])
-            np.multiply(reset * s, F32(1) - r, out=dx[t, :, h:2 * h])
-            d_state *= z
+            s, (z, r), c = outs[t], gate[t], new[t]
+            dz, dr, dc = dx[:, t]
+            np.multiply(d_state, z, out=kept)
+            np.subtract(d_state, kept, out=rest)
+            d_state, kept = kept, d_state
+            np.multiply(c, c, out=dc)
+            np.subtract(F32(1), dc, out=dc)
+            dc *= rest
+            np.matmul(dc, back_rec[2], out=reset)
+            reset *= r
+            np.subtract(s, c, out=dz)
+            dz *= rest
+            dz *= z
+            np.subtract(F32(1), r, out=dr)
+            dr *= s
+            dr *= reset
             d_state += reset
-            d_state += dx[t, :, :2 * h] @ to_gates
+            np.matmul(dx[:2, t], back_rec[:2], out=through)
+            d_state += through[0]
+            d_state += through[1]
             d_state += d_out[t]
-            if first[t].any():
+            if fresh[t]:
                 d_state *= (F32(1) - first[t])[:, None]
-        flat_dx = dx.reshape(-1, 3 * h)
-        grads["bias"][:] = flat_dx.sum(0)
-        read = np.concatenate([x[4] for x in tape])
-        grads["rec"][:, :2 * h], grads["rec"][:, 2 * h:] = out.T @ flat_dx[:, :2 * h], read.T @ flat_dx[:, 2 * h:]
+        flat_dx = dx.reshape(3, -1, h)
+        for k, x in enumerate((out, out, _with_one(read.reshape(-1, h)))):
+            by_rec = x.T @ flat_dx[k]
+            grads["rec"][:, k * h:(k + 1) * h], grads["bias"][k * h:(k + 1) * h] = by_rec[:h], by_rec[h]
         at = np.flatnonzero(np.r_[True, np.diff(flat[order]) != 0])
-        grads["inp"][flat[order[at]]] = np.add.reduceat(flat_dx.take(order, 0), at, axis=0)
+        # Two numbers at a time, as a complex one: sums of short runs cost by the number of their columns.
+        pairs = flat_dx.take(order, 1).view(np.result_type(kind, np.complex64))
+        for k, x in enumerate(pairs):
+            grads["inp"][flat[order[at]], k * h:(k + 1) * h] = np.add.reduceat(x, at, axis=0).view(kind)
         return grads, after
 
 

@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.checkpoint import materialize
@@ -21,6 +21,17 @@ BLOCK = 1 << 21  # tokens that a trainer holds at a time
 SLICE, LOT = 8192, 256  # parameters in a row of a model; trainers whose rows one task adds up
 TABLE_WORDS = 1 << 19  # words whose counts are broadcast; the counts of the others are joined
 SMOOTH = 0.1
+ID = np.int16  # of a token's id in an encoded text
+KEPT_BYTES = 31 << 20
+
+
+def _keep_freed_memory() -> None:
+    """Let a task's process reuse the memory of freed arrays.
+
+    After an array of this size is freed, the C library keeps that much for smaller ones; before, it
+    returns each to the system, and touching new pages takes longer than hashing the words in them.
+    """
+    np.empty(KEPT_BYTES, np.uint8)
 
 
 def _tokens(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -41,6 +52,7 @@ def _encoded(column: pd.Series) -> list[bytes]:
 
 
 def _count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    _keep_freed_memory()
     for f in frames:
         texts, found, times = _encoded(f["text"]), [], []
         for lo, hi in chunks(texts):
@@ -126,6 +138,10 @@ def _class_totals(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                             "v": np.bincount(k, minlength=UNLISTED)})
 
 
+def _key() -> Column:
+    return F.xxhash64(F.lit("lm"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "text").alias("key")
+
+
 def train(docs: DataFrame, vocabulary: Vocabulary, one_in: int = 1, docs_per_model: int = 6000,
           lanes: int = 512, window: int = 16, rate: float = 0.01) -> Gru:
     """A model trained on all training documents, in one pass over every token.
@@ -137,13 +153,13 @@ def train(docs: DataFrame, vocabulary: Vocabulary, one_in: int = 1, docs_per_mod
     trainers grow with the corpus; what comes back is one model's size. A trainer
     reads its documents in the order of their hashes, so the layout of the input
     does not matter; rows that share both id and text share a trainer.
-    ``one_in`` above 1 keeps only every so-many-th document.
+    ``one_in`` above 1 keeps only every so-many-th document. ``docs`` are ``doc_id, text``, or the
+    documents of ``encode``, whose texts need not be looked up again.
     """
     model = Gru(vocabulary.class_log, vocabulary.member_log, HIDDEN)
-    key = F.xxhash64(F.lit("lm"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "text")
+    docs = docs.select("key", "ids") if "ids" in docs.columns else docs.select(_key(), "text")
     if one_in > 1:
-        docs = docs.filter(F.pmod(key, F.lit(one_in)) == 0)
-    docs = docs.select(key.alias("key"), "text")
+        docs = docs.filter(F.pmod("key", F.lit(one_in)) == 0)
     n = max(1, round(docs.count() / docs_per_model))
     if n == 1:
         return _trained(docs, vocabulary, model, 1, lanes, window, rate)
@@ -152,14 +168,23 @@ def train(docs: DataFrame, vocabulary: Vocabulary, one_in: int = 1, docs_per_mod
     return _trained(docs.filter(deal != 0), vocabulary, model, n - 1, lanes, window, rate)
 
 
+def _ids(f: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and lengths of encoded texts."""
+    return np.frombuffer(b"".join(f["ids"]), ID), np.array([len(x) // ID().nbytes for x in f["ids"]], np.int64)
+
+
+def _looked_up(f: pd.DataFrame, vocab: Vocabulary) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    texts = _encoded(f["text"])
+    for lo, hi in chunks(texts):
+        h, lengths = _tokens(texts[lo:hi])
+        yield vocab.look_up(h)[0].astype(ID), lengths
+
+
 def _blocks(frames: Iterator[pd.DataFrame], vocab: Vocabulary) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Ids and lengths of consecutive whole texts, cut at the first text that brings BLOCK tokens or more."""
     held, size = [], 0
     for f in frames:
-        texts = _encoded(f["text"])
-        for lo, hi in chunks(texts):
-            h, lengths = _tokens(texts[lo:hi])
-            ids = vocab.look_up(h)[0].astype(np.int32)
+        for ids, lengths in [_ids(f)] if "ids" in f else _looked_up(f, vocab):
             while size + len(ids) >= BLOCK:
                 upto = np.cumsum(lengths)
                 k = int(np.searchsorted(upto, BLOCK - size)) + 1
@@ -178,6 +203,7 @@ def _trained(docs: DataFrame, vocabulary: Vocabulary, start: Gru, trainers: int,
     shared = docs.sparkSession.sparkContext.broadcast((vocabulary, start.flat()))
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        _keep_freed_memory()
         vocab, flat = shared.value
         model, seen = Gru(vocab.class_log, vocab.member_log, HIDDEN).load(flat), 0
         for ids, lengths in _blocks(frames, vocab):
@@ -193,17 +219,18 @@ def _trained(docs: DataFrame, vocabulary: Vocabulary, start: Gru, trainers: int,
         rows = rows.sort_values("trainer")  # one order of summation, whatever the shuffle brings first
         w = sum(np.frombuffer(x, np.float32).astype(float) * n for x, n in zip(rows["w"], rows["n"]))
         return pd.DataFrame({"at": rows["lo"].iloc[0] + np.arange(len(w)), "w": w, "n": rows["n"].sum()})
-    dealt = docs.repartition(trainers, "key").sortWithinPartitions("key", "text").select("text")
+    content = docs.columns[1]
+    dealt = docs.repartition(trainers, "key").sortWithinPartitions("key", content).select(content)
     models = dealt.mapInPandas(run, "lo long, lot long, trainer long, n long, w binary")
     learned = (models.groupBy("lo", "lot").applyInPandas(add, "at long, w double, n long").groupBy("at")
                .agg((F.sum("w") / F.sum("n")).alias("w"))).toArrow().to_pandas().sort_values("at")
     return start.load(learned["w"].to_numpy()) if len(learned) else start
 
 
-def _scorer(shared):
+def _encoder(shared):
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        vocab, flat = shared.value
-        model = Gru(vocab.class_log, vocab.member_log, HIDDEN).load(flat)
+        _keep_freed_memory()
+        vocab = shared.value
         row = np.int64(TaskContext.get().partitionId()) << np.int64(36)
         for f in frames:
             texts = _encoded(f["text"])
@@ -219,21 +246,48 @@ def _scorer(shared):
                 base[lo:hi] = np.bincount(doc[here], vocab.base_log10(c[here]), hi - lo)
                 score[lo:hi] = np.bincount(doc[inner], vocab.unlisted_log10(c[inner], ids[inner] - LISTED * WIDTH),
                                            hi - lo)
-                listed.append(ids.astype(np.int32))
+                upto = np.cumsum(lengths[lo:hi])
+                ids = ids.astype(ID)
+                listed += [ids[a:b].tobytes() for a, b in zip(upto - lengths[lo:hi], upto)]
                 far.append((doc[~here] + lo + row, h[~here]))
             del texts
-            if n:
-                starts = np.cumsum(lengths) - lengths
-                score += np.add.reduceat(_score(model, np.concatenate(listed), lengths), starts, dtype=float)
-            yield pd.DataFrame({"row": row + np.arange(n), "doc_id": f["doc_id"].astype("Int64"), "h": np.int64(0),
-                                "k": lengths, "known": known, "base": base, "score": score, "is_doc": True})
+            yield pd.DataFrame({"row": row + np.arange(n), "doc_id": f["doc_id"].astype("Int64"), "key": f["key"],
+                                "ids": listed, "h": np.int64(0), "k": lengths, "known": known, "base": base,
+                                "score": score, "is_doc": True})
             row += n
             if any(len(h) for _, h in far):  # words beyond the table, once for each text that has them
                 rows, h = (np.concatenate(x) for x in zip(*far))
                 pair = pd.DataFrame({"row": rows, "h": h}).value_counts().reset_index(name="k")
-                yield pair.assign(doc_id=pd.array([None] * len(pair), "Int64"), known=np.int64(0), base=0.0,
-                                  score=0.0, is_doc=False)[["row", "doc_id", "h", "k", "known", "base", "score",
-                                                            "is_doc"]]
+                yield pair.assign(doc_id=pd.array([None] * len(pair), "Int64"), key=np.int64(0), ids=None,
+                                  known=np.int64(0), base=0.0, score=0.0, is_doc=False)[
+                    ["row", "doc_id", "key", "ids", "h", "k", "known", "base", "score", "is_doc"]]
+    return run
+
+
+def encode(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+    """The texts as ids of tokens, written once for training and scoring.
+
+    A row for each document (``is_doc``) with its key, ids, tokens ``k``, and the sums of what does not
+    need the network; and a row for each word ``h`` of a text that is beyond the table, found ``k`` times.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
+    return materialize(docs.select("doc_id", _key(), "text").mapInPandas(
+        _encoder(shared), "row long, doc_id long, key long, ids binary, h long, k long, known long, base double, "
+                          "score double, is_doc boolean"), "encoded")
+
+
+def _scorer(shared):
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        _keep_freed_memory()
+        vocab, flat = shared.value
+        model = Gru(vocab.class_log, vocab.member_log, HIDDEN).load(flat)
+        for f in frames:
+            if len(f):
+                ids, lengths = _ids(f)
+                starts = np.cumsum(lengths) - lengths
+                yield pd.DataFrame({"row": f["row"], "doc_id": f["doc_id"].astype("Int64"), "k": f["k"],
+                                    "known": f["known"], "base": f["base"], "score": f["score"] + np.add.reduceat(
+                                        _score(model, ids, lengths), starts, dtype=float)})
     return run
 
 
@@ -274,16 +328,17 @@ def score_documents(docs: DataFrame) -> DataFrame:
     counts = materialize(seen.select("text").mapInPandas(_count, "h long, c long").groupBy("h").agg(
         F.sum("c").alias("c")), "word-counts")
     vocab = fit_vocabulary(counts, TABLE_WORDS)
-    model = train(seen, vocab)
+    encoded = encode(rows, vocab)
+    texts = encoded.filter("is_doc")
+    model = train(texts.filter(~held), vocab)
     shared = spark.sparkContext.broadcast((vocab, model.flat()))
-    scored = materialize(rows.mapInPandas(
-        _scorer(shared), "row long, doc_id long, h long, k long, known long, base double, score double, "
-                         "is_doc boolean"), "scored")
-    tail = scored.filter(~F.col("is_doc")).select("row", "h", "k").join(counts, "h", "left").withColumn(
+    scored = materialize(texts.select("row", "doc_id", "k", "known", "base", "score", "ids").mapInPandas(
+        _scorer(shared), "row long, doc_id long, k long, known long, base double, score double"), "scored")
+    tail = encoded.filter(~F.col("is_doc")).select("row", "h", "k").join(counts, "h", "left").withColumn(
         "c", F.coalesce("c", F.lit(0)))
     tail = tail.mapInPandas(_tail(shared), "row long, known long, base double, score double").groupBy("row").agg(
         F.sum("known").alias("tk"), F.sum("base").alias("tb"), F.sum("score").alias("ts"))
-    whole = scored.filter("is_doc").join(tail, "row", "left")
+    whole = scored.join(tail, "row", "left")
     return whole.select(
         "doc_id", held.alias("held_out"), F.col("k").alias("n_tokens"),
         (F.col("known") + F.coalesce("tk", F.lit(0))).alias("n_known"), F.lit(vocab.total).cast("long").alias("train_tokens"),

@@ -382,6 +382,58 @@ def test_lm_trains_on_every_document(spark):
         assert moved[words_at].all()
 
 
+def test_lm_encoded_texts_teach_what_texts_teach(spark):
+    import numpy as np
+    rows = [(i, f"word{i % 7} only{i} " * (i % 5)) for i in range(60)] + [(None, ""), (3, "word3 only3 ")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    h, c = np.unique(lm._tokens([t.encode() for _, t in rows])[0], return_counts=True)
+    cls = lm._unlisted(h)
+    vocab = lm.Vocabulary(h[:30], c[:30], int(c.sum()), len(h), np.bincount(cls, c, lm.UNLISTED),
+                          np.bincount(cls, minlength=lm.UNLISTED).astype(float))
+    encoded = lm.encode(df, vocab)
+    texts = encoded.filter("is_doc")
+    got = sorted((r["doc_id"] is None, r["doc_id"], np.frombuffer(r["ids"], lm.ID).tolist()) for r in texts.collect())
+    want = sorted((i is None, i, vocab.look_up(lm._tokens([t.encode()])[0])[0].tolist()) for i, t in rows)
+    assert got == want
+    beyond = Counter(x for _, t in rows for x in lm._tokens([t.encode()])[0].tolist() if x not in h[:30])
+    found = Counter()
+    for r in encoded.filter("not is_doc").collect():
+        found[r["h"]] += r["k"]
+    assert found == beyond
+    for per_model in (1500, 15):
+        a, b = (lm.train(d, vocab, docs_per_model=per_model).flat() for d in (df, texts))
+        assert np.abs(a - b).max() < 1e-5
+
+
+def test_lm_large_logits_and_gates():
+    import warnings
+
+    import numpy as np
+
+    from churnlens.llm.gru import PLACES, Gru
+    rng = np.random.default_rng(4)
+    m = Gru(rng.normal(0, 80, 5), rng.normal(0, 80, (3, 4)), 6)  # beyond what exp holds without a shift
+    m.p["inp"] *= np.float32(3000)  # gates and states at their limits
+    ids, first = rng.integers(0, 14, (8, PLACES // 4)), np.zeros((8, PLACES // 4), np.float32)
+    with warnings.catch_warnings():
+        warnings.simplefilter("error")
+        outs, _, _ = m.run(ids, first, np.zeros((PLACES // 4, 6)))
+        lp = m.log_probs(outs, ids)
+        grads, _ = m._window(ids, first, np.zeros((PLACES // 4, 6)))
+    out, p, flat = outs.reshape(-1, 6).astype(float), m.p, ids.ravel()
+
+    def log_softmax(x):
+        x = x - x.max(1, keepdims=True)
+        return x - np.log(np.exp(x).sum(1, keepdims=True))
+    at = np.arange(len(flat))
+    want = log_softmax(out @ p["cls"] + p["cls_b"])[at, m.classes(flat)]
+    for c in range(3):
+        own = np.flatnonzero(flat // 4 == c)
+        want[own] += log_softmax(out[own] @ p["mem"][c] + p["mem_b"][c])[np.arange(len(own)), flat[own] % 4]
+    assert np.abs(lp - want).max() < 1e-3
+    assert all(np.isfinite(g).all() for g in grads.values())
+
+
 def test_lm_windows_hold_every_token():
     import numpy as np
 
